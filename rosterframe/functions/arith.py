@@ -30,25 +30,33 @@ def round_numeric(x, scale: int) -> Column:
     return F.round(_c(x), scale)
 
 
-def fantasy_score(prefix: str = "", weights: dict[str, float] | None = None) -> Column:
+def fantasy_score(prefix: str = "", weights: dict[str, float] | None = None,
+                  exact: bool = False) -> Column:
     """``pts + 1.2 reb + 1.5 ast + 2 stl + 2 blk - tov`` over columns ``prefix+stat``.
 
-    Terms are added left to right in the order of ``weights`` so that the double
-    result is the same in every engine.
+    Terms are added left to right in the order of ``weights``.  With
+    ``exact=True`` (integer box scores) the sum is taken in DECIMAL, as SQL
+    does with ``1.2 * int``, and only the total becomes a double.
     """
+    from decimal import Decimal
+
     w = weights or FANDUEL_WEIGHTS
     total = None
     for stat, weight in w.items():
         c = F.col(prefix + stat)
+        if exact:
+            c = c.cast("decimal(20,0)")
+            lit = F.lit(Decimal(str(abs(weight))))
+        else:
+            lit = F.lit(abs(weight))
+        term = c if abs(weight) == 1.0 else lit * c
         if total is None:
-            total = c if weight == 1.0 else F.lit(weight) * c
-        elif weight == 1.0:
-            total = total + c
-        elif weight == -1.0:
-            total = total - c
+            total = term if weight > 0 else -term
+        elif weight > 0:
+            total = total + term
         else:
-            total = total + F.lit(weight) * c
-    return total
+            total = total - term
+    return total.cast("double") if exact else total
 
 
 def round_ratio(num, den, scale: int) -> Column:

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle as O
-from ..sources.binding import bind
+from .. import schema as S
+from ..sources.binding import bind, read_driver
 from ..sources.sinks import csv_safe
 from . import features as FE
 
@@ -24,14 +25,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+class Raw:
+    """Lazy access to the driver tables that batches are built from."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return read_driver(self.spark, self.sf_dir, name)
+
+
 def register(key: str, sql: str | None):
+    """Register ``fn(tables[, raw])`` under ``key`` with its oracle SQL body
+    (the binding CTEs are prefixed here)."""
+    import inspect
+
     def deco(fn):
+        wants_raw = len(inspect.signature(fn).parameters) > 1
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return csv_safe(fn(bind(spark, sf_dir)))
+            t = bind(spark, sf_dir)
+            out = fn(t, Raw(spark, sf_dir)) if wants_raw else fn(t)
+            return csv_safe(out)
         run.__name__ = key
         QUERIES[key] = run
         if sql is not None:
-            ORACLE[key] = sql
+            ORACLE[key] = sql if sql.lstrip().upper().startswith("WITH") else O.with_binding(sql)
         return fn
     return deco
 
@@ -49,3 +68,25 @@ def _p_ml_features_training(t):
 @register("p_ml_features_tpt", O.ml_features_sql(AS_OF, "tpt", SEASON_START, training=True, n_recent=5))
 def _p_ml_features_tpt(t):
     return FE.ml_features(t, AS_OF, "tpt", SEASON_START, training=True, n_recent=5)
+
+
+def safe(table: str, alias: str = "") -> str:
+    """SQL select list of a league table in the CSV-safe export form."""
+    a = f"{alias}." if alias else ""
+    out = []
+    for f in S.TABLE_SCHEMAS[table].fields:
+        c, n = f"{a}{f.name}", f.dataType.typeName()
+        if n == "boolean":
+            out.append(f"CAST({c} AS VARCHAR) AS {f.name}")
+        elif n == "date":
+            out.append(f"strftime({c}, '%Y-%m-%d') AS {f.name}")
+        elif n == "timestamp":
+            out.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {f.name}")
+        elif n == "array":
+            out.append(f"to_json({c}) AS {f.name}")
+        else:
+            out.append(f"{c} AS {f.name}" if alias else f.name)
+    return ", ".join(out)
+
+
+from . import registry_queries  # noqa: E402,F401  (registers Q1-Q8, mutations, operators)
