@@ -20,7 +20,7 @@ def as_date(x) -> Column:
 def parse_date(text, strict: bool = True) -> Column:
     """``to_date(text, 'YYYY-MM-DD')``; ``strict=False`` gives null on bad input."""
     c = _c(text)
-    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(c, F.lit("yyyy-MM-dd"))
+    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(c, "yyyy-MM-dd")
 
 
 def month_diff(later, earlier) -> Column:

@@ -24,6 +24,13 @@ def _dedupe(batch: DataFrame, keys: Sequence[str], order_col: str, pick) -> Data
             .select(*keys, "_row.*"))
 
 
+def cast_to(e: Column, dtype) -> Column:
+    """Cast to the column's type; arrays are left as they are, since a cast
+    cannot drop element nullability and the ``CASE`` branches coerce anyway."""
+    from pyspark.sql import types as T
+    return e if isinstance(dtype, T.ArrayType) else e.cast(dtype)
+
+
 def dedupe_first(batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """First record per key in batch order."""
     return _dedupe(batch, keys, order_col, F.min_by)
@@ -77,7 +84,7 @@ def apply_update(base: DataFrame, batch: DataFrame, keys: Sequence[str],
         if c in assignments:
             e = assignments[c]
             e = F.col(e) if isinstance(e, str) else e
-            out.append(F.when(hit, e.cast(base.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            out.append(F.when(hit, cast_to(e, base.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return joined.select(*out)
@@ -87,7 +94,7 @@ def set_where(base: DataFrame, cond: Column, assignments: Mapping[str, Column])
     """``UPDATE base SET ... WHERE cond`` with no second table."""
     hit = F.coalesce(cond, F.lit(False))
     return base.select(*[
-        F.when(hit, assignments[c].cast(base.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+        F.when(hit, cast_to(assignments[c], base.schema[c].dataType)).otherwise(F.col(c)).alias(c)
         if c in assignments else F.col(c) for c in base.columns])
 
 

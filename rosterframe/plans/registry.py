@@ -89,4 +89,5 @@ def safe(table: str, alias: str = "") -> str:
     return ", ".join(out)
 
 
-from . import registry_queries  # noqa: E402,F401  (registers Q1-Q8, mutations, operators)
+from . import registry_queries  # noqa: E402,F401  (registers Q1-Q8)
+from . import registry_mutations  # noqa: E402,F401  (registers S5-S12, M1-M15)

@@ -50,8 +50,9 @@ def postgame_records(t: Tables, lineitem: DataFrame) -> DataFrame:
     numbers correct earlier ones (a repeated key, N14)."""
     pending = t.games.where(F.col("home_team_won").isNull()).select(F.col("game_id").alias("l_orderkey"))
     li = lineitem.join(pending, "l_orderkey", "left_semi")
+    # Batch order: line number, then part and ship date ((order, line) alone repeats).
     return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("batch_seq"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").alias("batch_seq"),
         _text("l_orderkey").alias("gameId"),
         _text(85 + F.col("l_partkey") % 40).alias("awayPoints"),
         _text(85 + F.col("l_suppkey") % 40).alias("homePoints"),
@@ -142,15 +143,17 @@ def bio_batch(t: Tables) -> DataFrame:
                     F.concat(F.col("player_position"), F.lit(" II")).alias("player_position"))
 
 
-def source_id_batch(t: Tables) -> DataFrame:
-    """Pending ids of each user assigned to the player with that id; a source
-    without a pending id is posted as an empty string."""
+def source_id_batch(t: Tables, events: DataFrame) -> DataFrame:
+    """Pending ids of each purchasing user assigned to the player with that id;
+    a source without a pending id is posted as an empty string."""
     from ..plans.queries import new_ids as wide_ids
     w = wide_ids(t)
     uid = F.regexp_extract("player_name", r"^user_(\d+)$", 1)
+    buyers = purchase_player_ids(events)
     return (w.where(uid != "")
             .select(uid.cast("bigint").alias("player_id"),
-                    *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")]))
+                    *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
+            .join(buyers, "player_id", "left_semi"))
 
 
 def purchase_player_ids(events: DataFrame) -> DataFrame:
@@ -175,3 +178,31 @@ def prediction_records(t: Tables, date) -> DataFrame:
     s = t.stats.join(on, "game_id", "left_semi")
     return s.select((F.col("pts") + 0.75).alias("Scored Label"),
                     F.concat(F.lit("p"), _text("player_id")).alias("bref_id"))
+
+
+def text_records(df: DataFrame, fields, keep=()) -> DataFrame:
+    """Typed rows rendered as posted JSON records: every value as text."""
+    cols = [F.col(k) for k in keep]
+    for f in fields:
+        c = F.col(f.column)
+        if f.type == "date":
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif f.type == "int_array":
+            c = F.transform(c, lambda x: x.cast("string"))
+        else:
+            c = c.cast("string")
+        cols.append(c.alias(f.key))
+    return df.select(*cols)
+
+
+def posted_after_cutoff(df: DataFrame, fields, date_col: str | None = "game_date",
+                        games: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split a table into the part stored before ``CUTOFF`` and the part
+    posted after it, the latter as typed rows re-read from text records."""
+    if date_col not in df.columns:
+        df = df.join(games.select("game_id", "game_date"), "game_id")
+        stored, posted = _before(df).drop("game_date"), _after(df).drop("game_date")
+    else:
+        stored, posted = _before(df), _after(df)
+    good, _ = ingest(text_records(posted, fields), fields)
+    return stored, good
