@@ -18,10 +18,12 @@ def team_games(games: DataFrame) -> DataFrame:
     roles = F.array(
         F.struct(F.col("home_team_id").alias("team_id"), F.lit(True).alias("is_home"),
                  F.coalesce(won, F.lit(False)).alias("won"),
-                 F.coalesce(won, F.lit(False)).alias("credited_win")),
+                 F.coalesce(won, F.lit(False)).alias("credited_win"),
+                 F.col("attendance").alias("home_attendance")),
         F.struct(F.col("away_team_id").alias("team_id"), F.lit(False).alias("is_home"),
                  (won == F.lit(False)).eqNullSafe(F.lit(True)).alias("won"),
-                 (~F.coalesce(won, F.lit(False))).alias("credited_win")))
+                 (~F.coalesce(won, F.lit(False))).alias("credited_win"),
+                 F.lit(None).cast("int").alias("home_attendance")))
     return games.select("game_id", "game_date", F.inline(roles))
 
 
@@ -52,9 +54,7 @@ def team_records(season_games: DataFrame) -> DataFrame:
             .agg(F.sum(F.when(credited, 1).otherwise(0)).cast("bigint").alias("wins"),
                  F.sum(F.when(credited, 0).otherwise(1)).cast("bigint").alias("losses"))
             .where((F.col("wins") > 0) & (F.col("losses") > 0))
-            .withColumn("pct", F.round(F.col("wins").cast("double") /
-                                       (F.col("wins") + F.col("losses")).cast("double"), 3)
-                        .cast("float")))
+            .withColumn("pct", _ratio3("wins", F.col("wins") + F.col("losses"))))
 
 
 def avg_attendance(season_games: DataFrame, teams: DataFrame) -> DataFrame:
@@ -65,3 +65,34 @@ def avg_attendance(season_games: DataFrame, teams: DataFrame) -> DataFrame:
     cap = teams.select(F.col("team_id").alias("home_team_id"),
                        F.col("stadium_capacity").alias("stadium_cap"))
     return avg.join(F.broadcast(cap), "home_team_id")
+
+
+def team_state(season_games: DataFrame, teams: DataFrame) -> DataFrame:
+    """Last game, record and home attendance of every team in one aggregation.
+
+    The three per-team blocks of the feature query read the same season games;
+    one ``groupBy(team_id)`` (combined map-side) gives all of them.  Columns
+    are null where the source's inner join would drop the team: no game
+    (last game), no win or no loss (record, N3), no attended home game.
+    """
+    credited = F.col("credited_win")
+    att = F.col("home_attendance")
+    agg = (team_games(season_games)
+           .groupBy("team_id")
+           .agg(F.max_by(F.struct("game_id", F.col("won").alias("won_game")),
+                         F.struct("game_date", "game_id")).alias("_g"),
+                F.sum(F.when(credited, 1).otherwise(0)).cast("bigint").alias("wins"),
+                F.sum(F.when(credited, 0).otherwise(1)).cast("bigint").alias("losses"),
+                F.round(F.avg(att)).cast("int").alias("avg_att")))
+    dims = F.broadcast(teams.select("team_id", F.col("stadium_capacity").alias("stadium_cap")))
+    return agg.join(dims, "team_id").select(
+        "team_id", F.col("_g.game_id").alias("last_team_game_id"), F.col("_g.won_game").alias("won_game"),
+        "wins", "losses",
+        F.when((F.col("wins") > 0) & (F.col("losses") > 0),
+               _ratio3("wins", F.col("wins") + F.col("losses"))).alias("team_winning_pct"),
+        "avg_att", "stadium_cap")
+
+
+def _ratio3(num, den):
+    from ..functions.arith import round_ratio
+    return round_ratio(num, den, 3).cast("float")

@@ -20,7 +20,7 @@ from ..functions.text import bool_text, flag_text
 from ..operators.history import history_rows, recent_arrays, recent_n
 from ..operators.latest import latest_per_key
 from ..operators.pivot import complete_rows, pivot_codes
-from ..operators.team import avg_attendance, last_team_game, team_records
+from ..operators.team import team_state
 from ..sources.tables import Tables
 
 PROJECTION_SOURCES = ("nf", "bm", "rw", "fp")
@@ -59,8 +59,9 @@ def player_asof(players: DataFrame, changelog: DataFrame, as_of: Column, season_
                 slack_days: int = 1, only: DataFrame | None = None) -> DataFrame:
     """Player bio joined (left) to the latest change, as of the date."""
     if only is not None:
+        # Only the changelog aggregate needs the restriction; players meet the
+        # targets in an inner join later anyway.
         changelog = changelog.join(only, "player_id", "left_semi")
-        players = players.join(only, "player_id", "left_semi")
     ch = changelog_asof(changelog, as_of, season_start, slack_days)
     return (players.select("player_id", "bref_id", "height", "weight", "draft_pick", "dob", "debut_date")
             .join(ch, "player_id", "left")
@@ -127,11 +128,13 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    last = last_team_game(season, t.teams).select(
-        F.col("team_id").alias("current_team_id"), F.col("game_id").alias("last_team_game_id"), "won_game")
-    att = avg_attendance(season, t.teams)
-    records = team_records(season).select(F.col("team_id").alias("current_team_id"),
-                                          F.col("pct").alias("team_winning_pct"))
+    state = team_state(season, t.teams)
+    last = state.where(F.col("last_team_game_id").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game")
+    att = state.where(F.col("avg_att").isNotNull()).select(
+        F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
+    records = state.where(F.col("team_winning_pct").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "team_winning_pct")
     recent = _recent(t, season, targets, stat, n_recent)
 
     df = (proj.join(pl, "player_id")
@@ -209,11 +212,13 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    last = last_team_game(season, t.teams).select(
-        F.col("team_id").alias("current_team_id"), F.col("game_id").alias("last_team_game_id"), "won_game")
-    att = avg_attendance(season, t.teams)
-    records = team_records(season).select(F.col("team_id").alias("current_team_id"),
-                                          F.col("pct").alias("team_winning_pct"))
+    state = team_state(season, t.teams)
+    last = state.where(F.col("last_team_game_id").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game")
+    att = state.where(F.col("avg_att").isNotNull()).select(
+        F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
+    records = state.where(F.col("team_winning_pct").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "team_winning_pct")
     inj = injured_counts(t.players)
     inj_home = F.broadcast(inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home")))
     inj_away = F.broadcast(inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away")))
