@@ -100,4 +100,4 @@ def set_where(base: DataFrame, cond: Column, assignments: Mapping[str, Column])
 
 def delete_matching(base: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``DELETE FROM base WHERE (keys) IN (doomed)``: an anti-join."""
-    return base.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
+    return base.join(doomed.select(*keys).distinct(), list(keys), "left_anti").select(*base.columns)

@@ -131,7 +131,7 @@ def fill_projection_roster(projections: DataFrame, players: DataFrame, games: Da
     filled = apply_update(todays, roster, ["player_id"], {
         "team_id": "u_team_id", "depth_pos": "u_depth_pos", "is_starter": "u_is_starter"},
         where=F.col("team_id").isNull() & F.col("depth_pos").isNull())
-    return others.unionByName(filled)
+    return others.unionByName(filled).select(*projections.columns)
 
 
 def load_projections(projections: DataFrame, batch: DataFrame, players: DataFrame, games: DataFrame,
