@@ -19,16 +19,14 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from rosterframe.plans import backfill as BF  # noqa: E402
 from rosterframe.plans import features as FE  # noqa: E402
 from rosterframe.plans import mutations as M  # noqa: E402
 from rosterframe.plans import queries as Q  # noqa: E402
 from rosterframe.session import local_session  # noqa: E402
 from rosterframe.sources import batches as B  # noqa: E402
-from rosterframe.sources.binding import bind, read_driver  # noqa: E402
-from rosterframe.sources.tables import read_tables, write_tables  # noqa: E402
+from rosterframe.sources.binding import materialize as materialize_binding  # noqa: E402
+from rosterframe.sources.binding import read_driver  # noqa: E402
 
 AS_OF, SEASON = "1998-11-18", "1998-01-01"
 
@@ -53,9 +51,8 @@ def main() -> None:
     store = f"{scratch}/tables"
 
     t0 = time.perf_counter()
-    write_tables(bind(spark, sf_dir), store)
+    t = materialize_binding(spark, sf_dir, store)
     materialize = time.perf_counter() - t0
-    t = read_tables(spark, store)
     lineitem = read_driver(spark, sf_dir, "lineitem")
 
     headline = {
@@ -85,11 +82,10 @@ def main() -> None:
         "materialize_tables_sec": round(materialize, 3),
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": cpus,
-        "rows": {"ml_features": t.games.sparkSession and FE.ml_features(t, AS_OF, "pts", SEASON).count(),
+        "rows": {"ml_features": FE.ml_features(t, AS_OF, "pts", SEASON).count(),
                  "ml_features_backfill": BF.ml_features_backfill(t, "pts", training=True).count()},
     }
     print(json.dumps(out))
-    _ = F
     spark.stop()
 
 

@@ -21,7 +21,7 @@ from ..operators.history import history_rows, recent_arrays, recent_n
 from ..operators.latest import latest_per_key
 from ..operators.pivot import complete_rows, pivot_codes
 from ..operators.team import team_state
-from ..sources.tables import Tables
+from ..sources.tables import Tables, prune_months
 
 PROJECTION_SOURCES = ("nf", "bm", "rw", "fp")
 
@@ -34,15 +34,15 @@ def source_columns(stat: str) -> list[str]:
 def season_window(games: DataFrame, as_of: Column, season_start: Column) -> DataFrame:
     """Games strictly after the season start and strictly before the date."""
     d = F.col("game_date")
-    return games.where((d > season_start) & (d < as_of))
+    return prune_months(games, season_start, as_of).where((d > season_start) & (d < as_of))
 
 
 def projections_on(projections: DataFrame, games: DataFrame, as_of: Column, stat: str,
                    extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Sources pivoted for the games on the date, only complete rows kept."""
-    on_date = games.where(F.col("game_date") == as_of).select("game_id")
+    on_date = prune_months(games, as_of, as_of).where(F.col("game_date") == as_of).select("game_id")
     cols = source_columns(stat)
-    wide = pivot_codes(projections.join(on_date, "game_id", "left_semi"),
+    wide = pivot_codes(prune_months(projections, as_of, as_of).join(on_date, "game_id", "left_semi"),
                        ["player_id", "game_id", *extra_keys], "source_id", stat,
                        {c: S.SOURCE_CODES[c] for c in cols})
     return complete_rows(wide, cols)
@@ -51,7 +51,8 @@ def projections_on(projections: DataFrame, games: DataFrame, as_of: Column, stat
 def changelog_asof(changelog: DataFrame, as_of: Column, season_start: Column,
                    slack_days: int = 1) -> DataFrame:
     """Latest change per player with ``season_start <= changed_on <= as_of + slack``."""
-    window = changelog.where(F.col("changed_on").between(season_start, F.date_add(as_of, slack_days)))
+    upto = F.date_add(as_of, slack_days)
+    window = prune_months(changelog, season_start, upto).where(F.col("changed_on").between(season_start, upto))
     return latest_per_key(window, ["player_id"], ["changed_on", "change_id"])
 
 
@@ -80,8 +81,10 @@ def player_asof(players: DataFrame, changelog: DataFrame, as_of: Column, season_
                     month_diff(as_of, F.col("debut_date")).alias("exp_months")))
 
 
-def _recent(t: Tables, season: DataFrame, targets: DataFrame | None, stat: str, n_recent: int) -> DataFrame:
-    stats = t.stats if targets is None else t.stats.join(targets, "player_id", "left_semi")
+def _recent(t: Tables, season: DataFrame, targets: DataFrame | None, stat: str, n_recent: int,
+            months: tuple[Column, Column] | None = None) -> DataFrame:
+    stats = t.stats if months is None else prune_months(t.stats, *months)
+    stats = stats if targets is None else stats.join(targets, "player_id", "left_semi")
     return recent_arrays(recent_n(history_rows(stats, season, t.teams), n_recent), stat)
 
 
@@ -119,12 +122,12 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     teams = F.broadcast(t.teams)
 
     pl = player_asof(t.players, t.player_changelog, d, s0, changelog_slack_days, targets)
-    games = t.games.select("game_id", "game_date", "game_time_24_et", "day_of_week", "home_team_id",
-                           "away_team_id", "home_spread", "home_pred_pts", "away_pred_pts",
-                           "home_team_injured", "away_team_injured")
+    games = prune_months(t.games, d, d).select(
+        "game_id", "game_date", "game_time_24_et", "day_of_week", "home_team_id", "away_team_id",
+        "home_spread", "home_pred_pts", "away_pred_pts", "home_team_injured", "away_team_injured")
     home_team = teams.select(F.col("team_id").alias("home_team_id"), F.col("tz_hrs_over_utc").alias("game_tz"),
                              F.array("stadium_lat_n", "stadium_lng_w").alias("game_lat_lng"))
-    actual = t.stats.select("player_id", "game_id", F.col(stat).alias("actual_stat"))
+    actual = prune_months(t.stats, d, d).select("player_id", "game_id", F.col(stat).alias("actual_stat"))
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
@@ -135,7 +138,7 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
         F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
     records = state.where(F.col("team_winning_pct").isNotNull()).select(
         F.col("team_id").alias("current_team_id"), "team_winning_pct")
-    recent = _recent(t, season, targets, stat, n_recent)
+    recent = _recent(t, season, targets, stat, n_recent, (s0, d))
 
     df = (proj.join(pl, "player_id")
           .join(games, "game_id")
@@ -205,8 +208,9 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
         int_div("current_salary", F.lit(10000)).cast("int").alias("current_salary"),
         month_diff(d, F.col("dob")).alias("age"), month_diff(d, F.col("debut_date")).alias("exp_months"),
         F.col("current_team").alias("current_team_id"))
-    games = t.games.select("game_id", "game_date", "game_time_24_et", "day_of_week", "home_team_id",
-                           "away_team_id", "home_spread", "home_pred_pts", "away_pred_pts")
+    games = prune_months(t.games, d, d).select(
+        "game_id", "game_date", "game_time_24_et", "day_of_week", "home_team_id", "away_team_id",
+        "home_spread", "home_pred_pts", "away_pred_pts")
     home_team = teams.select(F.col("team_id").alias("home_team_id"), F.col("tz_hrs_over_utc").alias("game_tz"),
                              F.array("stadium_lat_n", "stadium_lng_w").alias("game_lat_lng"))
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
@@ -222,7 +226,7 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     inj = injured_counts(t.players)
     inj_home = F.broadcast(inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home")))
     inj_away = F.broadcast(inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away")))
-    recent = _recent(t, season, targets, stat, n_recent)
+    recent = _recent(t, season, targets, stat, n_recent, (s0, d))
 
     df = (proj.join(pl, "player_id")
           .join(games, "game_id")

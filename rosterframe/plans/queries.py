@@ -9,7 +9,7 @@ from .. import schema as S
 from ..functions.arith import fantasy_score, int_div
 from ..functions.dates import as_date
 from ..operators.pivot import complete_rows, pivot_codes
-from ..sources.tables import Tables
+from ..sources.tables import Tables, prune_months
 
 GAME_COLUMNS = ("game_id", "away_team_id", "home_team_id", "bref_slug")
 
@@ -18,9 +18,11 @@ def games(t: Tables, date_or_min=None, max_date=None) -> DataFrame:
     """Games on a date, in an inclusive range, or all; latest first (nulls first)."""
     g = t.games
     if date_or_min is not None and max_date is None:
-        g = g.where(F.col("game_date") == as_date(date_or_min))
+        day = as_date(date_or_min)
+        g = prune_months(g, day, day).where(F.col("game_date") == day)
     elif date_or_min is not None:
-        g = g.where(F.col("game_date").between(as_date(date_or_min), as_date(max_date)))
+        lo, hi = as_date(date_or_min), as_date(max_date)
+        g = prune_months(g, lo, hi).where(F.col("game_date").between(lo, hi))
     return g.orderBy(F.col("game_date").desc_nulls_first(), F.col("game_id")).select(*GAME_COLUMNS)
 
 
@@ -72,18 +74,22 @@ def prediction_scores(t: Tables, date=None, source: str = "model_a", created_aft
     the single-date report.  Rows multiply by the player's games on the date
     and by salary sites unless ``site`` is given (N7).
     """
-    pr = t.predictions.where((F.col("source") == source) &
-                             (F.col("created") > F.lit(created_after).cast("timestamp")))
-    if date is not None:
-        pr = pr.where(F.col("game_date") == as_date(date))
+    day = None if date is None else as_date(date)
+    pr = prune_months(t.predictions, day, day).where(
+        (F.col("source") == source) & (F.col("created") > F.lit(created_after).cast("timestamp")))
+    if day is not None:
+        pr = pr.where(F.col("game_date") == day)
     wide = pivot_codes(pr, ["player_bref_id", "game_date", "source"], "stat_type", "prediction",
                        {s: s for s in S.STAT_TYPES})
     # tpt is pivoted but neither required nor scored.
     wide = complete_rows(wide, [s for s in S.STAT_TYPES if s != "tpt"])
     pl = t.players.select(F.col("bref_id").alias("player_bref_id"), "player_id", "player_position")
-    act = (t.stats.join(t.games.select("game_id", "game_date"), "game_id")
+    games = prune_months(t.games, day, day).select("game_id", "game_date")
+    act = (prune_months(t.stats, day, day).select("player_id", "game_id", "mins", *S.STAT_TYPES)
+           .join(games, "game_id")
            .select("player_id", "game_date", "mins", *[F.col(s).alias(f"act_{s}") for s in S.STAT_TYPES]))
-    sal = t.salaries if site is None else t.salaries.where(F.col("site") == site)
+    sal = prune_months(t.salaries, day, day)
+    sal = sal if site is None else sal.where(F.col("site") == site)
     pred_pts = fantasy_score()
     return (wide.join(pl, "player_bref_id")
             .join(act, ["player_id", "game_date"])

@@ -235,3 +235,42 @@ def bind(spark: SparkSession, sf_dir: str) -> Tables:
         salaries=bind_salaries(stats, games),
         new_ids=bind_new_ids(r("events")),
     )
+
+
+def materialize(spark: SparkSession, sf_dir: str, root: str) -> Tables:
+    """Store the bound league tables under ``root`` and return them read back.
+
+    Games and stats are written first and the derived tables are built from
+    the stored copies, so the line-item aggregation runs once (and the
+    written tables cut the lineage).
+    """
+    from .tables import Tables as _T
+    from .tables import read_tables, write_tables
+
+    r = lambda n: read_driver(spark, sf_dir, n)
+    games = bind_games(r("orders"))
+    first = _T(games=games, teams=bind_teams(r("nation")), players=bind_players(r("part")),
+               player_changelog=bind_changelog(r("lineitem")), projections=None, stats=None,
+               predictions=None, salaries=None, new_ids=bind_new_ids(r("events")))
+    for name in ("games", "teams", "players", "player_changelog", "new_ids"):
+        write_tables(_only(first, name), root)
+    stored = read_tables(spark, root, only=("games",))
+    stats = bind_stats(r("lineitem"), stored.games.drop("game_month"))
+    write_tables(_only(first.with_(games=stored.games, stats=stats), "stats"), root)
+    stored = read_tables(spark, root, only=("games", "stats"))
+    g, s = stored.games.drop("game_month"), stored.stats.drop("game_month")
+    rest = first.with_(games=stored.games, projections=bind_projections(s), predictions=bind_predictions(s, g),
+                       salaries=bind_salaries(s, g))
+    for name in ("projections", "predictions", "salaries"):
+        write_tables(_only(rest, name), root)
+    return read_tables(spark, root)
+
+
+def _only(t: Tables, name: str):
+    """A view of ``t`` whose ``items()`` yields one table (for ``write_tables``)."""
+    class _One:
+        games = t.games
+
+        def items(self):
+            return [(name, getattr(t, name))]
+    return _One()

@@ -33,28 +33,65 @@ class Tables:
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
 
-def read_tables(spark: SparkSession, root: str) -> Tables:
-    """Read ``root/<table>`` Parquet directories with their declared schemas."""
-    return Tables(**{name: spark.read.schema(sch).parquet(f"{root}/{name}")
+def read_tables(spark: SparkSession, root: str, only: tuple[str, ...] | None = None) -> Tables:
+    """Read ``root/<table>`` Parquet directories with their declared schemas
+    (month-partitioned tables also carry their partition column)."""
+    return Tables(**{name: (spark.read.schema(sch).parquet(f"{root}/{name}") if only is None or name in only
+                            else None)
                      for name, sch in S.TABLE_SCHEMAS.items()})
 
 
-# Physical layout of stored snapshots.  Games and the per-game facts are
-# partitioned by month so that season windows and single-date queries prune
-# files; the rest are small or keyed by player.
-PARTITION_COLUMNS = {"games": "game_month", "predictions": "game_month", "salaries": "game_month"}
+# Physical layout of stored snapshots: date-keyed facts are partitioned by the
+# month of their game (or of the change), so that season windows and single
+# dates prune whole folders.  Spark cannot derive a month predicate from a date
+# predicate, so readers add it with ``prune_months``.
+PARTITION_COLUMNS = {"games": "game_month", "predictions": "game_month", "salaries": "game_month",
+                     "stats": "game_month", "projections": "game_month", "player_changelog": "change_month"}
 
 
-def write_tables(tables: Tables, root: str, mode: str = "overwrite") -> None:
-    """Write every table as Parquet; date-keyed tables partitioned by month."""
+def _with_partition(name: str, df: DataFrame, games: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
+    part = PARTITION_COLUMNS.get(name)
+    if part is None:
+        return df
+    df = df.drop(part) if part in df.columns else df
+    if name == "player_changelog":
+        return df.withColumn(part, F.date_format("changed_on", "yyyy-MM"))
+    if "game_date" in df.columns:
+        return df.withColumn(part, F.date_format("game_date", "yyyy-MM"))
+    months = games.select("game_id", F.date_format("game_date", "yyyy-MM").alias(part))
+    return df.join(months, "game_id", "left").select(*df.columns, part)
+
+
+def write_tables(tables: Tables, root: str, mode: str = "overwrite") -> None:
+    """Write every table as Parquet, date-keyed tables partitioned by month
+    (the partition column is recomputed, so changed tables can be written back)."""
     for name, df in tables.items():
+        out = _with_partition(name, df, tables.games)
         part = PARTITION_COLUMNS.get(name)
         if part:
-            (df.withColumn(part, F.date_format("game_date", "yyyy-MM"))
-               .repartition(part).write.mode(mode).partitionBy(part).parquet(f"{root}/{name}"))
+            out.repartition(part).write.mode(mode).partitionBy(part).parquet(f"{root}/{name}")
         else:
-            df.write.mode(mode).parquet(f"{root}/{name}")
+            out.write.mode(mode).parquet(f"{root}/{name}")
+
+
+def prune_months(df: DataFrame, lo=None, hi=None) -> DataFrame:
+    """Add a month-partition predicate matching a date range, if ``df`` is a
+    month-partitioned stored table; a no-op for any other DataFrame.
+
+    ``lo``/``hi`` are date Columns (literals or foldable expressions), so the
+    predicate folds to constants and prunes partitions at planning time.
+    """
+    from pyspark.sql import functions as F
+    part = next((c for c in ("game_month", "change_month") if c in df.columns), None)
+    if part is None:
+        return df
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col(part) >= F.date_format(lo, "yyyy-MM"))
+    if hi is not None:
+        cond = cond & (F.col(part) <= F.date_format(hi, "yyyy-MM"))
+    return df.where(cond)
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:
