@@ -85,18 +85,22 @@ def ingest(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()
 
     Returns ``(good, bad)``: ``good`` has the table columns (plus ``keep``
     columns such as a batch order); ``bad`` holds every record with a value
-    that is present but does not parse, with the keys that failed.
+    that is present but does not parse, with the keys that failed.  The good
+    path is one codegen'd projection and filter; the list of failed keys is
+    only built for the rejected records.
     """
+    from functools import reduce
+
     types = {f.name: f.dataType for f in records.schema.fields}
-    typed = [_typed(F.col(f"`{f.key}`"), f.type, types[f.key]).alias(f.column) for f in fields]
-    failed = F.filter(F.array(*[
-        F.when(F.col(f"`{f.key}`").isNotNull() & _typed(F.col(f"`{f.key}`"), f.type, types[f.key]).isNull(),
-               F.lit(f.key)) for f in fields]), lambda x: x.isNotNull())
-    tagged = records.select(*[F.col(f"`{k}`") for k in keep], *typed, failed.alias("_failed"),
-                            F.to_json(F.struct(*[F.col(f"`{f.key}`") for f in fields])).alias("_record"))
-    ok = F.size("_failed") == 0
-    good = tagged.where(ok).drop("_failed", "_record")
-    bad = tagged.where(~ok).select(*keep, F.col("_failed").alias("failed_keys"), F.col("_record").alias("record"))
+    raw = {f.key: F.col(f"`{f.key}`") for f in fields}
+    typed = {f.key: _typed(raw[f.key], f.type, types[f.key]) for f in fields}
+    ok = reduce(lambda a, b: a & b, [raw[f.key].isNull() | typed[f.key].isNotNull() for f in fields])
+    kept = [F.col(f"`{k}`") for k in keep]
+    good = records.where(ok).select(*kept, *[typed[f.key].alias(f.column) for f in fields])
+    failed = F.array_compact(F.array(*[
+        F.when(raw[f.key].isNotNull() & typed[f.key].isNull(), F.lit(f.key)) for f in fields]))
+    bad = records.where(~ok).select(*kept, failed.alias("failed_keys"),
+                                    F.to_json(F.struct(*[raw[f.key] for f in fields])).alias("record"))
     return good, bad
 
 

@@ -161,3 +161,14 @@ def test_predictions_request(spark, gt):
     assert (r.stat_type, r.prediction, r.player_bref_id) == ("reb", 12.5, "p10")
     with pytest.raises(ValueError):
         M.insert_predictions(gt.predictions, recs, "x", AS_OF, "bad", "2018-01-01 00:00:00")
+
+
+def test_jdbc_typing_matches_declared_schema(spark):
+    from rosterframe import schema as S
+    from rosterframe.sources.jdbc import typed
+    raw = spark.createDataFrame([(1, "2016-11-01", 3, "7", True)],
+                                "player_id int, changed_on string, new_team long, new_salary string, new_starting boolean")
+    out = typed(raw, "player_changelog")
+    assert out.schema.simpleString() == S.PLAYER_CHANGELOG.simpleString()
+    r = out.first()
+    assert (r.player_id, str(r.changed_on), r.new_team, r.new_salary, r.change_id) == (1, "2016-11-01", 3, 7, None)
