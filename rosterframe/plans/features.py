@@ -20,7 +20,7 @@ from ..functions.text import bool_text, flag_text
 from ..operators.history import history_rows, recent_arrays, recent_n
 from ..operators.latest import latest_per_key
 from ..operators.pivot import complete_rows, pivot_codes
-from ..operators.team import team_state
+from ..operators.team import avg_attendance, team_state
 from ..sources.tables import Tables, prune_months
 
 PROJECTION_SOURCES = ("nf", "bm", "rw", "fp")
@@ -131,13 +131,13 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    state = team_state(season, t.teams)
-    last = state.where(F.col("last_team_game_id").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game")
-    att = state.where(F.col("avg_att").isNotNull()).select(
-        F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
-    records = state.where(F.col("team_winning_pct").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "team_winning_pct")
+    # Last game and record come from one per-team aggregate, joined once on the
+    # player's team; attendance is keyed by the home team, so it is its own
+    # (home games only) aggregate.  Both are bounded by the number of teams.
+    team = team_state(season, t.teams).where(
+        F.col("last_team_game_id").isNotNull() & F.col("team_winning_pct").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
+    att = avg_attendance(season, t.teams)
     recent = _recent(t, season, targets, stat, n_recent, (s0, d))
 
     df = (proj.join(pl, "player_id")
@@ -145,9 +145,8 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
           .join(home_team, "home_team_id")
           .join(actual, ["player_id", "game_id"])
           .join(own_team, "current_team_id", "left")
-          .join(F.broadcast(last), "current_team_id")
+          .join(F.broadcast(team), "current_team_id")
           .join(F.broadcast(att), "home_team_id")
-          .join(F.broadcast(records), "current_team_id")
           .join(recent, "player_id"))
     df = _with_opponent(df, t.teams, "current_team_id")
     is_home, game_cols = _game_block(t, "current_team_id")
@@ -216,13 +215,13 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    state = team_state(season, t.teams)
-    last = state.where(F.col("last_team_game_id").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game")
-    att = state.where(F.col("avg_att").isNotNull()).select(
-        F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
-    records = state.where(F.col("team_winning_pct").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "team_winning_pct")
+    # Last game and record come from one per-team aggregate, joined once on the
+    # player's team; attendance is keyed by the home team, so it is its own
+    # (home games only) aggregate.  Both are bounded by the number of teams.
+    team = team_state(season, t.teams).where(
+        F.col("last_team_game_id").isNotNull() & F.col("team_winning_pct").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
+    att = avg_attendance(season, t.teams)
     inj = injured_counts(t.players)
     inj_home = F.broadcast(inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home")))
     inj_away = F.broadcast(inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away")))
@@ -232,9 +231,8 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
           .join(games, "game_id")
           .join(home_team, "home_team_id")
           .join(own_team, "current_team_id", "left")
-          .join(F.broadcast(last), "current_team_id")
+          .join(F.broadcast(team), "current_team_id")
           .join(F.broadcast(att), "home_team_id")
-          .join(F.broadcast(records), "current_team_id")
           .join(recent, "player_id")
           .join(inj_home, "home_team_id", "left")
           .join(inj_away, "away_team_id", "left"))
