@@ -83,7 +83,7 @@ def safe(table: str, alias: str = "") -> str:
         elif n == "timestamp":
             out.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {f.name}")
         elif n == "array":
-            out.append(f"to_json({c}) AS {f.name}")
+            out.append(f"CAST(to_json({c}) AS VARCHAR) AS {f.name}")
         else:
             out.append(f"{c} AS {f.name}" if alias else f.name)
     return ", ".join(out)

@@ -130,7 +130,7 @@ def _op_ingest_map(t, r):
 
 
 @register("op_ingest_rejects", f""", {PLAYER_RECORDS}
-SELECT batch_seq, to_json(['birthdate']) AS failed_keys FROM player_typed WHERE bad_birthdate""")
+SELECT batch_seq, CAST(to_json(['birthdate']) AS VARCHAR) AS failed_keys FROM player_typed WHERE bad_birthdate""")
 def _op_ingest_rejects(t, r):
     return B.player_batch(r("customer"))[1].select("batch_seq", "failed_keys")
 
