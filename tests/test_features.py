@@ -92,3 +92,27 @@ def test_parameters_are_validated(gt):
         ml_features(gt, AS_OF, "points", SEASON)
     with pytest.raises(ValueError):
         ml_features(gt, AS_OF, "pts", SEASON, n_recent=0)
+
+
+def test_season_functions(spark):
+    from rosterframe.plans.backfill import calendar_season, october_season
+    df = spark.createDataFrame([("2016-11-15",), ("2017-03-01",), ("2016-10-01",)], "d string")
+    got = [(r.c, r.o) for r in df.select(calendar_season(F.col("d").cast("date")).cast("string").alias("c"),
+                                         october_season(F.col("d").cast("date")).cast("string").alias("o")).collect()]
+    assert got == [("2016-01-01", "2016-10-01"), ("2017-01-01", "2016-10-01"), ("2016-01-01", "2016-10-01")]
+
+
+def test_changelog_slack_is_a_parameter(gt):
+    no_slack = {r.player_id: str(r.changed_on) for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=0).collect()}
+    two = {r.player_id: str(r.changed_on) for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=2).collect()}
+    assert no_slack[10] == "2016-10-10" and two[10] == "2016-11-17"
+
+
+def test_backfill_october_seasons(gt):
+    from rosterframe.plans.backfill import october_season
+    bf = {(r.player_id, str(r.as_of)): r for r in ml_features_backfill(gt, "pts", season_of=october_season).collect()}
+    one = {r.player_id: r for r in ml_features(gt, AS_OF, "pts", SEASON).collect()}
+    for pid, r in one.items():
+        b = bf[(pid, AS_OF)]
+        assert (b.team_winning_pct, b.recent_of_stat, b.changed_on, b.days_into_season) == \
+            (r.team_winning_pct, r.recent_of_stat, r.changed_on, r.days_into_season)

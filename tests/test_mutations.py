@@ -172,3 +172,11 @@ def test_jdbc_typing_matches_declared_schema(spark):
     assert out.schema.simpleString() == S.PLAYER_CHANGELOG.simpleString()
     r = out.first()
     assert (r.player_id, str(r.changed_on), r.new_team, r.new_salary, r.change_id) == (1, "2016-11-01", 3, 7, None)
+
+
+def test_generated_keys_are_stable_under_rerun(spark):
+    batch = spark.range(0, 3000, numPartitions=5).select(((F.col("id") * 7919) % 3000).alias("batch_seq"))
+    base = spark.createDataFrame([(100,)], "k long")
+    a = sorted((r.batch_seq, r.k) for r in assign_keys(batch, base, "k", "batch_seq").collect())
+    b = sorted((r.batch_seq, r.k) for r in assign_keys(batch.repartition(3), base, "k", "batch_seq").collect())
+    assert a == b and a[0] == (0, 101)

@@ -51,3 +51,16 @@ def test_flagship_plan_shape(spark):
     plan = qe.executedPlan().toString()
     assert "WindowGroupLimit" in plan                     # top-N before the shuffle
     assert "BroadcastExchange" in plan                    # teams and per-team tables broadcast
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_result_types_match_the_oracle(spark, con, key):
+    df = E.queries()[key](spark, SF001)
+    rel = con.sql(E.oracle_sql()[key])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) == duck_types[f.name], f.name
