@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.arith import int_div  # noqa: F401  (kept for callers composing updates)
 from ..functions.dates import as_date, game_slug
 from ..functions.text import blank_to_null
 from ..operators.keys import assign_keys

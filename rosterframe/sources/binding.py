@@ -100,6 +100,9 @@ def bind_stats(lineitem: DataFrame, games: DataFrame) -> DataFrame:
 def bind_projections(stats: DataFrame) -> DataFrame:
     """Four sources per box score: stat + 0.5 * source, a few rows missing."""
     src = F.col("source_id")
+    # FIXTURES rules: a source is missing for one (player, game, source) in ten,
+    # and roster fields are unset for one player-game in seven.  They shape the
+    # data (incomplete pivots, work for the roster fill); every row is read.
     unset = (F.col("player_id") + F.col("game_id")) % 7 == 0
     return (stats
             .withColumn("source_id", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)])))
