@@ -118,7 +118,8 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     d, s0 = as_date(as_of), as_date(season_start)
     season = season_window(t.games, d, s0)
     proj = projections_on(t.projections, t.games, d, stat)
-    targets = proj.select("player_id").distinct()
+    # Semi-join keys need no distinct: a repeated key matches the same rows.
+    targets = proj.select("player_id")
     teams = F.broadcast(t.teams)
 
     pl = player_asof(t.players, t.player_changelog, d, s0, changelog_slack_days, targets)
@@ -196,7 +197,8 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     season = season_window(t.games, d, s0)
     proj = projections_on(t.projections, t.games, d, stat, ("team_id", "depth_pos", "is_starter"))
     proj = proj.drop("team_id", "depth_pos", "is_starter")
-    targets = proj.select("player_id").distinct()
+    # Semi-join keys need no distinct: a repeated key matches the same rows.
+    targets = proj.select("player_id")
     teams = F.broadcast(t.teams)
 
     pl = t.players.join(targets, "player_id", "left_semi").select(

@@ -116,3 +116,22 @@ def test_backfill_october_seasons(gt):
         b = bf[(pid, AS_OF)]
         assert (b.team_winning_pct, b.recent_of_stat, b.changed_on, b.days_into_season) == \
             (r.team_winning_pct, r.recent_of_stat, r.changed_on, r.days_into_season)
+
+
+def test_hot_keys_keep_results_exact(small_tables):
+    """A third of the games on one home team and a third of the changelog on one
+    player: the one-job backfill still equals the single-date query."""
+    t = small_tables
+    hot_game = F.col("game_id") % 3 == 0
+    games = t.games.withColumn("home_team_id", F.when(hot_game, F.lit(1)).otherwise(F.col("home_team_id"))) \
+        .withColumn("away_team_id", F.when(hot_game & (F.col("away_team_id") == 1), F.lit(2))
+                    .otherwise(F.col("away_team_id")))
+    changelog = t.player_changelog.withColumn(
+        "player_id", F.when(F.col("change_id") % 3 == 0, F.lit(2)).otherwise(F.col("player_id")))
+    hot = t.with_(games=games, player_changelog=changelog)
+    assert games.where("home_team_id = 1").count() * 3 >= games.count()
+    bf = csv_safe(ml_features_backfill(hot, "pts")).cache()
+    for day in ("1998-11-18", "2000-06-15"):
+        one = csv_safe(ml_features(hot, day, "pts", day[:4] + "-01-01"))
+        assert rows(one) == rows(bf.where(F.col("as_of") == day).select(*one.columns)), day
+    bf.unpersist()
