@@ -140,10 +140,13 @@ def load_projections(projections: DataFrame, batch: DataFrame, players: DataFram
 
 
 def insert_predictions(predictions: DataFrame, records: DataFrame, source: str, game_date, stat_type: str,
-                       created) -> DataFrame:
+                       created=None) -> DataFrame:
     """Records ``{Scored Label, bref_id}`` of one request, with the request's
-    source, date and stat type on each and ``created`` as the insert time."""
+    source, date and stat type on each and ``created`` as the insert time
+    (default: now, as the database default did)."""
     S.check_stat(stat_type)
+    if created is None:
+        created = F.current_timestamp()
     rows = records.select(
         F.lit(source).alias("source"), as_date(game_date).alias("game_date"), F.lit(stat_type).alias("stat_type"),
         F.col("`Scored Label`").cast("double").alias("prediction"),

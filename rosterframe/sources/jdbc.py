@@ -63,3 +63,15 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
             df = spark.read.jdbc(url, names[name], properties=opts)
         out[name] = typed(df, name)
     return Tables(**out)
+
+
+def write_jdbc_table(df: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append",
+                     num_partitions: int | None = None, batch_size: int = 10000) -> None:
+    """Write a table version back over JDBC (``mode="overwrite"`` replaces it).
+
+    ``num_partitions`` caps the concurrent connections (the service used at
+    most ten); rows go in batches of ``batch_size`` per statement.
+    """
+    out = df if num_partitions is None else df.coalesce(num_partitions)
+    (out.write.mode(mode).option("batchsize", batch_size)
+     .jdbc(url, table, mode=mode, properties=dict(properties)))

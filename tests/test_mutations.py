@@ -180,3 +180,9 @@ def test_generated_keys_are_stable_under_rerun(spark):
     a = sorted((r.batch_seq, r.k) for r in assign_keys(batch, base, "k", "batch_seq").collect())
     b = sorted((r.batch_seq, r.k) for r in assign_keys(batch.repartition(3), base, "k", "batch_seq").collect())
     assert a == b and a[0] == (0, 101)
+
+
+def test_prediction_created_defaults_to_now(spark, gt):
+    recs = spark.createDataFrame([(1.5, "p10")], "`Scored Label` double, bref_id string")
+    out = M.insert_predictions(gt.predictions, recs, "now", AS_OF, "pts")
+    assert out.where("source = 'now'").first().created is not None
