@@ -135,3 +135,9 @@ def test_hot_keys_keep_results_exact(small_tables):
         one = csv_safe(ml_features(hot, day, "pts", day[:4] + "-01-01"))
         assert rows(one) == rows(bf.where(F.col("as_of") == day).select(*one.columns)), day
     bf.unpersist()
+
+
+def test_backfill_lineage_cut_changes_nothing(small_tables):
+    a = csv_safe(ml_features_backfill(small_tables, "reb", n_recent=4))
+    b = csv_safe(ml_features_backfill(small_tables, "reb", n_recent=4, cut_lineage=True))
+    assert rows(a) == rows(b) and len(rows(a)) > 0
