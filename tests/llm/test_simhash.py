@@ -1,0 +1,125 @@
+"""SimHash classes against a brute-force version."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from rosterframe.llm import simhash as S
+from rosterframe.llm.graph import components
+
+SF = "/root/testdata/sf0.01"
+
+
+def slow_fp(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    sh = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or [" ".join(words)]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def roots(n, pairs):
+    up = list(range(n))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return [find(i) for i in range(n)]
+
+
+def brute(fps, distance):
+    x = np.array(fps, np.uint64)
+    return roots(len(x), [(i, int(j)) for i in range(len(x))
+                          for j in np.flatnonzero(np.bitwise_count(x[i + 1:] ^ x[i]) <= distance) + i + 1])
+
+
+def test_whole_table_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    src = sorted(docs.select("doc_id", "text").collect())
+    fps = [slow_fp(r.text) for r in src]
+    root = brute(fps, 4)
+    want = {r.doc_id: (f"{f:016x}", src[k].doc_id) for r, f, k in zip(src, fps, root)}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in S.simhash_classes(docs).collect()}
+    assert got == want
+
+
+def test_spark_hash_agrees(spark):
+    """The shingle hash is the XXH64 that Spark's own function computes."""
+    got = spark.sql("select xxhash64('ab cd ef gh') h").first().h & (2**64 - 1)
+    assert S.shingle_hashes(b"AB cd\x0bef  gh", 4, 42) == [got]
+
+
+def cluster(seed, n, flips):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**64, dtype=np.uint64)
+    out = [base]
+    for _ in range(n):
+        bits = rng.choice(64, rng.integers(0, flips), replace=False).astype(np.uint64)
+        out.append(base ^ np.bitwise_or.reduce(np.uint64(1) << bits) if len(bits) else base)
+    return np.unique(np.array(out, np.uint64))
+
+
+def test_gray_rank_is_the_inverse_of_the_gray_code():
+    k = np.arange(4096, dtype=np.uint64)
+    assert (S.gray_rank(k ^ (k >> np.uint64(1))) == k).all()
+
+
+def test_tree_on_dense_and_random_fingerprints():
+    rng = np.random.default_rng(7)
+    x = np.unique(np.concatenate([cluster(1, 700, 7), cluster(2, 400, 12), rng.integers(0, 2**64, 900, np.uint64)]))
+    u, v = S.gray_links(x, 4)
+    assert (np.bitwise_count(u ^ v) <= 4).all()
+    at = {int(f): i for i, f in enumerate(x)}
+    assert roots(len(x), [(at[int(a)], at[int(b)]) for a, b in zip(u, v)]) == brute(x, 4)
+    assert len(u) < len(x)
+
+
+def test_split_nodes_lose_no_link(spark):
+    """Blocks of 64 rows: hot patterns are cut into many Gray-contiguous blocks."""
+    x = np.unique(np.concatenate([cluster(3, 1200, 9), cluster(4, 300, 14)]))
+    df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")
+    got = {r.node: r.root for r in components(S.links(df, 4, block_rows=64)).collect()}
+    signed = [int(v) for v in x.view(np.int64)]
+    classes: dict[int, set] = {}
+    for f, k in zip(signed, brute(x, 4)):
+        classes.setdefault(k, set()).add(f)
+    found: dict[int, set] = {}
+    for f in signed:
+        found.setdefault(got.get(f, f), set()).add(f)
+    assert sorted(map(sorted, classes.values())) == sorted(map(sorted, found.values()))
+
+
+def test_edge_cases(docs_of):
+    long = "word " * 300_000 + "end"
+    rows = [(5, None), (2, ""), (9, " \n\t "), (1, "one two"), (1, "one two"), (None, "one two"), (7, long), (8, long),
+            (None, "alone in this text of words here")]
+    got = sorted(map(tuple, S.simhash_classes(docs_of(rows)).collect()), key=str)
+    by = {(r[0], r[1]): r[2] for r in got}
+    zero = "0" * 16
+    assert len(got) == len(rows)
+    assert {by[(i, zero)] for i in (5, 2, 9)} == {2}
+    assert by[(7, f"{slow_fp(long):016x}")] == 7 and by[(8, f"{slow_fp(long):016x}")] == 7
+    assert by[(None, f"{slow_fp('one two'):016x}")] == 1
+    assert by[(None, f"{slow_fp('alone in this text of words here'):016x}")] is None
+
+
+def test_empty_table(docs_of):
+    assert S.simhash_classes(docs_of([(1, "a")]).limit(0)).collect() == []
+
+
+def test_components_of_paths_hubs_and_repeats(spark):
+    e = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(500)] + [(100, 200)] * 3 + [(7, 7)]
+    df = spark.createDataFrame(e, "u long, v long").union(spark.sql("select cast(null as long), 3L"))
+    got = {r.node: r.root for r in components(df.select("u", "v")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in [100, *range(200, 700)]}}
+    assert components(df.where(F.lit(False))).count() == 0
