@@ -7,16 +7,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rosterframe.llm import line_dedup
 from rosterframe.llm.common import read
+from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return line_dedup.drop_site_lines(docs, max_ratio=0.1, min_pages=3).select("doc_id", "text", "n_lines_dropped")
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(read(spark, sf_dir, "documents"), shingle=4, max_distance=4, seed=42)
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), capacity=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
+}
