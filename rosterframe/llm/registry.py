@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterframe.llm import line_dedup
+from rosterframe.llm import line_dedup, quality_rules
 from rosterframe.llm.common import read
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
@@ -22,6 +22,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(read(spark, sf_dir, "documents"), shingle=4, max_distance=4, seed=42)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                               max_false_rejection=0.02, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
@@ -29,6 +34,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
