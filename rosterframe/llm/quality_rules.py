@@ -8,9 +8,10 @@ first failure (fixed-sequence testing, which needs no correction inside the sequ
 over strata and rules the level is Bonferroni-corrected, and the tolerated risk of a
 stratum is shared equally among its rules.  So with confidence ``1 - delta``, in no
 stratum do the rules together reject more than ``max_false_rejection`` of the
-clean documents.  Among the certified cutoffs the one that best separates the labelled
-classes is used; a rule that separates nothing, or that too few labels certify, rejects
-nothing.
+clean documents.  Among the certified cutoffs the one with the best gain is used: the
+share of labelled bad documents it catches, less the share of clean ones it loses in
+units of the tolerated risk.  A rule that gains nothing, or that too few labels certify,
+rejects nothing.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ RULES: dict[str, list[float]] = {
     "upper_share": [k / 100 for k in range(1, 100)],
     "repeat_share": [k / 100 for k in range(1, 100)],
     "dup_line_share": [k / 100 for k in range(1, 100)],
-    "chars_per_word": [k / 4 for k in range(8, 161)],
 }
 
 STATS = T.StructType(
@@ -76,7 +76,7 @@ def text_stats(text: bytes) -> tuple:
     lines = [x for x in text.split(b"\n") if x.strip()]
     dup, repeat = len(lines) - len(set(lines)), repeated_words(words)
     return (n, chars, symbols, dup, repeat, symbols / max(1, chars), upper / max(1, upper + lower), repeat / max(1, n),
-            dup / max(1, len(lines)), chars / max(1, n))
+            dup / max(1, len(lines)))
 
 
 def with_stats(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -150,7 +150,7 @@ def cutoffs(stats: DataFrame, labels: DataFrame, stratum: Column, max_false_reje
             j -= 1
         cutoff = None
         if ok and bad.sum():
-            gain = {j: caught[j] / bad.sum() - lost[j] / n for j in ok}
+            gain = {j: caught[j] / bad.sum() - lost[j] / n / risk for j in ok}
             best = [j for j in ok if gain[j] == max(gain.values())]
             cutoff = cs[best[len(best) // 2]] if max(gain.values()) > 0 else None
         return pd.DataFrame({"stratum": t["stratum"].iloc[:1], "rule": t["rule"].iloc[:1], "cutoff": [cutoff]})
@@ -161,7 +161,7 @@ def cutoffs(stats: DataFrame, labels: DataFrame, stratum: Column, max_false_reje
 
 # ---------------------------------------------------------------- operator
 
-def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = 0.02, delta: float = 0.05,
+def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = 0.05, delta: float = 0.05,
           stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per input row: ``row`` (a struct of the columns ``keep``, default all), the
     counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ``base_failed`` and ``kept``.

@@ -24,7 +24,7 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
-                               max_false_rejection=0.02, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
+                               max_false_rejection=0.05, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
