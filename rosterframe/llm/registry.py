@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterframe.llm import line_dedup, quality_rules
+from rosterframe.llm import line_dedup, mixing, quality_rules
 from rosterframe.llm.common import read
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
@@ -31,13 +31,25 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
 
+#: Sources are flattened until the smallest is repeated half as often again as the
+#: largest, or until the entropy is 98 % of the greatest possible.
+MIX = {"target_entropy": 0.98, "max_repetition": 1.5, "block_tokens": 1_000_000}
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(read(spark, sf_dir, "documents"), **MIX)
+            .select("doc_id", "source", "n_tokens", "epoch", "block", "order_key"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
+    "op10_source_mixing": mixing.oracle(**MIX),
 }
