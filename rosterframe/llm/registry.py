@@ -41,12 +41,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "source", "n_tokens", "epoch", "block", "order_key"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {

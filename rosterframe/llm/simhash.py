@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import materialize, shuffle_partitions
+from rosterframe.llm.common import materialize, same, shuffle_partitions
 from rosterframe.llm.graph import components
 
 LEAF, FAN = 32, 8
@@ -66,16 +66,18 @@ def majority_bits(hashes: list[int]) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash of every row, as a signed long.  Null or blank text: 0."""
+    """(doc_id, whole, fp): the SimHash of every row, as a signed long, and a digest of
+    the whole row.  Null or blank text: 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((majority_bits(shingle_hashes(t, shingle, seed)) if t else 0
-                               for t in (x.as_py() for x in b.column(1))), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+                               for t in (x.as_py() for x in b.column(2))), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))], ["doc_id", "whole", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(*(docs[c] for c in docs.columns)).alias("whole"),
+                      docs[text_col].cast("binary").alias("text"))
+    return src.mapInArrow(run, "doc_id long, whole long, fp long")
 
 
 # ------------------------------------------------------------------- index
@@ -260,7 +262,19 @@ def _split(placed: DataFrame, hot: DataFrame, most: int, max_distance: int, bloc
     return placed.join(hot, on, "left_anti").unionByName(dealt)
 
 
-# ---------------------------------------------------------------- operator
+# --------------------------------------------------------------- operators
+
+def _classes(docs: DataFrame, shingle: int, max_distance: int, seed: int, block_rows: int, id_col: str,
+             text_col: str) -> DataFrame:
+    """(doc_id, whole, fp, root, component_id) for every row."""
+    marked = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
+    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fps")
+    roots = components(links(distinct.select("fp"), max_distance, block_rows))
+    member = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(member.join(named, "root").select("fp", "root", "component_id"), "fp")
+
 
 def simhash_classes(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42,
                     block_rows: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,14 +287,21 @@ def simhash_classes(docs: DataFrame, shingle: int = 4, max_distance: int = 4, se
     - Null doc_id: the row takes part and is returned; it never names a component
       (a component with no other id has a null component_id).
     - Repeated rows are returned as often as they come.  Empty table: no rows.
-    - Other columns are neither read nor returned, so their names can't clash.
+    - Other columns are not returned, so their names can't clash.
     """
-    marked = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fps")
-    roots = components(links(distinct.select("fp"), max_distance, block_rows))
-    member = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = member.join(named, "root").select("fp", "component_id")
-    return (marked.join(classes, "fp")
+    return (_classes(docs, shingle, max_distance, seed, block_rows, id_col, text_col)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def one_per_class(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42,
+                  block_rows: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates: the one with the smallest
+    doc_id (a null id only where there is no other); among rows that share it, one and
+    always the same.  Nulls, empty texts and empty tables as in ``simhash_classes``."""
+    stays = (_classes(docs, shingle, max_distance, seed, block_rows, id_col, text_col)
+             .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "whole")).alias("m"))
+             .select(F.col("m.whole").alias("stays"), F.col("m.doc_id").alias("stays_id")))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+                       F.xxhash64(*(docs[c] for c in docs.columns)).alias("whole"), docs[id_col].cast("long").alias("id"))
+    return (rows.join(stays, (F.col("whole") == F.col("stays")) & same(F.col("id"), F.col("stays_id")), "left_semi")
+            .dropDuplicates(["whole", "id"]).select("row.*"))

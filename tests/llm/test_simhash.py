@@ -113,7 +113,17 @@ def test_edge_cases(docs_of):
     assert by[(None, f"{slow_fp('alone in this text of words here'):016x}")] is None
 
 
+def test_one_row_of_each_class_stays(docs_of):
+    rows = [(4, "a b c d e"), (3, "A b c d e", "de"), (3, "A b c d e", "de"), (3, "a b C d e"), (None, "a b c d e"), (8, ""), (7, None),
+            (None, "some other words stand in here"), (None, "some other words stand in here")]
+    got = S.one_per_class(docs_of(rows))
+    assert got.columns == docs_of(rows).columns
+    found = sorted(((r.doc_id, r.text and r.text.lower()) for r in got.collect()), key=str)
+    assert found == [(3, "a b c d e"), (7, None), (None, "some other words stand in here")]
+
+
 def test_empty_table(docs_of):
+    assert S.one_per_class(docs_of([(1, "a")]).limit(0)).collect() == []
     assert S.simhash_classes(docs_of([(1, "a")]).limit(0)).collect() == []
 
 
