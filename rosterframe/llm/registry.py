@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterframe.llm import line_dedup, mixing, quality_rules
+from rosterframe.llm import chat, line_dedup, mixing, quality_rules
 from rosterframe.llm.common import read
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
@@ -22,6 +22,12 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(read(spark, sf_dir, "documents"), shingle=4, max_distance=4, seed=42)
 
 
+def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = chat.mismatched_replies(read(spark, sf_dir, "conversations"))
+    out = chat.format_preferences(pairs, "conv_id")
+    return out.withColumns({c: chat.mask_text(out[c]) for c in ("chosen_mask", "rejected_mask")})
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
                                max_false_rejection=0.05, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
@@ -50,6 +56,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_preference_chat": op3_preference_chat,
     "op5_quality_rules": op5_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
@@ -58,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
+    "op3_preference_chat": chat.oracle(),
     "op10_source_mixing": mixing.oracle(**MIX),
 }
