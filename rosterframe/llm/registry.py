@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterframe.llm import chat, line_dedup, mixing, quality_rules
+from rosterframe.llm import chat, line_dedup, mixing, pii, quality_rules
 from rosterframe.llm.common import read
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
@@ -33,6 +34,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                max_false_rejection=0.05, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
 
 
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a secret of the corpus owner; this one serves the registered query."""
+    out = pii.pseudonymize(read(spark, sf_dir, "documents"), key="registered query", columns=["doc_id", "text"])
+    return out.select("doc_id", "text", F.size("pii").alias("n_private"), out.pii.kind.alias("kinds"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
@@ -58,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_preference_chat": op3_preference_chat,
     "op5_quality_rules": op5_quality_rules,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
     "pipeline": pipeline,
