@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterframe.llm import chat, line_dedup, mixing, pii, quality_rules
+from rosterframe.llm import chat, html_text, line_dedup, mixing, pii, quality_rules
 from rosterframe.llm.common import read
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
@@ -29,6 +29,14 @@ def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: chat.mask_text(out[c]) for c in ("chosen_mask", "rejected_mask")})
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's address ends in the number of its document, whose text labels the page."""
+    pages = read(spark, sf_dir, "pages")
+    doc_of = F.expr(r"try_cast(regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([0-9]+)', 1) as long)")
+    labelled = html_text.labelled_sample(pages, read(spark, sf_dir, "documents"), doc_of, fit_pages=2000)
+    return html_text.extract(pages, html_text.fit(labelled), columns=["page_id", "url"])
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
                                max_false_rejection=0.05, delta=0.05, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
@@ -64,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_preference_chat": op3_preference_chat,
+    "op4_html_main_text": op4_html_main_text,
     "op5_quality_rules": op5_quality_rules,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op9_best_fit_packing": op9_best_fit_packing,
