@@ -8,6 +8,7 @@ split by AQE in the join; no link list is ever gathered in one task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,37 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+class Labels:
+    """Components among n items, merged in batches of pairs."""
+
+    def __init__(self, label: np.ndarray):
+        self.of = label
+
+    def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Unite the pairs; returns the indexes of those that joined two components."""
+        la, lb = self.of[a], self.of[b]
+        open_ = np.flatnonzero(la != lb)
+        if not open_.size:
+            return open_
+        _, first = np.unique(np.stack([np.minimum(la, lb), np.maximum(la, lb)])[:, open_], axis=1, return_index=True)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        used = []
+        for k in open_[first].tolist():
+            x, y = find(int(la[k])), find(int(lb[k]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                used.append(k)
+        to = np.arange(self.of.max() + 1)
+        for x in root:
+            to[x] = find(x)
+        self.of = to[self.of]
+        return np.array(used, np.int64)

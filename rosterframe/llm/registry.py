@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterframe.llm import chat, html_text, line_dedup, mixing, pii, quality_rules
 from rosterframe.llm.common import read
+from rosterframe.llm.embedding_dedup import embedding_classes
 from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
 
@@ -48,6 +49,10 @@ def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("pii").alias("n_private"), out.pii.kind.alias("kinds"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_classes(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_main_text": op4_html_main_text,
     "op5_quality_rules": op5_quality_rules,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
     "pipeline": pipeline,

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterframe.llm.common import materialize, same, shuffle_partitions
-from rosterframe.llm.graph import components
+from rosterframe.llm.graph import Labels, components
 
 LEAF, FAN = 32, 8
 
@@ -90,40 +90,6 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return r
 
 
-class _Labels:
-    """Components among n items, merged in batches of pairs."""
-
-    def __init__(self, label: np.ndarray):
-        self.of = label
-
-    def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Unite the pairs; returns the indexes of those that joined two components."""
-        la, lb = self.of[a], self.of[b]
-        open_ = np.flatnonzero(la != lb)
-        if not open_.size:
-            return open_
-        _, first = np.unique(np.stack([np.minimum(la, lb), np.maximum(la, lb)])[:, open_], axis=1, return_index=True)
-        root: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while root.get(x, x) != x:
-                root[x] = root.get(root[x], root[x])
-                x = root[x]
-            return x
-
-        used = []
-        for k in open_[first].tolist():
-            x, y = find(int(la[k])), find(int(lb[k]))
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                used.append(k)
-        to = np.arange(self.of.max() + 1)
-        for x in root:
-            to[x] = find(x)
-        self.of = to[self.of]
-        return np.array(used, np.int64)
-
-
 def gray_links(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links (at most ``distance`` differing bits) among
     distinct uint64 fingerprints, found through a Gray-ordered tree of shared bits."""
@@ -132,7 +98,7 @@ def gray_links(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     near = np.bitwise_count(x[1:] ^ x[:-1]) <= distance
     at = np.flatnonzero(near)
     left, right = [at], [at + 1]
-    labels = _Labels(np.concatenate(([0], np.cumsum(~near))))
+    labels = Labels(np.concatenate(([0], np.cumsum(~near))))
     # the tree, leaves first: (AND, OR) of every node
     starts = np.arange(0, n, LEAF)
     levels = [(np.bitwise_and.reduceat(x, starts), np.bitwise_or.reduceat(x, starts))]
