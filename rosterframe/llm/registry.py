@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterframe.llm import chat, html_text, line_dedup, mixing, pii, quality_rules
+from rosterframe.llm.classifier import quality_scores
 from rosterframe.llm.common import read
 from rosterframe.llm.embedding_dedup import embedding_classes
 from rosterframe.llm.packing import pack
@@ -53,6 +54,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(read(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
     "pipeline": pipeline,
