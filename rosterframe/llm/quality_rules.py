@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterframe.llm.common import materialize, same
+from rosterframe.llm.common import materialize
 
 #: Rule -> its cutoffs, ascending.  A document is rejected above the cutoff.
 RULES: dict[str, list[float]] = {
@@ -175,15 +175,18 @@ def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = 0.05,
     - The input's columns stay inside ``row``, so no name can clash.
     """
     keep = docs.columns if keep is None else keep
-    stats = materialize(with_stats(docs, text_col, list(dict.fromkeys([*keep, id_col, stratum_col]))), "stats")
+    light = list(dict.fromkeys([*(c for c in keep if c != text_col), id_col, stratum_col]))
+    numbers = materialize(with_stats(docs, text_col, light), "stats")
     stratum = F.coalesce(F.concat(F.lit("="), F.col("row")[stratum_col].cast("string")), F.lit("null"))
-    limit = cutoffs(stats, labels, stratum, max_false_rejection, delta, id_col)
+    limit = cutoffs(numbers, labels, stratum, max_false_rejection, delta, id_col)
+    # with the texts, the counts are taken again on the way: cheaper than storing every text
+    stats = numbers if text_col not in keep else with_stats(docs, text_col, list(dict.fromkeys([*keep, stratum_col])))
     over = [F.coalesce(F.col("stats")[r] > F.col(r), F.lit(False)) for r in RULES]
     rejected = over[0]
     for o in over[1:]:
         rejected = rejected | o
     failed = base_failed(F.col("stats"))
-    return (stats.join(limit, same(stratum, F.col("stratum")), "left")
+    return (stats.join(limit, stratum == F.col("stratum"), "left")
             .select(F.struct(*(F.col("row")[c].alias(c) for c in keep)).alias("row"),
                     *(F.col("stats")[n].alias(n) for n in STATS.names[:5]),
                     failed.alias("base_failed"), (~failed & ~rejected).alias("kept")))
