@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import materialize, same, shuffle_partitions
+from rosterframe.llm.common import materialize, shuffle_partitions
 from rosterframe.llm.graph import Labels, components
 
 LEAF, FAN = 32, 8
@@ -64,20 +64,25 @@ def majority_bits(hashes: list[int]) -> int:
     return int((np.uint64(1) << np.flatnonzero(2 * counts > n).astype(np.uint64)).sum(dtype=np.uint64))
 
 
+def row_digest(docs: DataFrame) -> list[Column]:
+    """128 bits that stand for a whole row, as two longs."""
+    cols = [docs[c] for c in docs.columns]
+    return [F.xxhash64(*cols).alias("w1"), F.xxhash64(F.lit("other half"), *cols).alias("w2")]
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, whole, fp): the SimHash of every row, as a signed long, and a digest of
+    """(doc_id, w1, w2, fp): the SimHash of every row, as a signed long, and a digest of
     the whole row.  Null or blank text: 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((majority_bits(shingle_hashes(t, shingle, seed)) if t else 0
-                               for t in (x.as_py() for x in b.column(2))), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))], ["doc_id", "whole", "fp"])
+                               for t in (x.as_py() for x in b.column(3))), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fps.view(np.int64))], ["doc_id", "w1", "w2", "fp"])
 
-    src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(*(docs[c] for c in docs.columns)).alias("whole"),
-                      docs[text_col].cast("binary").alias("text"))
-    return src.mapInArrow(run, "doc_id long, whole long, fp long")
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), *row_digest(docs), docs[text_col].cast("binary").alias("text"))
+    return src.mapInArrow(run, "doc_id long, w1 long, w2 long, fp long")
 
 
 # ------------------------------------------------------------------- index
@@ -232,7 +237,7 @@ def _split(placed: DataFrame, hot: DataFrame, most: int, max_distance: int, bloc
 
 def _classes(docs: DataFrame, shingle: int, max_distance: int, seed: int, block_rows: int, id_col: str,
              text_col: str) -> DataFrame:
-    """(doc_id, whole, fp, root, component_id) for every row."""
+    """(doc_id, w1, w2, fp, root, component_id) for every row."""
     marked = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fps")
     roots = components(links(distinct.select("fp"), max_distance, block_rows))
@@ -265,9 +270,8 @@ def one_per_class(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed
     doc_id (a null id only where there is no other); among rows that share it, one and
     always the same.  Nulls, empty texts and empty tables as in ``simhash_classes``."""
     stays = (_classes(docs, shingle, max_distance, seed, block_rows, id_col, text_col)
-             .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "whole")).alias("m"))
-             .select(F.col("m.whole").alias("stays"), F.col("m.doc_id").alias("stays_id")))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
-                       F.xxhash64(*(docs[c] for c in docs.columns)).alias("whole"), docs[id_col].cast("long").alias("id"))
-    return (rows.join(stays, (F.col("whole") == F.col("stays")) & same(F.col("id"), F.col("stays_id")), "left_semi")
-            .dropDuplicates(["whole", "id"]).select("row.*"))
+             .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "w1", "w2")).alias("m"))
+             .select("m.w1", "m.w2"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_digest(docs))
+    # the rows travel once: what is left of repeated rows is dropped where the join put them
+    return rows.join(stays, ["w1", "w2"], "left_semi").dropDuplicates(["w1", "w2"]).select("row.*")
