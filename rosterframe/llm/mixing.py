@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import WORD, materialize, same
+from rosterframe.llm.common import WORD, materialize
 
 #: Halvings of [0, 1] in all, and those that one Spark job evaluates together.
 HALVINGS, AT_ONCE = 24, 6
@@ -80,8 +80,9 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repetition: fl
     """
     new = ["n_tokens", "epoch", "block", "order_key"]
     kept = [c for c in docs.columns if c.lower() not in new]
-    rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row"),
-                       docs[source_col].cast("string").alias("source"), docs[id_col].cast("string").alias("id"),
+    # sources by a name that is never null, so that joins and windows deal the rows out alike
+    name = F.coalesce(F.concat(F.lit("="), docs[source_col].cast("string")), F.lit("null"))
+    rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row"), name.alias("source"), docs[id_col].cast("string").alias("id"),
                        token_count(docs[text_col]).alias("n"), F.xxhash64(*(docs[c] for c in kept)).alias("whole"))
     slim = materialize(rows.select("source", "id", "n"), "token_counts")
     totals = slim.groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs"))
@@ -99,8 +100,7 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repetition: fl
 
     def copies(df: DataFrame, quotas: DataFrame) -> DataFrame:
         key = F.md5(F.concat_ws("|", F.lit(seed), "epoch", F.coalesce("id", F.lit("")), "n"))
-        q = quotas.withColumnRenamed("source", "of")
-        return (df.join(q, same(F.col("source"), F.col("of"))).drop("of")
+        return (df.join(quotas, "source")
                 .withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("quota") / F.col("tokens")) - 1).cast("int"))))
                 .withColumn("order_key", key).withColumn("bucket", F.substring("order_key", 1, digits)))
 
@@ -110,18 +110,15 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repetition: fl
                .withColumn("before", whole_pass - F.col("in_bucket")
                            + F.sum("in_bucket").over(Window.partitionBy("source", "epoch").orderBy("bucket")))
                .where(F.col("before") < F.col("quota")))
-    buckets = materialize(buckets.select(F.col("source").alias("of"), F.col("epoch").alias("in_epoch"),
-                                         F.col("bucket").alias("at"), "before"), "buckets")
-    last = buckets.groupBy("of", "in_epoch").agg(F.max("at").alias("last")).groupBy("of").agg(
-        F.max_by("last", "in_epoch").alias("last"))  # buckets of the last pass beyond it are not needed
-    quotas = materialize(quotas.join(last, same(F.col("source"), F.col("of"))).select("source", "tokens", "quota", "last"), "quotas")
+    buckets = materialize(buckets.select("source", "epoch", "bucket", "before"), "buckets")
+    last = buckets.groupBy("source", "epoch").agg(F.max("bucket").alias("last")).groupBy("source").agg(
+        F.max_by("last", "epoch").alias("last"))  # buckets of the last pass beyond it are not needed
+    quotas = materialize(quotas.join(last, "source").select("source", "tokens", "quota", "last"), "quotas")
     used = copies(rows, quotas).where((F.col("bucket") <= F.col("last")) | (whole_pass + F.col("tokens") < F.col("quota")))
-    placed = used.join(buckets, same(F.col("source"), F.col("of")) & (F.col("epoch") == F.col("in_epoch"))
-                       & (F.col("bucket") == F.col("at")))
     inside = (Window.partitionBy("source", "epoch", "bucket").orderBy("order_key", "id", "whole")
               .rowsBetween(Window.unboundedPreceding, -1))
     start = F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    return (placed.withColumn("start", start).where("start < quota")
+    return (used.join(buckets, ["source", "epoch", "bucket"]).withColumn("start", start).where("start < quota")
             .select("row.*", F.col("n").alias("n_tokens"), "epoch",
                     F.floor(F.col("start").cast("double") / F.col("quota") * n_blocks).cast("long").alias("block"), "order_key"))
 
