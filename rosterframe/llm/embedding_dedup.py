@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterframe.llm.common import materialize, shuffle_partitions
@@ -119,8 +119,7 @@ def sorted_blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block_rows:
             one = [(part << 32) + block, len(units), b"".join(t.column("code").to_pylist()),
                    t.column("vec_id").to_numpy().tobytes(), t.column("copies").to_numpy().tobytes(),
                    units.tobytes(), lead.tobytes(), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
-            kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(one, kinds)], BLOCK_NAMES)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(one, BLOCK_KINDS)], BLOCK_NAMES)
 
         for b in batches:
             b = b.select(["code", "vec_id", "copies", "unit"])
@@ -137,9 +136,40 @@ def sorted_blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block_rows:
 
     packed = (placed.repartitionByRange(shuffle_partitions(distinct.sparkSession), *order)
               .sortWithinPartitions(*order).mapInArrow(pack, BLOCK_SCHEMA))
-    return materialize(packed, "grid_blocks")
+    return materialize(_merged(materialize(packed, "grid_parts"), block_rows), "grid_blocks")
 
 
+def _merged(parts: DataFrame, block_rows: int) -> DataFrame:
+    """Neighbouring small blocks put together, so that how many partitions the sort had does not
+    matter: every block but the last gets between one and two times ``block_rows`` vectors.  The
+    running sum is over one row per stored block."""
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = parts.select(F.col("block").alias("part"), F.floor(before / block_rows).cast("long").alias("whole"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def one() -> pa.RecordBatch:
+            values = [held[0]["whole"], sum(r["rows"] for r in held), *(b"".join(r[c] for r in held) for c in BLOCK_NAMES[2:7]),
+                      np.min([r["lo"] for r in held], axis=0).tolist(), np.max([r["hi"] for r in held], axis=0).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, BLOCK_KINDS)], BLOCK_NAMES)
+
+        for b in batches:
+            for k in range(b.num_rows):
+                row = {n: b.column(i)[k].as_py() for i, n in enumerate(b.schema.names)}
+                if held and held[0]["whole"] != row["whole"]:
+                    yield one()
+                    held = []
+                held.append(row)
+        if held:
+            yield one()
+
+    return (parts.join(groups, F.col("block") == F.col("part")).select("whole", *BLOCK_NAMES)
+            .repartition(shuffle_partitions(parts.sparkSession), "whole").sortWithinPartitions("whole", "block")
+            .mapInArrow(run, BLOCK_SCHEMA))
+
+
+BLOCK_KINDS = [pa.int64(), pa.int32(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2]
 BLOCK_NAMES = ["block", "rows", "codes", "ids", "copies", "units", "lead", "lo", "hi"]
 BLOCK_SCHEMA = ("block long, rows int, codes binary, ids binary, copies binary, units binary, lead binary, "
                 "lo array<double>, hi array<double>")
@@ -226,9 +256,8 @@ def join_blocks(a: Sequence, b: Sequence, cosine: float) -> tuple[np.ndarray, np
 
 
 def _node(block: int, rows: int) -> np.ndarray:
-    """Node numbers of a block's vectors: unique, as blocks are numbered part << 32 + position."""
-    part, number = block >> 32, block & 0xFFFFFFFF
-    return (part << 44) + (number << 20) + np.arange(rows)
+    """Node numbers of a block's vectors."""
+    return (block << 21) + np.arange(rows)
 
 
 def join_links(blocks: DataFrame, cosine: float) -> DataFrame:
@@ -284,7 +313,7 @@ def embedding_classes(vectors: DataFrame, cosine: float = 0.9, block_rows: int =
     distinct = materialize(units.where("code is not null").groupBy("code").agg(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.min("unit").alias("unit")), "distinct_vectors")
     axes = principal_axes(distinct, dim, distinct.count(), sample)
-    blocks = sorted_blocks(distinct, axes, math.sqrt(2 - 2 * cosine), min(block_rows, 1 << 20))
+    blocks = sorted_blocks(distinct, axes, math.sqrt(2 - 2 * cosine), min(block_rows, 1 << 20))  # two of them fit a node number
     found = join_links(blocks, cosine)
     roots = components(found.select("u", "v"))
 
