@@ -13,11 +13,10 @@ def _c(x) -> Column:
 def int_div(a, b) -> Column:
     """Integer division truncating toward zero (SQL ``int / int``, Spark ``div``).
 
-    ``(a - a % b) / b`` is exact because Spark's ``%`` keeps the dividend's sign.
-    A zero divisor raises under ANSI mode, as the SQL original does.
+    ``div`` on bigint is exact over the whole range.  A zero divisor raises under
+    ANSI mode, as the SQL original does.
     """
-    a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
-    return ((a - a % b) / b).cast("bigint")
+    return F.call_function("div", _c(a).cast("bigint"), _c(b).cast("bigint"))
 
 
 def least_one(x) -> Column:
@@ -25,11 +24,6 @@ def least_one(x) -> Column:
     return F.least(_c(x), F.lit(1.0).cast("float"))
 
 
-def round_numeric(x, scale: int) -> Column:
-    """Round half away from zero, as NUMERIC rounding does."""
-    return F.round(_c(x), scale)
-
-
 def fantasy_score(prefix: str = "", weights: dict[str, float] | None = None,
                   exact: bool = False) -> Column:
     """``pts + 1.2 reb + 1.5 ast + 2 stl + 2 blk - tov`` over columns ``prefix+stat``.

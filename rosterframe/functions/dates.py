@@ -41,6 +41,11 @@ def game_slug(game_date, away, home) -> Column:
                     _c(away).cast("string"), F.lit("_"), _c(home).cast("string"))
 
 
+def date_in_zone(instant: Column, zone: str = LEAGUE_TIME_ZONE) -> Column:
+    """Calendar date of a timestamp in ``zone``, whatever the session time zone is."""
+    return F.to_date(F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz")))
+
+
 def today_in_zone(zone: str = LEAGUE_TIME_ZONE) -> Column:
-    """Today's date in ``zone`` (with the session time zone set to UTC)."""
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), zone))
+    """Today's date in ``zone``."""
+    return date_in_zone(F.current_timestamp(), zone)

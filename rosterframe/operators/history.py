@@ -22,11 +22,29 @@ def history_rows(stats: DataFrame, season_games: DataFrame, teams: DataFrame) ->
                 ((F.col("team_id") == F.col("away_team_id")) & won.eqNullSafe(F.lit(False))))
     return (stats.where(F.col("mins") > 0)
             .join(g, "game_id")
-            .join(F.broadcast(t), "home_team_id")
+            .join(t, "home_team_id")
             .withColumn("team_won", F.coalesce(team_won, F.lit(False)))
             .drop("home_team_id", "away_team_id", "home_team_won"))
 
 
+def number_rows(rows: DataFrame, key: str = "player_id") -> DataFrame:
+    """Every row numbered from the latest game of its key; ties on the date go to
+    the larger game id (N12).
+
+    A row's number is the number of rows on later days plus its place within the
+    day: the counts per day are combined map-side and summed over days, and the
+    window over rows is partitioned by (key, day), so a key with a third of the
+    rows is spread over its days instead of sorted in one task.
+    """
+    day = [key, "game_date"]
+    later = Window.partitionBy(key).orderBy(F.col("game_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    per_day = (rows.groupBy(*day).agg(F.count(F.lit(1)).alias("_n"))
+               .select(*day, F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later")))
+    in_day = F.row_number().over(Window.partitionBy(*day).orderBy(F.col("game_id").desc()))
+    return (rows.withColumn("_place", in_day).join(per_day, day)
+            .select(*rows.columns, (F.col("_later") + F.col("_place")).cast("int").alias("row_num")))
+
+
 def recent_n(rows: DataFrame, n: int, key: str = "player_id") -> DataFrame:
     """Rows numbered from the latest game per key, kept up to ``n``.
 

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import DATE_COLUMNS, UNASSIGNED, month_of, partition_column, public
+
 
 def _dedupe(batch: DataFrame, keys: Sequence[str], order_col: str, pick) -> DataFrame:
     others = [c for c in batch.columns if c not in keys]
@@ -41,8 +43,26 @@ def dedupe_last(batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
     return _dedupe(batch, keys, order_col, F.max_by)
 
 
+def only_record(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch as it is; the job fails if it repeats a key."""
+    others = [c for c in batch.columns if c not in keys]
+    message = F.concat(F.lit(f"repeated key in a batch without an order ({', '.join(keys)}): "),
+                       F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    return (batch.groupBy(*keys).agg(F.first(F.struct(*others, F.lit(0).alias("_"))).alias("_row"), F.count(F.lit(1)).alias("_n"))
+            .withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message)))
+            .select(*keys, *[F.col("_row")[c].alias(c) for c in others]))
+
+
 def append(base: DataFrame, batch: DataFrame) -> DataFrame:
-    """``INSERT INTO base (cols) VALUES ...``: columns the batch lacks become null."""
+    """``INSERT INTO base (cols) VALUES ...``: columns the batch lacks become null.
+
+    A stored base carries the month its rows are stored under; new rows get theirs
+    from their date, or UNASSIGNED if they have none, so no pruned read loses them."""
+    part = partition_column(base)
+    if part is not None:
+        batch = public(batch)
+        date = DATE_COLUMNS[part]
+        batch = batch.withColumn(part, month_of(F.col(date)) if date in batch.columns else F.lit(UNASSIGNED))
     extra = [c for c in batch.columns if c not in base.columns]
     if extra:
         raise ValueError(f"batch columns not in the table: {extra}")
@@ -68,11 +88,11 @@ def apply_update(base: DataFrame, batch: DataFrame, keys: Sequence[str],
 
     ``assignments`` maps base columns to expressions over batch columns (named
     ``u_<col>`` after the join) and base columns.  Unmatched rows keep their
-    values.  The batch is left-joined after deduplication on the key (last
-    record wins when ``order_col`` is given, otherwise keys must be unique).
+    values.  The batch is left-joined after it has been brought to one record a
+    key: the last one in ``order_col``; without an order a repeated key is an error.
+    Either way base rows never multiply.
     """
-    if order_col is not None:
-        batch = dedupe_last(batch, keys, order_col).drop(order_col)
+    batch = only_record(batch, keys) if order_col is None else dedupe_last(batch, keys, order_col).drop(order_col)
     renamed = batch.select(*keys, *[F.col(c).alias(f"u_{c}") for c in batch.columns if c not in keys],
                            F.lit(True).alias("_matched"))
     joined = base.join(renamed, list(keys), "left")

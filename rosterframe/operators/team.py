@@ -39,7 +39,7 @@ def last_team_game(season_games: DataFrame, teams: DataFrame) -> DataFrame:
                           F.struct("game_date", "game_id")).alias("_g"))
             .select("team_id", "_g.*"))
     # Only teams of the team table take part (the source joins nba_teams).
-    return last.join(F.broadcast(teams.select("team_id", "team_abbrev")), "team_id")
+    return last.join(teams.select("team_id", "team_abbrev"), "team_id")
 
 
 def team_records(season_games: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def avg_attendance(season_games: DataFrame, teams: DataFrame) -> DataFrame:
            .agg(F.round(F.avg("attendance")).cast("int").alias("avg_att")))
     cap = teams.select(F.col("team_id").alias("home_team_id"),
                        F.col("stadium_capacity").alias("stadium_cap"))
-    return avg.join(F.broadcast(cap), "home_team_id")
+    return avg.join(cap, "home_team_id")
 
 
 def team_state(season_games: DataFrame, teams: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def team_state(season_games: DataFrame, teams: DataFrame) -> DataFrame:
                 F.sum(F.when(credited, 1).otherwise(0)).cast("bigint").alias("wins"),
                 F.sum(F.when(credited, 0).otherwise(1)).cast("bigint").alias("losses"),
                 F.round(F.avg(att)).cast("int").alias("avg_att")))
-    dims = F.broadcast(teams.select("team_id", F.col("stadium_capacity").alias("stadium_cap")))
+    dims = teams.select("team_id", F.col("stadium_capacity").alias("stadium_cap"))
     return agg.join(dims, "team_id").select(
         "team_id", F.col("_g.game_id").alias("last_team_game_id"), F.col("_g.won_game").alias("won_game"),
         "wins", "losses",

@@ -26,20 +26,26 @@ def games(t: Tables, date_or_min=None, max_date=None) -> DataFrame:
     return g.orderBy(F.col("game_date").desc_nulls_first(), F.col("game_id")).select(*GAME_COLUMNS)
 
 
+def _page(df: DataFrame, table: str, limit: int | None, *order: str) -> DataFrame:
+    """The declared columns in order; the first ``limit`` rows if a limit is given (0 gives none)."""
+    rows = df.select(*S.TABLE_SCHEMAS[table].fieldNames()).orderBy(*order)
+    return rows if limit is None else rows.limit(limit)
+
+
 def players(t: Tables, limit: int | None = None, status: str | None = None) -> DataFrame:
-    """Players, optionally of one status; a page of ``limit`` (default 10000) by id."""
+    """Players by id, optionally of one status; every one unless ``limit`` is given."""
     p = t.players
     if status is not None:
         p = p.where(F.col("status") == status)
-    return p.orderBy("player_id").limit(limit or S.DEFAULT_PLAYER_LIMIT)
+    return _page(p, "players", limit, "player_id")
 
 
 def projections(t: Tables, limit: int | None = None) -> DataFrame:
-    return t.projections.orderBy("player_id", "game_id", "source_id").limit(limit or S.DEFAULT_ROW_LIMIT)
+    return _page(t.projections, "projections", limit, "player_id", "game_id", "source_id")
 
 
 def stats(t: Tables, limit: int | None = None) -> DataFrame:
-    return t.stats.orderBy("player_id", "game_id").limit(limit or S.DEFAULT_ROW_LIMIT)
+    return _page(t.stats, "stats", limit, "player_id", "game_id")
 
 
 def _ids_by_source(new_ids: DataFrame, suffix: str) -> DataFrame:

@@ -21,9 +21,6 @@ STATUS_PENDING = "PENDING"
 STATUS_INCOMPLETE = "INCOMPLETE"
 # Salary sites.
 SITES = ("FAN_DUEL", "DRAFT_KINGS")
-# Default page sizes of the listing queries.
-DEFAULT_PLAYER_LIMIT = 10000
-DEFAULT_ROW_LIMIT = 1000
 DEFAULT_RECENT_GAMES = 10
 # Zone used for "today" when no date is given.
 LEAGUE_TIME_ZONE = "America/Los_Angeles"
@@ -58,9 +55,9 @@ PLAYERS = _s(
     ("current_salary", INT), ("height", INT), ("weight", INT), ("games_played", INT),
     ("nf_id", STR), ("rw_id", STR), ("bm_id", STR), ("fp_id", STR), ("fc_id", STR))
 
-# ``change_id`` orders changes that fall on the same day (the later id wins).
+# ``change_id`` orders changes made at the same time (the later id wins).
 PLAYER_CHANGELOG = _s(
-    ("player_id", LONG), ("changed_on", DATE), ("change_id", LONG),
+    ("player_id", LONG), ("changed_on", TS), ("change_id", LONG),
     ("new_current_depth", INT), ("new_usual_depth", INT), ("new_position", STR), ("new_team", INT),
     ("new_starting", BOOL), ("new_salary", INT), ("new_games_played", INT), ("new_status", STR),
     ("new_inactive", BOOL))
@@ -90,15 +87,6 @@ TABLE_SCHEMAS = {
     "salaries": SALARIES, "new_ids": NEW_IDS,
 }
 
-# Keys that identify a row (used by updates, inserts and the snapshot writer).
-TABLE_KEYS = {
-    "games": ("game_id",), "teams": ("team_id",), "players": ("player_id",),
-    "player_changelog": ("player_id", "changed_on", "change_id"),
-    "projections": ("player_id", "game_id", "source_id"), "stats": ("player_id", "game_id"),
-    "predictions": ("source", "game_date", "stat_type", "player_bref_id"),
-    "salaries": ("player_id", "game_date", "site"), "new_ids": ("id",),
-}
-
 
 def check_stat(stat: str) -> str:
     """Stat names are spliced into column references, so only known ones pass."""

@@ -8,19 +8,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _driver_memory() -> str:
-    """Half the machine's memory, at most 8g (override: ROSTERFRAME_DRIVER_MEMORY)."""
-    if os.environ.get("ROSTERFRAME_DRIVER_MEMORY"):
-        return os.environ["ROSTERFRAME_DRIVER_MEMORY"]
-    try:
-        total_gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2 ** 30
-    except (ValueError, OSError, AttributeError):
-        return "4g"
-    return f"{max(1, min(8, int(total_gb // 2)))}g"
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "rosterframe",
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benches (a cluster job gets its session
     from the platform and only needs ``ensure_checkpoint_dir``)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -31,7 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.driver.memory", _driver_memory()))
+         .config("spark.driver.memory", driver_memory))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

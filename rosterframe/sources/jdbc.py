@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .tables import Tables
+from .tables import PARTITION_COLUMNS, Tables
 
 # Source table names of the nine tables (fixed values of the stored schema).
 SOURCE_TABLES = {
@@ -29,12 +29,16 @@ SOURCE_TABLES = {
 }
 
 
-def typed(df: DataFrame, name: str) -> DataFrame:
+def typed(df: DataFrame, name: str, tie_break: str | None = None) -> DataFrame:
     """Select the declared columns of table ``name`` and cast them to their types.
 
-    Columns the source lacks (``change_id`` orders same-day changes and may be
-    absent) become null.
+    Columns the source lacks become null, but for ``change_id``: changes made at the
+    same time would have no order.  ``tie_break`` names the column that gives one.
     """
+    if name == "player_changelog" and "change_id" not in df.columns:
+        if tie_break is None or tie_break not in df.columns:
+            raise ValueError("the changelog needs change_id, or a tie_break column that orders changes made at the same time")
+        df = df.withColumn("change_id", F.col(tie_break))
     cols = []
     for f in S.TABLE_SCHEMAS[name].fields:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)
@@ -44,13 +48,17 @@ def typed(df: DataFrame, name: str) -> DataFrame:
 
 def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str],
                      partitioning: Mapping[str, tuple[str, int, int, int]] | None = None,
-                     names: Mapping[str, str] | None = None) -> Tables:
+                     names: Mapping[str, str] | None = None, tie_break: str | None = None) -> Tables:
     """Read the nine tables over JDBC.
 
     ``partitioning`` maps a table to ``(column, lower, upper, num_partitions)``
-    for a parallel range read, e.g. ``{"stats": ("game_id", 1, 10**9, 400)}``.
+    for a parallel range read, e.g. ``{"stats": ("game_id", 1, 10**9, 400)}``.  The six
+    fact tables need one: without bounds a table is read in one task.
     """
     partitioning = partitioning or {}
+    missing = sorted(set(PARTITION_COLUMNS) - set(partitioning))
+    if missing:
+        raise ValueError(f"fact tables need read bounds: {missing}")
     names = {**SOURCE_TABLES, **(names or {})}
     out = {}
     for name in S.TABLE_SCHEMAS:
@@ -61,7 +69,7 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
                                  numPartitions=n, properties=opts)
         else:
             df = spark.read.jdbc(url, names[name], properties=opts)
-        out[name] = typed(df, name)
+        out[name] = typed(df, name, tie_break)
     return Tables(**out)
 
 

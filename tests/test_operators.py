@@ -152,3 +152,27 @@ def test_unknown_stat_is_rejected():
 def test_date_helpers_accept_only_iso(spark):
     assert spark.range(1).select(parse_date(F.lit("2016-02-30"), strict=False).alias("x")).first().x is None
     assert spark.range(1).select(parse_date(F.lit("2016-02-03")).alias("x")).first().x == d("2016-02-03")
+
+
+def test_int_div_is_exact_above_2_53(spark):
+    r = spark.range(1).select(int_div(F.lit(2 ** 60 + 1), F.lit(1)).alias("a"), int_div(F.lit(-(2 ** 60) - 1), F.lit(3)).alias("b")).first()
+    assert (r.a, r.b) == (2 ** 60 + 1, -((2 ** 60 + 1) // 3))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_date_in_zone_does_not_depend_on_the_session_zone(spark, zone):
+    from rosterframe.functions.dates import date_in_zone
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 2024-01-15 05:00 and 2024-01-14 23:00 in Los Angeles
+        for second, day in ((1705323600, "2024-01-15"), (1705302000, "2024-01-14")):
+            assert str(spark.range(1).select(date_in_zone(F.timestamp_seconds(F.lit(second)))).first()[0]) == day
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_number_rows_equals_the_window(gt):
+    from rosterframe.operators.history import number_rows, recent_n
+    rows_ = gt.stats.join(gt.games.select("game_id", "game_date"), "game_id").select("player_id", "game_id", "game_date")
+    assert sorted(map(tuple, number_rows(rows_).collect())) == sorted(map(tuple, recent_n(rows_, 10 ** 6).collect()))
