@@ -1,8 +1,9 @@
 """Table changes of the posting API, each a pure function returning the new table.
 
-A sink writes the result as a new snapshot (``sources.tables.write_snapshot``);
+A sink writes the result as a new snapshot (``sources.tables.write_tables``);
 nothing is edited in place, so a failed job leaves the old version intact and
-a retried one writes the same rows (N15).
+a retried one writes the same rows (N15).  ``plans.stored`` applies the same rules
+to the touched months of stored tables only.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from .. import schema as S
 from ..functions.dates import as_date, game_slug
 from ..functions.text import blank_to_null
 from ..operators.keys import assign_keys
-from ..operators.mutate import append, apply_update, delete_matching, insert_ignore, set_where
+from ..operators.mutate import append, apply_update, delete_matching, insert_ignore, only_record, set_where
 from ..operators.pivot import unpivot_codes
+from ..sources.ingest import PREDICTION_FIELDS, enrich_literals, ingest
+from ..sources.tables import prune_months
 
 ID_COLUMNS = {f"{name}_id": code for name, code in S.SOURCE_CODES.items()}
 
@@ -70,7 +73,7 @@ def insert_players(players: DataFrame, batch: DataFrame, order_col: str = "batch
     return append(players, keyed)
 
 
-def update_player(players: DataFrame, batch: DataFrame, order_col: str | None = None) -> DataFrame:
+def update_player(players: DataFrame, batch: DataFrame, order_col: str | None = "batch_seq") -> DataFrame:
     """Team, depth, starter, inactive and status by player id."""
     return apply_update(players, batch, ["player_id"], {
         c: f"u_{c}" for c in ("current_depth_pos", "usual_depth_pos", "current_team", "is_starter",
@@ -89,7 +92,7 @@ def mark_not_on_roster(players: DataFrame, player_ids: DataFrame) -> DataFrame:
     return out.select(*players.columns)
 
 
-def update_bio(players: DataFrame, batch: DataFrame, order_col: str | None = None) -> DataFrame:
+def update_bio(players: DataFrame, batch: DataFrame, order_col: str | None = "batch_seq") -> DataFrame:
     """Biography fields by player id; the player becomes PENDING."""
     cols = ("bref_id", "height", "weight", "dob", "debut_date", "draft_pick", "games_played",
             "current_salary", "player_position")
@@ -98,13 +101,13 @@ def update_bio(players: DataFrame, batch: DataFrame, order_col: str | None = Non
     return apply_update(players, batch, ["player_id"], assign, order_col=order_col)
 
 
-def update_source_ids(players: DataFrame, batch: DataFrame, order_col: str | None = None) -> DataFrame:
+def update_source_ids(players: DataFrame, batch: DataFrame, order_col: str | None = "batch_seq") -> DataFrame:
     """All five external ids by player id; an empty or missing id becomes null."""
     return apply_update(players, batch, ["player_id"], {
         c: blank_to_null(F.col(f"u_{c}")) for c in ID_COLUMNS}, order_col=order_col)
 
 
-def update_position(players: DataFrame, batch: DataFrame, order_col: str | None = None) -> DataFrame:
+def update_position(players: DataFrame, batch: DataFrame, order_col: str | None = "batch_seq") -> DataFrame:
     return apply_update(players, batch, ["player_id"], {"player_position": "u_player_position"},
                         order_col=order_col)
 
@@ -120,17 +123,20 @@ def fill_projection_roster(projections: DataFrame, players: DataFrame, games: Da
     """For games on ``date``: where team and depth are both null, copy the
     player's team, depth and starter flag (a player must exist to match).
 
-    Only the date's projections meet the players; the rest pass untouched.
+    One pass over the projections: each row learns from its game whether it is of the
+    date, and only rows to be filled carry a player key into the join.  A player id that
+    ``players`` holds twice is an error.
     """
-    on_date = games.where(F.col("game_date") == as_date(date)).select("game_id")
-    todays = projections.join(on_date, "game_id", "left_semi")
-    others = projections.join(on_date, "game_id", "left_anti")
-    roster = players.select("player_id", F.col("current_team").alias("team_id"),
-                            F.col("current_depth_pos").alias("depth_pos"), "is_starter")
-    filled = apply_update(todays, roster, ["player_id"], {
-        "team_id": "u_team_id", "depth_pos": "u_depth_pos", "is_starter": "u_is_starter"},
-        where=F.col("team_id").isNull() & F.col("depth_pos").isNull())
-    return others.unionByName(filled).select(*projections.columns)
+    on_date = (prune_months(games, as_date(date), as_date(date)).where(F.col("game_date") == as_date(date))
+               .select("game_id", F.lit(True).alias("_on_date")))
+    open_ = F.col("_on_date").isNotNull() & F.col("team_id").isNull() & F.col("depth_pos").isNull()
+    todo = projections.join(on_date, "game_id", "left").withColumn("_fill", F.when(open_, F.col("player_id")))
+    roster = only_record(players.select(F.col("player_id").alias("_fill"), F.col("current_team").alias("_team"),
+                                        F.col("current_depth_pos").alias("_depth"), F.col("is_starter").alias("_starts")), ["_fill"])
+    out = todo.join(roster.withColumn("_hit", F.lit(True)), "_fill", "left")
+    put = {"team_id": "_team", "depth_pos": "_depth", "is_starter": "_starts"}
+    return out.select(*[F.when(F.col("_hit"), F.col(put[c])).otherwise(F.col(c)).alias(c) if c in put else F.col(c)
+                        for c in projections.columns])
 
 
 def load_projections(projections: DataFrame, batch: DataFrame, players: DataFrame, games: DataFrame,
@@ -147,12 +153,15 @@ def insert_predictions(predictions: DataFrame, records: DataFrame, source: str,
     S.check_stat(stat_type)
     if created is None:
         created = F.current_timestamp()
-    rows = records.select(
-        F.lit(source).alias("source"), as_date(game_date).alias("game_date"), F.lit(stat_type).alias("stat_type"),
-        F.col("`Scored Label`").cast("double").alias("prediction"),
-        F.col("bref_id").alias("player_bref_id"),
-        (created if not isinstance(created, str) else F.lit(created).cast("timestamp")).alias("created"))
-    return append(predictions, rows)
+    rows = prediction_rows(records, source, game_date, stat_type)[0]
+    at = created if not isinstance(created, str) else F.lit(created).cast("timestamp")
+    return append(predictions, rows.withColumn("created", at))
+
+
+def prediction_rows(records: DataFrame, source: str, game_date, stat_type: str) -> tuple[DataFrame, DataFrame]:
+    """The request's constants put on each record, then typed: (good, bad)."""
+    posted = enrich_literals(records, predictionSrc=source, gameDate=str(game_date), statType=stat_type)
+    return ingest(posted, PREDICTION_FIELDS)
 
 
 # ---- pending external ids --------------------------------------------------
@@ -179,7 +188,8 @@ def delete_source_ids(new_ids: DataFrame, players: DataFrame, player_ids: DataFr
     return delete_matching(new_ids, held_ids(players, player_ids), ["source_id", "new_id"])
 
 
-def resolve_source_ids(players: DataFrame, new_ids: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+def resolve_source_ids(players: DataFrame, new_ids: DataFrame, batch: DataFrame,
+                       order_col: str | None = "batch_seq") -> tuple[DataFrame, DataFrame]:
     """Set the players' ids, then drop the pending rows they now hold."""
-    new_players = update_source_ids(players, batch)
+    new_players = update_source_ids(players, batch, order_col)
     return new_players, delete_source_ids(new_ids, new_players, batch.select("player_id"))

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.latest import latest_per_key
-from .ingest import (GAME_FIELDS, INCOMPLETE_PLAYER_FIELDS, PLAYER_FIELDS, POSTGAME_FIELDS, SPREAD_FIELDS,
-                     ingest)
+from .ingest import (GAME_FIELDS, INCOMPLETE_PLAYER_FIELDS, NEW_ID_FIELDS, PLAYER_BIO_FIELDS, PLAYER_FIELDS,
+                     PLAYER_POSITION_FIELDS, PLAYER_SOURCE_ID_FIELDS, PLAYER_UPDATE_FIELDS, POSTGAME_FIELDS,
+                     SPREAD_FIELDS, ingest)
 from .tables import Tables
 
 CUTOFF = "1998-08-01"
@@ -68,8 +68,7 @@ def postgame_batch(t: Tables, lineitem: DataFrame) -> DataFrame:
 
 def spread_batch(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT")
-    recs = urgent.select(k.alias("batch_seq"), _text(k).alias("gameId"),
+    recs = orders.select(k.alias("batch_seq"), _text(k).alias("gameId"),
                          _text(k % 15 - 7).alias("homeSpread"), _text(170 + k % 50).alias("total"),
                          _text(95 + k % 20).alias("awayPredPts"), _text(95 + k % 15).alias("homePredPts"))
     return ingest(recs, SPREAD_FIELDS, keep=["batch_seq"])[0]
@@ -109,51 +108,75 @@ def incomplete_player_batch(supplier: DataFrame) -> DataFrame:
     return ingest(recs, INCOMPLETE_PLAYER_FIELDS, keep=["batch_seq"])[0]
 
 
-def latest_changes(t: Tables) -> DataFrame:
-    """Each player's latest changelog row over all time."""
-    return latest_per_key(t.player_changelog, ["player_id"], ["changed_on", "change_id"])
+def posted(df: DataFrame, fields, order=None) -> DataFrame:
+    """Typed rows as posted text records, typed again; ``order`` is their place in the batch."""
+    if order is None:
+        return ingest(text_records(df, fields), fields)[0]
+    return ingest(text_records(df.withColumn("batch_seq", order), fields, ["batch_seq"]), fields, keep=["batch_seq"])[0]
 
 
 def player_update_batch(t: Tables) -> DataFrame:
-    ch = latest_changes(t)
-    return ch.select("player_id", F.col("new_current_depth").alias("current_depth_pos"),
-                     F.col("new_usual_depth").alias("usual_depth_pos"), F.col("new_team").alias("current_team"),
-                     F.col("new_starting").alias("is_starter"), F.col("new_inactive").alias("inactive"),
-                     F.col("new_status").alias("status"))
+    """Every change ever logged, in order: most players come many times, the last one counts."""
+    rows = t.player_changelog.select(
+        "player_id", "changed_on", "change_id", F.col("new_current_depth").alias("current_depth_pos"),
+        F.col("new_usual_depth").alias("usual_depth_pos"), F.col("new_team").alias("current_team"),
+        F.col("new_starting").alias("is_starter"), F.col("new_inactive").alias("inactive"), F.col("new_status").alias("status"))
+    return posted(rows, PLAYER_UPDATE_FIELDS, F.struct("changed_on", "change_id"))
 
 
 def position_batch(t: Tables) -> DataFrame:
-    return latest_changes(t).select("player_id", F.col("new_position").alias("player_position"))
+    rows = t.player_changelog.select("player_id", "changed_on", "change_id", F.col("new_position").alias("player_position"))
+    return posted(rows, PLAYER_POSITION_FIELDS, F.struct("changed_on", "change_id"))
 
 
 def released_player_ids(lineitem: DataFrame) -> DataFrame:
-    """Players whose last line items ship after the release day."""
+    """Players whose last line items ship after the release day (a list of everyone would
+    leave no player to stay on the roster)."""
     return (lineitem.where(F.col("l_shipdate") >= F.lit(RELEASE_DAY).cast("timestamp_ntz"))
             .select(F.col("l_partkey").alias("player_id")).distinct())
 
 
 def bio_batch(t: Tables) -> DataFrame:
-    """Biographies for the incomplete players."""
-    p = t.players.where(F.col("status") == "INCOMPLETE")
-    return p.select("player_id", F.concat(F.lit("b"), _text("player_id")).alias("bref_id"),
-                    (F.col("height") + 1).alias("height"), (F.col("weight") + 2).alias("weight"),
+    """Biographies for the incomplete players, posted twice: the second post corrects the first."""
+    p = t.players.where(F.col("status") == "INCOMPLETE").withColumn("post", F.explode(F.array(F.lit(1), F.lit(2))))
+    first = (F.col("post") == 1).cast("int") * 50
+    rows = p.select("player_id", "post", F.concat(F.lit("b"), _text("player_id")).alias("bref_id"),
+                    (F.col("height") + 1 + first).alias("height"), (F.col("weight") + 2 + first).alias("weight"),
                     F.date_add("dob", 1).alias("dob"), F.date_add("debut_date", 2).alias("debut_date"),
-                    (F.col("draft_pick") + 3).alias("draft_pick"), (F.col("games_played") + 4).alias("games_played"),
+                    (F.col("draft_pick") + 3 + first).alias("draft_pick"), (F.col("games_played") + 4).alias("games_played"),
                     (F.col("current_salary") + 5).alias("current_salary"),
                     F.concat(F.col("player_position"), F.lit(" II")).alias("player_position"))
+    return posted(rows, PLAYER_BIO_FIELDS, F.col("post"))
 
 
 def source_id_batch(t: Tables, events: DataFrame) -> DataFrame:
-    """Pending ids of each purchasing user assigned to the player with that id;
-    a source without a pending id is posted as an empty string."""
+    """Pending ids of each purchasing user assigned to the player with that id, after an
+    earlier post without any.  A source without a pending id is an empty string, and so are
+    two of the sources for every other player, whose pending ids stay pending."""
     from ..plans.queries import new_ids as wide_ids
     w = wide_ids(t)
     uid = F.regexp_extract("player_name", r"^user_(\d+)$", 1)
     buyers = purchase_player_ids(events)
-    return (w.where(uid != "")
-            .select(uid.cast("bigint").alias("player_id"),
-                    *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
-            .join(buyers, "player_id", "left_semi"))
+    open_ = F.col("player_id") % 2 == 1
+    ids = (w.where(uid != "")
+           .select(uid.cast("bigint").alias("player_id"),
+                   *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
+           .join(buyers, "player_id", "left_semi")
+           .withColumns({c: F.when(open_, F.lit("")).otherwise(F.col(c)) for c in ("fp_id", "fc_id")})
+           .withColumn("post", F.explode(F.array(F.lit(1), F.lit(2)))))
+    ids = ids.withColumns({c: F.when(F.col("post") == 1, F.lit("")).otherwise(F.col(c))
+                           for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")})
+    return posted(ids, PLAYER_SOURCE_ID_FIELDS, F.col("post"))
+
+
+def new_id_batch(orders: DataFrame) -> DataFrame:
+    """An id per order, posted as text: some are stored already, many come again in the batch."""
+    source = (F.col("o_orderkey") % 5 + 1).cast("int")
+    new_id = F.concat(F.lit("x"), _text(F.col("o_custkey") * 7 + source))
+    rows = orders.select(F.col("o_orderkey").alias("post"), source.alias("source_id"), new_id.alias("new_id"),
+                         F.concat(F.lit("User "), _text("o_custkey")).alias("player_name"),
+                         F.concat(_text(source), F.lit("_"), new_id).alias("id"))
+    return posted(rows, NEW_ID_FIELDS, F.col("post"))
 
 
 def purchase_player_ids(events: DataFrame) -> DataFrame:

@@ -17,8 +17,6 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 # Event types mapped to source ids 1-5 in alphabetical order.
 EVENT_SOURCE = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
-# Day that splits events into the stored id table and the posted id batch.
-NEW_ID_BATCH_START = "2024-01-16"
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,17 +96,17 @@ def bind_stats(lineitem: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def bind_projections(stats: DataFrame) -> DataFrame:
-    """Four sources per box score: stat + 0.5 * source, a few rows missing."""
+    """Four sources per box score: stat + 0.5 * source, a few of them without values."""
     src = F.col("source_id")
-    # FIXTURES rules: a source is missing for one (player, game, source) in ten,
-    # and roster fields are unset for one player-game in seven.  They shape the
-    # data (incomplete pivots, work for the roster fill); every row is read.
+    # FIXTURES rules: one (player, game, source) in ten has no values, and roster
+    # fields are unset for one player-game in seven.  They make incomplete pivots
+    # and work for the roster fill; every row is there.
     unset = (F.col("player_id") + F.col("game_id")) % 7 == 0
+    given = (F.col("player_id") + F.col("game_id") + src) % 10 != 0
     return (stats
             .withColumn("source_id", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)])))
-            .where((F.col("player_id") + F.col("game_id") + src) % 10 != 0)
             .select("player_id", "game_id", "source_id",
-                    *[(F.col(c) + src * 0.5).cast("double").alias(c) for c in S.STAT_COLUMNS],
+                    *[F.when(given, (F.col(c) + src * 0.5).cast("double")).alias(c) for c in S.STAT_COLUMNS],
                     F.when(~unset, F.col("team_id")).alias("team_id"),
                     F.when(~unset, (F.col("player_id") % 5 + 1).cast("int")).alias("depth_pos"),
                     F.when(~unset, F.col("player_id") % 2 == 0).alias("is_starter")))
@@ -118,7 +116,9 @@ def bind_changelog(lineitem: DataFrame) -> DataFrame:
     flag = F.col("l_returnflag")
     return lineitem.select(
         F.col("l_partkey").alias("player_id"),
-        F.col("l_shipdate").cast("date").alias("changed_on"),
+        # midnight, 6, 12 or 18 o'clock, so that changes fall on and after the cut at midnight
+        F.expr("cast(l_shipdate as timestamp_ntz) + make_interval(0, 0, 0, 0, cast((l_linenumber % 4) * 6 as int), 0, 0)")
+         .cast("timestamp").alias("changed_on"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("change_id"),
         F.col("l_linenumber").cast("int").alias("new_current_depth"),
         (F.col("l_partkey") % 5 + 1).cast("int").alias("new_usual_depth"),
@@ -172,9 +172,8 @@ def bind_predictions(stats: DataFrame, games: DataFrame) -> DataFrame:
     g = games.select("game_id", "game_date")
     return (stats.join(g, "game_id")
             .select("player_id", "game_id", "game_date", F.inline(kinds))
-            .where((F.col("player_id") + F.col("game_id") + F.col("k")) % 20 != 0)
             .select(F.lit("model_a").alias("source"), "game_date", "stat_type",
-                    (F.col("v") + 0.25).alias("prediction"),
+                    F.when((F.col("player_id") + F.col("game_id") + F.col("k")) % 20 != 0, F.col("v") + 0.25).alias("prediction"),
                     F.concat(F.lit("p"), F.col("player_id").cast("string")).alias("player_bref_id"),
                     F.when(F.col("game_id") % 9 == 0, F.lit("2016-01-01 00:00:00"))
                      .otherwise(F.lit("2017-06-01 00:00:00")).cast("timestamp").alias("created")))
@@ -199,7 +198,6 @@ def posted_new_ids(events: DataFrame) -> DataFrame:
     new_id = F.concat(F.lit("x"), (F.col("user_id") * 7 + source_id).cast("string"))
     return events.select(
         F.col("event_id").alias("batch_seq"),
-        F.col("ts"),
         source_id.alias("source_id"),
         new_id.alias("new_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("player_name"),
@@ -207,18 +205,9 @@ def posted_new_ids(events: DataFrame) -> DataFrame:
 
 
 def bind_new_ids(events: DataFrame) -> DataFrame:
-    """Stored pending ids: the records posted before the batch day, first post wins."""
+    """Stored pending ids: every event, the first post of an id wins."""
     from ..operators.mutate import dedupe_first
-    early = posted_new_ids(events).where(F.col("ts") < F.lit(NEW_ID_BATCH_START).cast("timestamp_ntz"))
-    return dedupe_first(early, ["id"], "batch_seq").select(*S.NEW_IDS.fieldNames())
-
-
-def new_id_batch(events: DataFrame) -> DataFrame:
-    """Records posted on or after the batch day, with a different name spelling."""
-    return (posted_new_ids(events)
-            .where(F.col("ts") >= F.lit(NEW_ID_BATCH_START).cast("timestamp_ntz"))
-            .withColumn("player_name", F.regexp_replace("player_name", "^user_", "User "))
-            .drop("ts"))
+    return dedupe_first(posted_new_ids(events), ["id"], "batch_seq").select(*S.NEW_IDS.fieldNames())
 
 
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
@@ -247,33 +236,19 @@ def materialize(spark: SparkSession, sf_dir: str, root: str) -> Tables:
     the stored copies, so the line-item aggregation runs once (and the
     written tables cut the lineage).
     """
-    from .tables import Tables as _T
-    from .tables import read_tables, write_tables
+    from .tables import public, read_table, read_tables, write_tables
 
     r = lambda n: read_driver(spark, sf_dir, n)
     games = bind_games(r("orders"))
-    first = _T(games=games, teams=bind_teams(r("nation")), players=bind_players(r("part")),
+    t = Tables(games=games, teams=bind_teams(r("nation")), players=bind_players(r("part")),
                player_changelog=bind_changelog(r("lineitem")), projections=None, stats=None,
                predictions=None, salaries=None, new_ids=bind_new_ids(r("events")))
-    for name in ("games", "teams", "players", "player_changelog", "new_ids"):
-        write_tables(_only(first, name), root)
-    stored = read_tables(spark, root, only=("games",))
-    stats = bind_stats(r("lineitem"), stored.games.drop("game_month"))
-    write_tables(_only(first.with_(games=stored.games, stats=stats), "stats"), root)
-    stored = read_tables(spark, root, only=("games", "stats"))
-    g, s = stored.games.drop("game_month"), stored.stats.drop("game_month")
-    rest = first.with_(games=stored.games, projections=bind_projections(s), predictions=bind_predictions(s, g),
-                       salaries=bind_salaries(s, g))
-    for name in ("projections", "predictions", "salaries"):
-        write_tables(_only(rest, name), root)
+    write_tables(t, root, only=("games", "teams", "players", "player_changelog", "new_ids"))
+    t = t.with_(games=public(read_table(spark, root, "games")))
+    t = t.with_(stats=bind_stats(r("lineitem"), t.games))
+    write_tables(t, root, only=("stats",))
+    stats = public(read_table(spark, root, "stats"))
+    t = t.with_(stats=stats, projections=bind_projections(stats), predictions=bind_predictions(stats, t.games),
+                salaries=bind_salaries(stats, t.games))
+    write_tables(t, root, only=("projections", "predictions", "salaries"))
     return read_tables(spark, root)
-
-
-def _only(t: Tables, name: str):
-    """A view of ``t`` whose ``items()`` yields one table (for ``write_tables``)."""
-    class _One:
-        games = t.games
-
-        def items(self):
-            return [(name, getattr(t, name))]
-    return _One()

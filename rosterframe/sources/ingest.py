@@ -61,6 +61,18 @@ PREDICTION_FIELDS = [Field("predictionSrc", "source", "string"), Field("gameDate
                      Field("bref_id", "player_bref_id", "string")]
 SALARY_FIELDS = [Field("playerId", "player_id", "long"), Field("gameDate", "game_date", "date"),
                  Field("salary", "salary", "int"), Field("site", "site", "string")]
+PLAYER_UPDATE_FIELDS = [Field("playerId", "player_id", "long"), Field("currentDepth", "current_depth_pos", "int"),
+                        Field("depthPos", "usual_depth_pos", "int"), Field("team", "current_team", "int"),
+                        Field("isStarting", "is_starter", "bool"), Field("inactive", "inactive", "bool"),
+                        Field("status", "status", "string")]
+PLAYER_BIO_FIELDS = [Field("playerId", "player_id", "long"), Field("brefId", "bref_id", "string"),
+                     Field("height", "height", "int"), Field("weight", "weight", "int"), Field("birthdate", "dob", "date"),
+                     Field("debutDate", "debut_date", "date"), Field("drafted", "draft_pick", "int"),
+                     Field("gamesPlayed", "games_played", "int"), Field("salary", "current_salary", "int"),
+                     Field("playerPosition", "player_position", "string")]
+PLAYER_SOURCE_ID_FIELDS = [Field("playerId", "player_id", "long"),
+                           *[Field(c, c, "string") for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")]]
+PLAYER_POSITION_FIELDS = [Field("playerId", "player_id", "long"), Field("playerPosition", "player_position", "string")]
 NEW_ID_FIELDS = [Field("sourceId", "source_id", "int"), Field("playerId", "new_id", "string"),
                  Field("playerName", "player_name", "string"), Field("uniqueId", "id", "string")]
 # -------------------------------------------------------------------------------
@@ -94,25 +106,43 @@ def ingest(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()
     types = {f.name: f.dataType for f in records.schema.fields}
     raw = {f.key: F.col(f"`{f.key}`") for f in fields}
     typed = {f.key: _typed(raw[f.key], f.type, types[f.key]) for f in fields}
-    ok = reduce(lambda a, b: a & b, [raw[f.key].isNull() | typed[f.key].isNotNull() for f in fields])
+    fine = {f.key: _survives(raw[f.key], typed[f.key], f.type) for f in fields}
+    whole = {CORRUPT: F.col(CORRUPT).isNull()} if CORRUPT in records.columns else {}
+    checks = {**fine, **whole}
+    ok = reduce(lambda a, b: a & b, checks.values())
     kept = [F.col(f"`{k}`") for k in keep]
     good = records.where(ok).select(*kept, *[typed[f.key].alias(f.column) for f in fields])
-    failed = F.array_compact(F.array(*[
-        F.when(raw[f.key].isNotNull() & typed[f.key].isNull(), F.lit(f.key)) for f in fields]))
+    failed = F.array_compact(F.array(*[F.when(~check, F.lit(key)) for key, check in checks.items()]))
+    text = F.to_json(F.struct(*[raw[f.key] for f in fields]))
     bad = records.where(~ok).select(*kept, failed.alias("failed_keys"),
-                                    F.to_json(F.struct(*[raw[f.key] for f in fields])).alias("record"))
+                                    (F.coalesce(F.col(CORRUPT), text) if whole else text).alias("record"))
     return good, bad
 
 
+# Column in which the JSON reader leaves a line that is no record.
+CORRUPT = "_corrupt_record"
+
+
+def _survives(raw: Column, typed: Column, kind: str) -> Column:
+    """A value that is present must have its type; of an array, every element."""
+    if kind == "int_array":
+        lost = F.size(F.filter(raw, lambda x: x.isNotNull())) != F.size(F.filter(typed, lambda x: x.isNotNull()))
+        return raw.isNull() | (typed.isNotNull() & ~lost)
+    return raw.isNull() | typed.isNotNull()
+
+
 def raw_schema(fields: Sequence[Field]) -> T.StructType:
-    """All-text read schema for a posted JSON batch (arrays as text arrays)."""
+    """All-text read schema for a posted JSON batch (arrays as text arrays), with a
+    place for malformed lines."""
     return T.StructType([T.StructField(f.key, T.ArrayType(T.StringType()) if f.type == "int_array"
-                                       else T.StringType(), True) for f in fields])
+                                       else T.StringType(), True) for f in fields]
+                        + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def read_json_batch(spark: SparkSession, path: str, fields: Sequence[Field]) -> tuple[DataFrame, DataFrame]:
-    """Read a posted JSON batch (one object per line) and type it by the field map."""
-    return ingest(spark.read.schema(raw_schema(fields)).json(path), fields)
+    """Read a posted JSON batch (one object per line) and type it by the field map.
+    Lines that are no JSON object come back among the bad records."""
+    return ingest(spark.read.schema(raw_schema(fields)).option("columnNameOfCorruptRecord", CORRUPT).json(path), fields)
 
 
 def enrich_literals(records: DataFrame, **values) -> DataFrame:

@@ -52,11 +52,16 @@ def players_rows():
     return out
 
 
+def T(day: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(day)
+
+
 def changelog_rows():
-    r = lambda pid, day, cid, team, start=True: (pid, D(day), cid, 2, 1, "G", team, start, 5000, 10, "ACTIVE", False)
+    r = lambda pid, day, cid, team, start=True: (pid, T(day), cid, 2, 1, "G", team, start, 5000, 10, "ACTIVE", False)
     return [r(10, "2016-10-10", 1, 2), r(10, "2016-11-16", 2, 1),            # date + 1 counts (N8)
             r(10, "2016-11-17", 3, 3),                                        # date + 2 does not
-            r(11, "2016-11-01", 4, 3, None), r(11, "2016-11-01", 5, 3, False)]  # same day: larger id wins
+            r(10, "2016-11-16 06:00:00", 6, 3),                               # after that midnight does not
+            r(11, "2016-11-01", 4, 3, None), r(11, "2016-11-01", 5, 3, False)]  # same time: larger id wins
     # player 12 has no changelog row
 
 

@@ -113,7 +113,7 @@ def test_bio_sets_pending(spark, gt):
     b = spark.createDataFrame([(11, "new11", 80, 220, dt.date(1991, 1, 1), dt.date(2012, 1, 1), 5, 7, 1000, "F")],
                               "player_id long, bref_id string, height int, weight int, dob date, debut_date date, "
                               "draft_pick int, games_played int, current_salary int, player_position string")
-    out = {r.player_id: r for r in M.update_bio(gt.players, b).collect()}
+    out = {r.player_id: r for r in M.update_bio(gt.players, b, order_col=None).collect()}
     assert (out[11].status, out[11].bref_id, out[11].player_position) == ("PENDING", "new11", "F")
     assert out[10].status == "ACTIVE"
 
@@ -121,7 +121,7 @@ def test_bio_sets_pending(spark, gt):
 def test_resolve_then_no_matching_pending_rows(spark, gt):
     batch = spark.createDataFrame([(10, "n10", "", "zz", "", "")],
                                   "player_id long, nf_id string, rw_id string, bm_id string, fp_id string, fc_id string")
-    players2, ids2 = M.resolve_source_ids(gt.players, gt.new_ids, batch)
+    players2, ids2 = M.resolve_source_ids(gt.players, gt.new_ids, batch, order_col=None)
     p = players2.where("player_id = 10").first()
     assert (p.nf_id, p.rw_id, p.bm_id, p.fp_id) == ("n10", None, "zz", None)      # blanks become null
     left = {r.id for r in ids2.collect()}
@@ -168,10 +168,75 @@ def test_jdbc_typing_matches_declared_schema(spark):
     from rosterframe.sources.jdbc import typed
     raw = spark.createDataFrame([(1, "2016-11-01", 3, "7", True)],
                                 "player_id int, changed_on string, new_team long, new_salary string, new_starting boolean")
-    out = typed(raw, "player_changelog")
+    with pytest.raises(ValueError, match="tie_break"):
+        typed(raw, "player_changelog")
+    out = typed(raw.withColumn("seq", F.lit(5)), "player_changelog", tie_break="seq")
     assert out.schema.simpleString() == S.PLAYER_CHANGELOG.simpleString()
     r = out.first()
-    assert (r.player_id, str(r.changed_on), r.new_team, r.new_salary, r.change_id) == (1, "2016-11-01", 3, 7, None)
+    assert (r.player_id, str(r.changed_on), r.new_team, r.new_salary, r.change_id) == (1, "2016-11-01 00:00:00", 3, 7, 5)
+
+
+def test_jdbc_fact_tables_need_read_bounds(spark):
+    from rosterframe.sources.jdbc import read_jdbc_tables
+    with pytest.raises(ValueError, match="read bounds.*stats"):
+        read_jdbc_tables(spark, "jdbc:none", {}, {"games": ("game_id", 1, 10, 2)})
+
+
+UPDATES = {
+    "update_player": ("player_id long, current_depth_pos int, usual_depth_pos int, current_team int, is_starter boolean, "
+                      "inactive boolean, status string", (1, 1, 3, True, False, "A"), (2, 2, 4, False, True, "B"), "current_team", 4),
+    "update_position": ("player_id long, player_position string", ("G",), ("C",), "player_position", "C"),
+    "update_source_ids": ("player_id long, nf_id string, rw_id string, bm_id string, fp_id string, fc_id string",
+                          ("a",) * 5, ("b",) * 5, "bm_id", "b"),
+    "update_bio": ("player_id long, bref_id string, height int, weight int, dob date, debut_date date, draft_pick int, "
+                   "games_played int, current_salary int, player_position string",
+                   ("x", 1, 1, None, None, 1, 1, 1, "G"), ("y", 2, 2, None, None, 2, 2, 2, "F"), "bref_id", "y"),
+}
+
+
+@pytest.mark.parametrize("name", UPDATES)
+def test_repeated_keys_never_multiply_players(spark, gt, name):
+    """With an order the last record counts; without one a repeated key fails the job."""
+    schema, first, last, column, want = UPDATES[name]
+    batch = spark.createDataFrame([(2, 10, *last), (1, 10, *first)], "batch_seq long, " + schema)
+    out = getattr(M, name)(gt.players, batch).collect()
+    assert len(out) == gt.players.count()
+    assert {r.player_id: r[column] for r in out}[10] == want
+    with pytest.raises(Exception, match="repeated key"):
+        getattr(M, name)(gt.players, batch.drop("batch_seq"), order_col=None).collect()
+
+
+def test_resolve_with_repeated_keys(spark, gt):
+    batch = spark.createDataFrame([(2, 10, "n10", "", "", "", ""), (1, 10, "", "", "", "", "")],
+                                  "batch_seq long, player_id long, nf_id string, rw_id string, bm_id string, fp_id string, fc_id string")
+    players2, ids2 = M.resolve_source_ids(gt.players, gt.new_ids, batch)
+    assert players2.count() == gt.players.count()
+    assert "1_n10" not in {r.id for r in ids2.collect()}
+
+
+def test_fill_roster_refuses_a_repeated_player(gt):
+    twice = gt.players.union(gt.players)
+    with pytest.raises(Exception, match="repeated key"):
+        M.fill_projection_roster(gt.projections, twice, gt.games, AS_OF).collect()
+
+
+def test_a_bad_prediction_is_split_off(spark, gt):
+    recs = spark.createDataFrame([("12.5", "p10"), ("n/a", "p11")], "`Scored Label` string, bref_id string")
+    good, bad = M.prediction_rows(recs, "x", AS_OF, "reb")
+    assert [(r.prediction, r.stat_type) for r in good.collect()] == [(12.5, "reb")]
+    assert [r.failed_keys for r in bad.collect()] == [["Scored Label"]]
+    assert M.insert_predictions(gt.predictions, recs, "x", AS_OF, "reb").where("source = 'x'").count() == 1
+
+
+def test_malformed_json_and_bad_array_elements_are_rejected(spark, tmp_path):
+    from rosterframe.sources.ingest import read_json_batch
+    (tmp_path / "b.json").write_text('{"gameId": 7, "awayPoints": 90, "homePoints": 99, "awayTeamInactive": [1, 2], "homeTeamInactive": null}\n'
+                                     '{"gameId": 8, "awayTeamInactive": [1, "x"]}\n{"gameId": 9, \nnot json\n'
+                                     '{"gameId": 10, "awayTeamInactive": [1, null]}\n')
+    good, bad = read_json_batch(spark, str(tmp_path / "b.json"), POSTGAME_FIELDS)
+    assert sorted((r.game_id, r.away_team_injured) for r in good.collect()) == [(7, [1, 2]), (10, [1, None])]
+    assert sorted((r.failed_keys, r.record[:12]) for r in bad.collect()) == [
+        (["_corrupt_record"], "not json"), (["_corrupt_record"], '{"gameId": 9'), (["awayTeamInactive"], '{"gameId":"8')]
 
 
 def test_generated_keys_are_stable_under_rerun(spark):
