@@ -102,8 +102,8 @@ def _game_block(t: Tables, team_col: str) -> tuple[Column, list[Column]]:
 
 def _with_opponent(df: DataFrame, teams: DataFrame, team_col: str) -> DataFrame:
     """Opponent abbreviation: a scalar lookup in the source, one broadcast join here."""
-    opp = F.broadcast(teams.select(F.col("team_id").alias("_opp_id"),
-                                   F.col("team_abbrev").alias("opponent_abbrev")))
+    opp = teams.select(F.col("team_id").alias("_opp_id"),
+                                   F.col("team_abbrev").alias("opponent_abbrev"))
     is_home = F.col("home_team_id") == F.col(team_col)
     df = df.withColumn("_opp_id", F.when(is_home, F.col("away_team_id")).otherwise(F.col("home_team_id")))
     return df.join(opp, "_opp_id", "left").drop("_opp_id")
@@ -120,7 +120,7 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     proj = projections_on(t.projections, t.games, d, stat)
     # Semi-join keys need no distinct: a repeated key matches the same rows.
     targets = proj.select("player_id")
-    teams = F.broadcast(t.teams)
+    teams = t.teams
 
     pl = player_asof(t.players, t.player_changelog, d, s0, changelog_slack_days, targets)
     games = prune_months(t.games, d, d).select(
@@ -146,8 +146,8 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
           .join(home_team, "home_team_id")
           .join(actual, ["player_id", "game_id"])
           .join(own_team, "current_team_id", "left")
-          .join(F.broadcast(team), "current_team_id")
-          .join(F.broadcast(att), "home_team_id")
+          .join(team, "current_team_id")
+          .join(att, "home_team_id")
           .join(recent, "player_id"))
     df = _with_opponent(df, t.teams, "current_team_id")
     is_home, game_cols = _game_block(t, "current_team_id")
@@ -199,7 +199,7 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     proj = proj.drop("team_id", "depth_pos", "is_starter")
     # Semi-join keys need no distinct: a repeated key matches the same rows.
     targets = proj.select("player_id")
-    teams = F.broadcast(t.teams)
+    teams = t.teams
 
     pl = t.players.join(targets, "player_id", "left_semi").select(
         "player_id", "bref_id", "current_depth_pos",
@@ -225,16 +225,16 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
         F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
     att = avg_attendance(season, t.teams)
     inj = injured_counts(t.players)
-    inj_home = F.broadcast(inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home")))
-    inj_away = F.broadcast(inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away")))
+    inj_home = inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home"))
+    inj_away = inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away"))
     recent = _recent(t, season, targets, stat, n_recent, (s0, d))
 
     df = (proj.join(pl, "player_id")
           .join(games, "game_id")
           .join(home_team, "home_team_id")
           .join(own_team, "current_team_id", "left")
-          .join(F.broadcast(team), "current_team_id")
-          .join(F.broadcast(att), "home_team_id")
+          .join(team, "current_team_id")
+          .join(att, "home_team_id")
           .join(recent, "player_id")
           .join(inj_home, "home_team_id", "left")
           .join(inj_away, "away_team_id", "left"))

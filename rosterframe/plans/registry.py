@@ -92,3 +92,4 @@ def safe(table: str, alias: str = "") -> str:
 from . import registry_queries  # noqa: E402,F401  (registers Q1-Q8)
 from . import registry_mutations  # noqa: E402,F401  (registers S5-S12, M1-M15)
 from . import registry_operators  # noqa: E402,F401  (registers op_* and the live query)
+from . import registry_stored  # noqa: E402,F401  (registers st_*: changes to stored tables)

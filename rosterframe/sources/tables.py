@@ -1,15 +1,18 @@
-"""The nine league tables as one lazily-read bundle, plus the Parquet reader and
-snapshot writer.
+"""The nine league tables as one lazily-read bundle, and their Parquet store.
 
-Mutations never edit files in place: each returns a new DataFrame and the
-writer stores it as a new snapshot directory (SURVEY 2.11, N15).
+Date-keyed facts are stored by the month of their game (or of the change), so that
+season windows and single dates prune whole folders.  The month is a property of the
+store, not of a row: it is computed whenever rows are written or appended, and the
+library's listings return the declared columns only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 
@@ -33,46 +36,97 @@ class Tables:
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
 
+PARTITION_COLUMNS = {"games": "game_month", "predictions": "game_month", "salaries": "game_month",
+                     "stats": "game_month", "projections": "game_month", "player_changelog": "change_month"}
+DATE_COLUMNS = {"game_month": "game_date", "change_month": "changed_on"}
+# Month of rows whose date isn't known when they are written (a box score or a
+# projection that comes before its game).  Every pruned read includes it.
+UNASSIGNED = "unassigned"
+
+
+def month_of(date: Column) -> Column:
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNASSIGNED))
+
+
+def partition_column(df: DataFrame) -> str | None:
+    """The month column a stored table carries besides its declared ones."""
+    return next((c for c in DATE_COLUMNS if c in df.columns), None)
+
+
+def public(df: DataFrame) -> DataFrame:
+    """The declared columns: what ``SELECT *`` on the table means."""
+    part = partition_column(df)
+    return df if part is None else df.drop(part)
+
+
 def read_tables(spark: SparkSession, root: str, only: tuple[str, ...] | None = None) -> Tables:
     """Read ``root/<table>`` Parquet directories with their declared schemas
     (month-partitioned tables also carry their partition column)."""
-    return Tables(**{name: (spark.read.schema(sch).parquet(f"{root}/{name}") if only is None or name in only
-                            else None)
-                     for name, sch in S.TABLE_SCHEMAS.items()})
+    return Tables(**{name: read_table(spark, root, name) if only is None or name in only else None
+                     for name in S.TABLE_SCHEMAS})
 
 
-# Physical layout of stored snapshots: date-keyed facts are partitioned by the
-# month of their game (or of the change), so that season windows and single
-# dates prune whole folders.  Spark cannot derive a month predicate from a date
-# predicate, so readers add it with ``prune_months``.
-PARTITION_COLUMNS = {"games": "game_month", "predictions": "game_month", "salaries": "game_month",
-                     "stats": "game_month", "projections": "game_month", "player_changelog": "change_month"}
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    part = PARTITION_COLUMNS.get(name)
+    extra = [] if part is None else [T.StructField(part, T.StringType())]
+    return spark.read.schema(T.StructType([*S.TABLE_SCHEMAS[name].fields, *extra])).parquet(f"{root}/{name}")
 
 
-def _with_partition(name: str, df: DataFrame, games: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
+def with_month(name: str, df: DataFrame, games: DataFrame | None = None) -> DataFrame:
+    """``df`` with the month its rows belong to, computed afresh.  Box scores and
+    projections take it from ``games``; without a known game it is UNASSIGNED."""
     part = PARTITION_COLUMNS.get(name)
     if part is None:
         return df
-    df = df.drop(part) if part in df.columns else df
-    if name == "player_changelog":
-        return df.withColumn(part, F.date_format("changed_on", "yyyy-MM"))
-    if "game_date" in df.columns:
-        return df.withColumn(part, F.date_format("game_date", "yyyy-MM"))
-    months = games.select("game_id", F.date_format("game_date", "yyyy-MM").alias(part))
-    return df.join(months, "game_id", "left").select(*df.columns, part)
-
-
-def write_tables(tables: Tables, root: str, mode: str = "overwrite") -> None:
-    """Write every table as Parquet, date-keyed tables partitioned by month
-    (the partition column is recomputed, so changed tables can be written back)."""
+    df = public(df)
+    if DATE_COLUMNS[part] in df.columns:
+        return df.withColumn(part, month_of(F.col(DATE_COLUMNS[part])))
+    if games is None:
+        return df.withColumn(part, F.lit(UNASSIGNED))
+    months = games.select("game_id", month_of(F.col("game_date")).alias(part))
+    return df.join(months, "game_id", "left").select(*df.columns, F.coalesce(part, F.lit(UNASSIGNED)).alias(part))
+
+
+def _refuse_own_input(df: DataFrame, path: str) -> None:
+    """Writing over files that the rows are read from would destroy them."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    full = target.getFileSystem(conf).makeQualified(target).toUri().getPath().rstrip("/") + "/"
+    for f in df.inputFiles():
+        if jvm.org.apache.hadoop.fs.Path(f).toUri().getPath().startswith(full):
+            raise ValueError(f"{path} is read by the rows to be written; write to another root")
+
+
+def _writer(df: DataFrame, name: str, mode: str):
+    part = PARTITION_COLUMNS.get(name)
+    if part is None:
+        return df.write.mode(mode)
+    # AQE splits the rebalanced partitions of a large month and joins those of small ones.
+    return df.hint("rebalance", F.col(part)).write.mode(mode).partitionBy(part)
+
+
+def write_tables(tables: Tables, root: str, mode: str = "errorifexists", only: tuple[str, ...] | None = None) -> None:
+    """Write every table (or ``only`` some) as a new snapshot under ``root``.  A root that
+    any of the rows are read from is refused, in any mode."""
     for name, df in tables.items():
-        out = _with_partition(name, df, tables.games)
-        part = PARTITION_COLUMNS.get(name)
-        if part:
-            out.repartition(part).write.mode(mode).partitionBy(part).parquet(f"{root}/{name}")
-        else:
-            out.write.mode(mode).parquet(f"{root}/{name}")
+        if only is None or name in only:
+            _refuse_own_input(df, f"{root}/{name}")
+            _writer(with_month(name, df, tables.games), name, mode).parquet(f"{root}/{name}")
+
+
+def append_rows(df: DataFrame, name: str, root: str, games: DataFrame | None = None) -> None:
+    """Append rows to a stored table; nothing stored is read or rewritten."""
+    _writer(with_month(name, df, games).select(*S.TABLE_SCHEMAS[name].fieldNames(),
+                                               *filter(None, [PARTITION_COLUMNS.get(name)])), name, "append").parquet(f"{root}/{name}")
+
+
+def replace_months(df: DataFrame, name: str, root: str) -> None:
+    """Replace the months that occur in ``df``, which must hold all their rows and its
+    month column; other months stay as they are.  The rows are checkpointed first, as
+    they come from the folders that are replaced."""
+    from ..session import checkpoint
+    rows = checkpoint(df)
+    _writer(rows, name, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{name}")
 
 
 def prune_months(df: DataFrame, lo=None, hi=None) -> DataFrame:
@@ -80,20 +134,15 @@ def prune_months(df: DataFrame, lo=None, hi=None) -> DataFrame:
     month-partitioned stored table; a no-op for any other DataFrame.
 
     ``lo``/``hi`` are date Columns (literals or foldable expressions), so the
-    predicate folds to constants and prunes partitions at planning time.
+    predicate folds to constants and prunes partitions at planning time.  Rows of
+    unknown month are always included.
     """
-    from pyspark.sql import functions as F
-    part = next((c for c in ("game_month", "change_month") if c in df.columns), None)
-    if part is None:
+    part = partition_column(df)
+    if part is None or (lo is None and hi is None):
         return df
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(part) >= F.date_format(lo, "yyyy-MM"))
     if hi is not None:
         cond = cond & (F.col(part) <= F.date_format(hi, "yyyy-MM"))
-    return df.where(cond)
-
-
-def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store one table version.  Callers write each new version to a new path."""
-    df.write.mode(mode).parquet(path)
+    return df.where(cond | (F.col(part) == UNASSIGNED))

@@ -24,7 +24,7 @@ def test_golden_features(gt):
     p = out[10]
     assert p.actual_stat == 31
     assert p.bm == 99.0                                  # MAX over the repeated source row (N5)
-    assert str(p.changed_on) == "2016-11-16"             # change on date + 1 counts, date + 2 does not (N8)
+    assert str(p.changed_on) == "2016-11-16 00:00:00"             # change on date + 1 counts, date + 2 does not (N8)
     assert p.current_team_id == 1 and p.is_home == "true" and p.team_spread == 4.5
     assert p.num_teammates_injured == 3 and p.num_opponents_injured == 0   # null array counts 0
     assert p.opponent_abbrev == "CCC"
@@ -103,8 +103,8 @@ def test_season_functions(spark):
 
 
 def test_changelog_slack_is_a_parameter(gt):
-    no_slack = {r.player_id: str(r.changed_on) for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=0).collect()}
-    two = {r.player_id: str(r.changed_on) for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=2).collect()}
+    no_slack = {r.player_id: str(r.changed_on)[:10] for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=0).collect()}
+    two = {r.player_id: str(r.changed_on)[:10] for r in ml_features(gt, AS_OF, "pts", SEASON, changelog_slack_days=2).collect()}
     assert no_slack[10] == "2016-10-10" and two[10] == "2016-11-17"
 
 
