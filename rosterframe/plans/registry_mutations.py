@@ -73,8 +73,8 @@ u AS (SELECT DISTINCT ON (game_id) * FROM pg ORDER BY game_id, l_linenumber DESC
     "away_team_pts": "u.away_team_pts", "home_team_pts": "u.home_team_pts",
     "away_team_injured": "u.away_team_injured", "home_team_injured": "u.home_team_injured",
     "attendance": "u.attendance",
-    "home_team_won": "(CASE WHEN (u.home_team_pts > u.away_team_pts) THEN TRUE ELSE FALSE END)",
-    "over_under": "(CASE WHEN (u.home_team_pts + u.away_team_pts) > b.total_pred THEN 'O' ELSE 'U' END)"}))
+    "home_team_won": "coalesce(u.home_team_pts > u.away_team_pts, FALSE)",
+    "over_under": "if(greatest(u.home_team_pts + u.away_team_pts - b.total_pred, 0) > 0, 'O', 'U')"}))
 def _m_postgame(t, r):
     return M.update_postgame(t.games, B.postgame_batch(t, r("lineitem")))
 
@@ -83,7 +83,7 @@ SPREADS_U = """, u AS (
   SELECT o_orderkey AS game_id, CAST(o_orderkey % 15 - 7 AS DOUBLE) AS home_spread,
          CAST(170 + o_orderkey % 50 AS DOUBLE) AS total_pred, CAST(95 + o_orderkey % 20 AS DOUBLE) AS away_pred_pts,
          CAST(95 + o_orderkey % 15 AS DOUBLE) AS home_pred_pts
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+  FROM orders)"""
 
 
 @register("m_spreads", _update_sql("games", SPREADS_U, "game_id", {
@@ -210,7 +210,10 @@ SOURCE_ID_U = f""", w AS ({WIDE_IDS}),
 u AS (
   SELECT CAST(regexp_extract(player_name, '^user_(\\d+)$', 1) AS BIGINT) AS player_id,
          COALESCE(nf_id, '') AS nf_id, COALESCE(rw_id, '') AS rw_id, COALESCE(bm_id, '') AS bm_id,
-         COALESCE(fp_id, '') AS fp_id, COALESCE(fc_id, '') AS fc_id
+         CASE WHEN suffix(player_name, '1') OR suffix(player_name, '3') OR suffix(player_name, '5') OR suffix(player_name, '7')
+                OR suffix(player_name, '9') THEN '' ELSE COALESCE(fp_id, '') END AS fp_id,
+         CASE WHEN suffix(player_name, '1') OR suffix(player_name, '3') OR suffix(player_name, '5') OR suffix(player_name, '7')
+                OR suffix(player_name, '9') THEN '' ELSE COALESCE(fc_id, '') END AS fc_id
   FROM w
   WHERE regexp_extract(player_name, '^user_(\\d+)$', 1) <> ''
     AND CAST(regexp_extract(player_name, '^user_(\\d+)$', 1) AS BIGINT) IN
@@ -228,18 +231,16 @@ SELECT player_id, NULLIF(nf_id, '') AS nf_id, NULLIF(rw_id, '') AS rw_id, NULLIF
        NULLIF(fp_id, '') AS fp_id, NULLIF(fc_id, '') AS fc_id FROM u""")
 def _op_blank_to_null(t, r):
     from ..functions.text import blank_to_null
-    b = B.source_id_batch(t, r("events"))
+    b = B.source_id_batch(t, r("events")).where("batch_seq = 2")
     return b.select("player_id", *[blank_to_null(c).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
 
 
 def _delete_sql(players_rel: str, ids_rel: str) -> str:
-    return f"""SELECT n.source_id, n.new_id, n.player_name, n.id FROM new_ids n
-WHERE (
-  (n.source_id = 1 AND n.new_id IN (SELECT nf_id FROM {players_rel} WHERE player_id IN ({ids_rel}))) OR
-  (n.source_id = 2 AND n.new_id IN (SELECT bm_id FROM {players_rel} WHERE player_id IN ({ids_rel}))) OR
-  (n.source_id = 3 AND n.new_id IN (SELECT rw_id FROM {players_rel} WHERE player_id IN ({ids_rel}))) OR
-  (n.source_id = 4 AND n.new_id IN (SELECT fp_id FROM {players_rel} WHERE player_id IN ({ids_rel}))) OR
-  (n.source_id = 5 AND n.new_id IN (SELECT fc_id FROM {players_rel} WHERE player_id IN ({ids_rel})))) IS NOT TRUE"""
+    """Pending ids without a holder: the players' ids as one long list of (source, id)."""
+    return f"""SELECT n.source_id, n.new_id, n.player_name, n.id
+FROM new_ids n ANTI JOIN (
+  SELECT unnest([1, 2, 3, 4, 5]) AS source_id, unnest([nf_id, bm_id, rw_id, fp_id, fc_id]) AS new_id
+  FROM {players_rel} SEMI JOIN ({ids_rel}) chosen(player_id) USING (player_id)) held USING (source_id, new_id)"""
 
 
 @register("m_delete_source_ids", _delete_sql("players", "SELECT user_id FROM events WHERE event_type = 'purchase'"))
@@ -247,16 +248,23 @@ def _m_delete_source_ids(t, r):
     return M.delete_source_ids(t.new_ids, t.players, B.purchase_player_ids(r("events")))
 
 
-@register("p_resolve_source_ids", f"""{SOURCE_ID_U},
+RESOLVED = f"""{SOURCE_ID_U},
 players2 AS (
   SELECT b.* REPLACE ({", ".join(f"CASE WHEN u.player_id IS NOT NULL THEN {e} ELSE b.{c} END AS {c}"
                                  for c, e in ID_SETS.items())})
-  FROM players b LEFT JOIN u ON u.player_id = b.player_id)
-{_delete_sql("players2", "SELECT player_id FROM u")}""")
+  FROM players b LEFT JOIN u ON u.player_id = b.player_id)"""
+
+
+@register("p_resolve_source_ids", f"{RESOLVED}\n{_delete_sql('players2', 'SELECT player_id FROM u')}")
 def _p_resolve_source_ids(t, r):
     return M.resolve_source_ids(t.players, t.new_ids, B.source_id_batch(t, r("events")))[1]
 
 
+@register("p_resolve_source_ids_players", f"{RESOLVED}\nSELECT {safe('players')} FROM players2")
+def _p_resolve_source_ids_players(t, r):
+    return M.resolve_source_ids(t.players, t.new_ids, B.source_id_batch(t, r("events")))[0]
+
+
 @register("m_insert_ignore_new_ids", """, fresh AS (
   SELECT source_id, new_id, player_name, id FROM (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch_seq) AS rn
@@ -264,8 +272,7 @@ def _p_resolve_source_ids(t, r):
   WHERE rn = 1)
 SELECT * FROM new_ids UNION ALL SELECT * FROM fresh""")
 def _m_insert_ignore_new_ids(t, r):
-    from ..sources.binding import new_id_batch
-    return M.insert_new_ids(t.new_ids, new_id_batch(r("events")))
+    return M.insert_new_ids(t.new_ids, B.new_id_batch(r("orders")))
 
 
 ON_DATE = f"(SELECT game_id FROM games WHERE game_date = {D})"
