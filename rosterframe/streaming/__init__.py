@@ -1,3 +1,3 @@
 """Structured Streaming ingestion of posted record batches."""
 
-from .ingest_stream import posted_stream, start_ingest  # noqa: F401
+from .ingest_stream import posted_stream, read_landed, start_ingest  # noqa: F401

@@ -10,18 +10,19 @@ rejected records written beside the table instead of dropped.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.ingest import Field, ingest, raw_schema
+from ..sources.ingest import CORRUPT, Field, ingest, raw_schema
 
 
 def posted_stream(spark: SparkSession, landing: str, fields: Sequence[Field],
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of raw posted records (all values as text)."""
-    r = spark.readStream.schema(raw_schema(fields))
+    r = spark.readStream.schema(raw_schema(fields)).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(landing)
@@ -29,24 +30,35 @@ def posted_stream(spark: SparkSession, landing: str, fields: Sequence[Field],
 
 def start_ingest(spark: SparkSession, landing: str, fields: Sequence[Field], table_path: str,
                  rejects_path: str, checkpoint: str, available_now: bool = False,
-                 partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Type each micro-batch by ``fields``; append good rows to ``table_path``
-    (Parquet) and bad records to ``rejects_path``.
-
-    ``foreachBatch`` writes both outputs of a micro-batch into folders named
-    by the batch id, in overwrite mode: if the query dies after writing but
-    before committing, the restart replays the same batch id and rewrites the
-    same folders, so no row is lost or doubled.
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Type each micro-batch by ``fields``; land good rows under ``table_path``
+    (Parquet) and bad records under ``rejects_path``.
+
+    ``foreachBatch`` writes both outputs of a micro-batch into folders named by
+    the query's id and the batch id, in overwrite mode: if the query dies after
+    writing but before committing, the restart replays the same batch and rewrites
+    the same folders, so no row is lost or doubled.  The query's id lives in the
+    checkpoint; after a lost checkpoint a new query writes to new folders and
+    overwrites nothing.  The micro-batch is read once and kept while it is written;
+    ``max_files_per_trigger`` bounds it.  ``read_landed`` reads what has landed, for
+    ``plans.stored.insert_rows`` to insert.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = ingest(batch, fields)
-        w = good.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{table_path}/batch={batch_id}")
-        bad.write.mode("overwrite").json(f"{rejects_path}/batch={batch_id}")
-
-    stream = posted_stream(spark, landing, fields)
+        run = json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
+        kept = batch.persist()
+        try:
+            good, bad = ingest(kept, fields)
+            good.write.mode("overwrite").parquet(f"{table_path}/run={run}/batch={batch_id}")
+            bad.write.mode("overwrite").json(f"{rejects_path}/run={run}/batch={batch_id}")
+        finally:
+            kept.unpersist()
+
+    stream = posted_stream(spark, landing, fields, max_files_per_trigger)
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def read_landed(spark: SparkSession, table_path: str) -> DataFrame:
+    """All landed rows, without the folders' names as columns."""
+    return spark.read.option("recursiveFileLookup", True).parquet(table_path)

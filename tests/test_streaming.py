@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from rosterframe.sources.ingest import STAT_FIELDS
-from rosterframe.streaming import start_ingest
+from rosterframe.streaming import read_landed, start_ingest
 
 
 def test_stream_appends_good_rows_and_keeps_rejects(spark, tmp_path):
@@ -15,18 +15,24 @@ def test_stream_appends_good_rows_and_keeps_rejects(spark, tmp_path):
              "blk": 0, "tpt": 2, "tov": 3},
             {"playerId": 2, "gameId": 10, "teamId": 3, "mins": "n/a", "pts": 7, "reb": 1, "ast": 0, "stl": 0,
              "blk": 0, "tpt": 0, "tov": 1}]
-    (landing / "b1.json").write_text("\n".join(json.dumps(r) for r in recs))
+    (landing / "b1.json").write_text("\n".join(json.dumps(r) for r in recs) + "\n{not json\n")
     q = start_ingest(spark, str(landing), STAT_FIELDS, str(tmp_path / "stats"), str(tmp_path / "rejects"),
                      str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
-    good = spark.read.parquet(str(tmp_path / "stats"))
+    good = read_landed(spark, str(tmp_path / "stats"))
+    assert "batch" not in good.columns
     assert [(r.player_id, r.mins, r.pts) for r in good.collect()] == [(1, 31.5, 20)]
     bad = spark.read.json(str(tmp_path / "rejects"))
-    assert [r.failed_keys for r in bad.collect()] == [["mins"]]
+    assert sorted(r.failed_keys for r in bad.collect()) == [["_corrupt_record"], ["mins"]]
     # a second file is picked up by a restarted query from the same checkpoint, the first is not re-read
     (landing / "b2.json").write_text(json.dumps({**recs[0], "playerId": 5}))
     q = start_ingest(spark, str(landing), STAT_FIELDS, str(tmp_path / "stats"), str(tmp_path / "rejects"),
                      str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
-    ids = sorted(r.player_id for r in spark.read.parquet(str(tmp_path / "stats")).collect())
+    ids = sorted(r.player_id for r in read_landed(spark, str(tmp_path / "stats")).collect())
     assert ids == [1, 5]
+    # a lost checkpoint reads everything again, but overwrites nothing that has landed
+    q = start_ingest(spark, str(landing), STAT_FIELDS, str(tmp_path / "stats"), str(tmp_path / "rejects"),
+                     str(tmp_path / "ckpt2"), available_now=True, max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert read_landed(spark, str(tmp_path / "stats")).count() == 4
