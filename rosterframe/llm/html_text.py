@@ -300,13 +300,17 @@ def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def labelled_sample(pages: DataFrame, documents: DataFrame, doc_of: Column, fit_pages: int = 2000) -> DataFrame:
-    """(html, article) of at most ``fit_pages`` pages whose article is a known document;
-    ``doc_of`` gives a page's doc_id.  The sample is the pages with the smallest hash of their id,
-    and its bound is what makes the weights cheap to learn at any size."""
-    chosen = (pages.select("page_id", "html", doc_of.cast("long").alias("known_id")).where("known_id is not null and html is not null")
-              .orderBy(F.xxhash64("page_id"), "page_id").limit(fit_pages))
+    """(html, article) of about ``fit_pages`` pages (all, if there are fewer) whose article is a known
+    document; ``doc_of`` gives a page's doc_id.  The sample is the pages whose id hashes below
+    a threshold: no page is sorted or gathered.  Its bound is what makes the weights cheap
+    to learn at any size, and what bounds the only thing that is broadcast, its ids."""
+    below = int(min(1.0, fit_pages / max(1, pages.count())) * (1 << 31))
+    chosen = (pages.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 31)) < below)
+              .select("html", doc_of.cast("long").alias("known_id")).where("known_id is not null and html is not null"))
+    chosen = materialize(chosen, "chosen_pages")
     texts = documents.select(F.col("doc_id").cast("long").alias("known_id"), F.col("text").alias("article")).where("article is not null")
-    return materialize(chosen.join(texts, "known_id").select("html", "article"), "labelled_pages")
+    known = texts.join(F.broadcast(chosen.select("known_id").distinct()), "known_id", "left_semi")
+    return materialize(chosen.join(known, "known_id").select("html", "article"), "labelled_pages")
 
 
 def extract(pages: DataFrame, w: dict[str, float], html_col: str = "html", columns: list[str] | None = None) -> DataFrame:
