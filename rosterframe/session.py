@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared checkpoint folder and read it back:
+    like a reliable checkpoint, but later reads take the columns they need only."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
