@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import classifier as Q
 

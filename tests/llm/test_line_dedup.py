@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import line_dedup as L
 

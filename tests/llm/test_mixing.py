@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import mixing as M
 

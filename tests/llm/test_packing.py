@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import packing as P
 

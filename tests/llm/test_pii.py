@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import pii as P
 

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
+from llm_fixtures import docs_of  # noqa: F401
 
 from rosterframe.llm import simhash as S
 from rosterframe.llm.graph import components
