@@ -28,17 +28,23 @@ def test_entry(spark):
     assert df.count() > 0 and "bref_id" in df.columns
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_against_oracle(spark, con, key):
+    """Column names, column types and the multiset of rows."""
     df = QUERIES[key](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLE[key])
-    dcols = [x[0] for x in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(ORACLE[key])
     sc, sm = canon(df.columns, srows)
-    dc, dm = canon(dcols, drows)
+    dc, dm = canon(rel.columns, rel.fetchall())
     assert sc == dc
     assert sm == dm
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) == duck_types[f.name], f.name
 
 
 @pytest.mark.parametrize("key", ["p_ml_features", "p_ml_features_live", "p_ml_features_backfill",
@@ -53,16 +59,3 @@ def test_flagship_plan_shape(spark):
     plan = qe.executedPlan().toString()
     assert "WindowGroupLimit" in plan                     # top-N before the shuffle
     assert "broadcast)" not in qe.logical().toString()    # no forced broadcast: Spark decides by size
-
-
-SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
-                 "boolean": "BOOLEAN", "date": "DATE"}
-
-
-@pytest.mark.parametrize("key", KEYS)
-def test_result_types_match_the_oracle(spark, con, key):
-    df = QUERIES[key](spark, SF001)
-    rel = con.sql(ORACLE[key])
-    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
-    for f in df.schema.fields:
-        assert SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) == duck_types[f.name], f.name
