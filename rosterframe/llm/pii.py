@@ -15,6 +15,7 @@ import datetime as dt
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,6 +30,16 @@ HEX = "0123456789abcdef"
 MONTHS = ("January February March April May June July August September October November December").split()
 CALLING_2 = {20, 27, *range(30, 35), 36, 39, 40, 41, *range(43, 50), *range(51, 59), *range(60, 67), 81, 82, 84, 86, *range(90, 96), 98}
 
+#: Digits after the country code (fewest, most) where the numbering plan bounds them closely; a trunk zero comes on top.
+NATIONAL = {
+    1: (10, 10), 7: (10, 10), 20: (9, 10), 27: (9, 9), 30: (10, 10), 31: (9, 9), 32: (8, 9), 33: (9, 9), 34: (9, 9), 36: (8, 9), 39: (8, 11),
+    40: (9, 9), 41: (9, 9), 44: (9, 10), 45: (8, 8), 46: (7, 10), 47: (8, 8), 48: (9, 9), 49: (7, 11), 51: (8, 9), 52: (10, 10), 54: (10, 11),
+    55: (10, 11), 56: (9, 9), 57: (10, 10), 58: (10, 10), 60: (8, 10), 61: (9, 9), 62: (8, 12), 63: (9, 10), 64: (8, 10), 65: (8, 8), 66: (8, 9),
+    81: (9, 10), 82: (8, 10), 84: (9, 10), 86: (10, 11), 90: (10, 10), 91: (10, 10), 92: (9, 10), 94: (9, 9), 98: (10, 10), 351: (9, 9),
+    353: (7, 9), 358: (6, 11), 380: (9, 9), 420: (9, 9), 421: (9, 9), 852: (8, 8), 886: (8, 9), 966: (8, 9), 971: (8, 9), 972: (8, 9)}
+#: Groups of digits in which card numbers are written, besides a single one; likelier ones first.
+CARD_GROUPS = [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 4, 2), (4, 4, 4, 4, 1), (6, 13), (8, 8), (4, 4, 4, 1), (4, 3, 3, 3)]
+
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 ROUNDS = 10
 
@@ -91,19 +102,59 @@ def _refill(shape: str, chars: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
-# --------------------------------------------------- finders: match -> new text
+# --------------------------------------------------- finders: match -> new text, or places and new texts in it
+
+Found = tuple[int, int, str]
 
 def _email(m: re.Match, c: Cipher) -> str:
     name, domain = m[0].lower().rsplit("@", 1)
     return f"{c.permute_chars(name, 'email|' + domain)}@{m[0].rsplit('@', 1)[1]}"
 
 
-def _card(m: re.Match, c: Cipher) -> str | None:
-    d = re.sub(r"\D", "", m[0])
-    if d[0] not in "23456" or luhn_sum(d) or len(set(re.findall(r"\D", m[0]))) > 1:
+def _card(text: str, c: Cipher) -> str | None:
+    d = re.sub(r"\D", "", text)
+    if not 13 <= len(d) <= 19 or d[0] not in "23456" or luhn_sum(d) or len(set(re.findall(r"\D", text))) > 1:
         return None
     body = d[0] + c.permute_chars(d[1:-1], f"card|{d[0]}")
-    return _refill(m[0], body + str(-luhn_sum(body + "0") % 10))
+    return _refill(text, body + str(-luhn_sum(body + "0") % 10))
+
+
+def _groups(m: re.Match) -> list[tuple[int, int]]:
+    return [g.span() for g in re.finditer(r"\d+", m[0])]
+
+
+def _cards(m: re.Match, c: Cipher, usual: bool) -> list[Found]:
+    """The cards in a run of groups of digits, whatever numbers stand beside them.  ``usual``: in the groups
+    that cards are written in, from anywhere in the run.  Otherwise in any groups: the run, as far
+    as 19 digits go, and the run without up to two groups at either end."""
+    at, text, base = _groups(m), m.string, m.start()
+    n = len(at)
+    if at[-1][1] < 13:
+        return []
+    first = 0 if not re.match(r"[\w.-]", text[base - 1:base]) else 1
+    last = n if not re.match(r"[\w-]", text[m.end():m.end() + 1]) else n - 1
+    size = [e - s for s, e in at]
+
+    def at_window(i: int, j: int) -> Found | None:
+        s, e = at[i][0], at[j - 1][1]
+        put = _card(m[0][s:e], c) if e - s < 38 else None
+        return put and (base + s, base + e, put)
+
+    if usual:
+        out, i = [], first
+        while i < last:
+            ends = [i + 1] if 13 <= size[i] <= 19 else [i + len(g) for g in CARD_GROUPS if i + len(g) <= last and tuple(size[i:i + len(g)]) == g]
+            if i == 0 and text[base - 1:base] == "+":
+                ends = [j for j in ends if j == 1]  # a phone's country code
+            hit, j = next(((x, j) for j in ends if (x := at_window(i, j))), (None, i + 1))
+            out += [hit] if hit else []
+            i = j
+        return out
+    most = first
+    while most < last and sum(size[first:most + 1]) <= 19:
+        most += 1
+    tries = [(first, most), *((i, j) for i in range(first, first + 3) for j in range(last, last - 3, -1))]
+    return [x for i, j in tries if i < j if (x := at_window(i, j))][:1]
 
 
 def _iban(m: re.Match, c: Cipher) -> str | None:
@@ -147,12 +198,33 @@ def _nanp(m: re.Match, c: Cipher) -> str | None:
     return head + _refill(m[0][len(head):], f"{area + 200}{line + 200}{last:04}")
 
 
-def _phone(m: re.Match, c: Cipher) -> str | None:
-    d = re.sub(r"\D", "", m[0])
-    if not 8 <= len(d) <= 15 or m[0].count("(") != m[0].count(")"):
-        return None
-    n = 1 if d[0] in "17" else 2 if int(d[:2]) in CALLING_2 else 3
-    return _refill(m[0], d[:n] + c.permute_chars(d[n:], f"phone|{d[:n]}"))
+def _phone(m: re.Match, c: Cipher) -> list[Found]:
+    """The longest run of groups that the numbering plan of the country allows, else of 8 to 15 digits in all.
+    Numbers behind it don't belong to it, nor do the groups of a card."""
+    code = re.sub(r"\D", "", m[0][:12])
+    n = 1 if code[0] in "17" else 2 if int(code[:2]) in CALLING_2 else 3
+    cards = [x for r in _RUN.finditer(m.string, m.start(), m.end()) for x in _cards(r, c, True)]
+    planned = other = None
+    digits = 0
+    for s, e in _groups(m):
+        digits += e - s
+        if digits > 15:
+            break
+        if m[0][e:e + 1] == ")":
+            e += 1
+        shape, stop = m[0][:e], m.start() + e
+        if (digits < 8 or shape.count("(") != shape.count(")") or any(a < stop for a, _, _ in cards)
+                or stop == m.end() and re.match(r"[\w-]", m.string[stop:stop + 1])):
+            continue
+        d = re.sub(r"\D", "", shape)
+        few, most = NATIONAL.get(int(d[:n]), (0, 0))
+        if few <= digits - n - (d[n] == "0" and d[:n] != "39") <= most:
+            planned = shape, d
+        other = shape, d
+    if not (best := planned or other):
+        return []
+    shape, d = best
+    return [(m.start(), m.start() + len(shape), _refill(shape, d[:n] + c.permute_chars(d[n:], f"phone|{d[:n]}")))]
 
 
 def _day(y: int, m: int, d: int, c: Cipher) -> dt.date | None:
@@ -233,8 +305,10 @@ _NAME = "((?i:" + "|".join(f"{m[:3]}(?:{m[3:]}|\\.)?" if m[3:] else m for m in M
 _A = r"(?<![A-Za-z0-9])"  # not inside a word or number
 _Z = r"(?![A-Za-z0-9])"
 
+_RUN = re.compile(r"(?=[\d -]{13})\d++(?:[ -]\d++)*+")
+
 #: (kind, needs, pattern, finder): earlier ones win where matches overlap at the same start.
-FINDERS: list[tuple[str, str, re.Pattern, Callable[[re.Match, Cipher], str | None]]] = [
+FINDERS: list[tuple[str, str, re.Pattern, Callable[[re.Match, Cipher], str | list[Found] | None]]] = [
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])"), _email),
     ("key", "AKIA", re.compile(_A + r"(AKIA)([A-Z0-9]{16})" + _Z), _cloud_key),
     ("key", "ASIA", re.compile(_A + r"(ASIA)([A-Z0-9]{16})" + _Z), _cloud_key),
@@ -248,9 +322,12 @@ FINDERS: list[tuple[str, str, re.Pattern, Callable[[re.Match, Cipher], str | Non
     ("ip", "", re.compile(r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"), _ipv4),
     ("ssn", "", re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn),
     ("phone", "", re.compile(r"(?<![\w+.-])(?:\+?1[ .-]?)?\(?([2-9]\d\d)\)?[ .-]?([2-9]\d\d)[ .-]?(\d{4})(?![\w-])"), _nanp),
-    ("phone", "+", re.compile(r"(?<![\w+])\+[1-9]\d{0,14}(?:[ .-]?\(?\d{1,14}\)?){0,6}(?![\w-])"), _phone),
-    ("card", "", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"), _card),
+    ("phone", "+", re.compile(r"(?<![\w+])\+[1-9]\d*+(?:[ .-]?\(?\d++\)?+)*+"), _phone),
+    ("card", "", _RUN, lambda m, c: _cards(m, c, True)),
+    ("card", "", _RUN, lambda m, c: _cards(m, c, False)),
 ]
+#: Ranks of the finders whose values go before others that they overlap: names, marks, checksums in a fixed form.
+SURE = {k for k, f in enumerate(FINDERS) if f[0] in ("email", "key", "secret", "iban")} | {len(FINDERS) - 2}
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -261,13 +338,20 @@ def find(text: str, cipher: Cipher) -> list[tuple[int, int, str, str]]:
     for rank, (kind, needs, pattern, new) in enumerate(FINDERS):
         if (needs in text) if needs in ("@", "AKIA", "ASIA") else digits and needs in text:
             for m in pattern.finditer(text):
-                if (put := new(m, cipher)) is not None:
-                    spans.append((m.start(), rank, m.end(), kind, put))
-    out, end = [], 0
-    for start, _, stop, kind, put in sorted(spans):
-        if start >= end:
-            out.append((start, stop, kind, put))
-            end = stop
+                put = new(m, cipher)
+                for start, stop, x in put if isinstance(put, list) else [(m.start(), m.end(), put)]:
+                    if x is not None:
+                        spans.append((start, rank, stop, kind, x))
+    out: list[tuple[int, int, str, str]] = []
+    for sure in (True, False):
+        kept, ends, end = out, [x[1] for x in out], 0
+        out = list(kept)
+        for start, rank, stop, kind, put in sorted(spans):
+            k = bisect_right(ends, start)  # the first kept one that ends behind this start
+            if (rank in SURE) == sure and start >= end and (k == len(kept) or kept[k][0] >= stop):
+                out.append((start, stop, kind, put))
+                end = stop
+        out.sort()
     return out
 
 

@@ -61,6 +61,27 @@ def test_phones():
     assert re.fullmatch(r"\+49 \d\d \d{7}", de) and re.sub(r"\D", "", new("+49301234567")) == re.sub(r"\D", "", de)
 
 
+@pytest.mark.parametrize(("text", "value"), [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111111111111111 123", "4111111111111111"), ("4111 1111 1111 1111 123", "4111 1111 1111 1111"),
+    ("id 12 4111111111111111", "4111111111111111"), ("12-4111111111111111", "4111111111111111"), ("4111-1111-1111-1111-12", "4111-1111-1111-1111"),
+    ("41 11 11 11 11 11 11 11 12", "41 11 11 11 11 11 11 11"), ("212 555 4111 1111 1111 1111", "4111 1111 1111 1111"),
+    ("3 14 15 92 3782 822463 10005 65 35 89 79", "3782 822463 10005"), ("2021-03-14 4111111111111111 99", "4111111111111111"),
+    ("+44 20 7946 0958 2020", "+44 20 7946 0958"), ("+44 20 7946 0958 20", "+44 20 7946 0958"), ("+49 30 1234567 2020 2021", "+49 30 1234567")])
+def test_numbers_beside_a_card_or_phone(text, value):
+    at = text.index(value)
+    got = new(text)
+    assert new(value) != value and got[at:at + len(value)] == new(value)  # linked with the same value elsewhere
+    assert got[at + len(value):] == text[at + len(value):] and (text.startswith("2021-") or got[:at] == text[:at])
+
+
+def test_two_cards_and_a_phone_before_a_card():
+    a, b = "4111111111111111", "5500 0000 0000 0004"
+    assert new(f"{a} {a} 99 {b}") == f"{new(a)} {new(a)} 99 {new(b)}"
+    assert new(f"+49 30 12345 {b}") == f"{new('+49 30 12345')} {new(b)}"
+    assert new("DE89 3704 0044 0532 0130 00")[:2] == "DE" and len(P.find("DE89 3704 0044 0532 0130 00", C)) == 1
+    assert len(P.find(f"{a} " * 20_000, C)) == 20_000
+
+
 def test_addresses_keys_and_secrets():
     a = new("ip 70.123.182.155. Version 2.0. BY-NC 4.0. 1.2.3.4.5 300.1.1.1")
     assert a.endswith("Version 2.0. BY-NC 4.0. 1.2.3.4.5 300.1.1.1") and "70.123.182.155" not in a
