@@ -42,6 +42,8 @@ CARD_GROUPS = [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 4,
 
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 ROUNDS = 10
+#: Characters permuted together: an addition's 256 bits are wider than half of them.
+CHUNK = 64
 
 
 class Cipher:
@@ -70,7 +72,10 @@ class Cipher:
                 return x
 
     def permute_chars(self, text: str, tweak: str, alphabets: tuple[str, ...] = (DIGITS, LOWER, UPPER)) -> str:
-        """Permute the characters of each alphabet among themselves, jointly; others stay."""
+        """Permute the characters of each alphabet among themselves, jointly; others stay.
+        A longer text goes chunk by chunk, each by a permutation of its own."""
+        if len(text) > CHUNK:
+            return "".join(self.permute_chars(text[k:k + CHUNK], f"{tweak}|{k // CHUNK}", alphabets) for k in range(0, len(text), CHUNK))
         own = [next((a for a in alphabets if c in a), None) for c in text]
         x, size = 0, 1
         for c, a in zip(text, own):
@@ -312,8 +317,8 @@ FINDERS: list[tuple[str, str, re.Pattern, Callable[[re.Match, Cipher], str | lis
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])"), _email),
     ("key", "AKIA", re.compile(_A + r"(AKIA)([A-Z0-9]{16})" + _Z), _cloud_key),
     ("key", "ASIA", re.compile(_A + r"(ASIA)([A-Z0-9]{16})" + _Z), _cloud_key),
-    ("secret", "", re.compile(_A + r"((?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ ]*[=:][ ]*[\"']?)([^\s\"'<>]{8,200})"), _secret),
-    ("secret", "", re.compile(_A + r"[0-9a-f]{32,128}" + _Z), _hex_token),
+    ("secret", "", re.compile(_A + r"((?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ ]*[=:][ ]*[\"']?)([^\s\"'<>]{8,})"), _secret),
+    ("secret", "", re.compile(_A + r"[0-9a-f]{32,}+" + _Z), _hex_token),
     ("iban", "", re.compile(_A + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _Z), _iban),
     ("date", "", re.compile(r"(?<![\w./-])(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?!\d|[-/.]\d)"), _date_ymd),
     ("date", "", re.compile(r"(?<![\w./-])(\d{1,2})([-/.])(\d{1,2})\2(\d{4})(?!\w|[-/.]\d)"), _date_dmy),

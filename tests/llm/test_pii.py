@@ -95,6 +95,20 @@ def test_addresses_keys_and_secrets():
     assert new("the password: unchanged prose") == "the password: unchanged prose"
 
 
+@pytest.mark.parametrize("n", [65, 128, 129, 201, 1000, 10_000])
+def test_long_secrets_are_replaced_whole(n):
+    rng = random.Random(n)
+    jwt = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n - 1)) + "7"
+    plain = "".join(rng.choices("0123456789abcdef", k=n - 2)) + "a7"
+    for value, text in ((jwt, f"token={jwt} end"), (plain, f"sum {plain} end")):
+        got = new(text).split(" ")
+        out = got[0][6:] if text.startswith("token=") else got[1]
+        assert got[-1] == "end" and len(out) == n and re.fullmatch("[0-9a-f]+" if value == plain else "[0-9A-Za-z]+", out)
+        pieces = [(value[k:k + 8], out[k:k + 8]) for k in range(0, n - 7, 8)]
+        assert all(a != b for a, b in pieces) and value[-8:] != out[-8:]
+    assert new(f"token={jwt}") != new(f"token={jwt[:-1]}8")
+
+
 def test_ssn_and_iban():
     a = new("123-45-6789")
     assert re.fullmatch(r"\d{3}-\d{2}-\d{4}", a) and a != "123-45-6789"
