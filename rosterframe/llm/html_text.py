@@ -7,7 +7,7 @@ Segmentation", 2009).  The weights come from labelled pages, that is pages whose
 text is known: how often each tag, and words in running text, links and page furniture,
 lie inside and outside of the article, and the price of a tag that fits these pages best.
 
-The region then settles on the landmark (article, main, or a content block) that holds
+The region then settles on the landmark (article, main, else a content block) that holds
 nearly all of its words, and furniture inside of it is taken out: elements whose tag,
 class, id or role says that they are menus, headers, footers, sidebars, notices, adverts,
 forms or reader comments.
@@ -240,7 +240,9 @@ def best_region(page: Page, w: dict[str, float]) -> tuple[int, int]:
 
 
 def settle(page: Page, start: int, end: int) -> tuple[int, int]:
-    """The smallest landmark or content block that holds nearly all of the region's words."""
+    """The smallest landmark or content block that holds nearly all of the region's words; the landmark
+    around it, if it is a block in one.  Words of the region beside it stay too, as far as a
+    landmark around it reaches, or around a block another block."""
     def words(a: int, b: int) -> int:
         return page.own_before[b] - page.own_before[a]
 
@@ -250,8 +252,17 @@ def settle(page: Page, start: int, end: int) -> tuple[int, int]:
         if k == OPEN and v in CONTAINERS and not page.furniture[i] and page.end[i] > start and i < end:
             if v in LANDMARKS or page._named(page._attributes(i)) & CONTENT_WORDS:
                 if words(max(i, start), min(page.end[i], end)) >= 0.9 * total:
-                    found.append((page.end[i] - i, i, page.end[i]))
-    return min(found)[1:] if found else (start, end)
+                    found.append((page.end[i] - i, i, page.end[i], v in LANDMARKS))
+    if not found:
+        return start, end
+    _, i, j, landmark = min(found)
+    around = [x for x in sorted(found) if x[1] <= i and x[2] >= j]
+    if not landmark:
+        _, i, j, landmark = next((x for x in around if x[3]), around[0])
+    for _, a, b, other in around:
+        if a <= i and b >= j and (other or not landmark):
+            i, j = min(i, max(a, start)), max(j, min(b, end))
+    return i, j
 
 
 def main_text(source: str | None, w: dict[str, float]) -> str:

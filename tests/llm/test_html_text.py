@@ -61,6 +61,26 @@ def test_other_shapes(page):
     assert H.main_text(page, H.DEFAULT) == f"Title here\n{A}\n{B_TEXT}"
 
 
+LONG = " ".join(f"gamma{k}" for k in range(400)) + "."
+
+
+@pytest.mark.parametrize("name", ["entry-content", "article-body", "post-content", "story"])
+@pytest.mark.parametrize(("outer", "close"), [("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
+                                              ("<div class=post>", "</div>")])
+def test_headline_and_lead_beside_a_content_block(name, outer, close):
+    page = (f"<body><nav><a>Home page</a></nav>{outer}<h1>Title of six words stands here</h1><p>The lead of the article is these ten words.</p>"
+            f"<div class='{name}'><p>{LONG}</p></div><p>Last words of the article.</p>{close}<footer>Copyright words</footer>")
+    want = f"Title of six words stands here\nThe lead of the article is these ten words.\n{LONG}"
+    assert H.main_text(page, H.DEFAULT).removesuffix("\nLast words of the article.") == want
+    if "article" in outer or "main" in outer:
+        assert H.main_text(page, H.DEFAULT).endswith("Last words of the article.")
+
+
+def test_headline_and_lead_before_an_article_in_main():
+    head = "<h1>Title of six words stands here</h1><p>The lead of the article is these ten words.</p>"
+    assert H.main_text(f"<main>{head}<article><p>{LONG}</p></article><p>x</p></main>", H.DEFAULT).startswith("Title of six words stands here\nThe lead")
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("<p></p>", ""), ("plain words without any tag at all", "plain words without any tag at all"), ("<", "<"),
     ("<p>a &lt;tag&gt; &#233; &amp;amp; here is some text to read in the page", "a <tag> é &amp; here is some text to read in the page"),
