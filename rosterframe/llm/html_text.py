@@ -10,7 +10,8 @@ lie inside and outside of the article, and the price of a tag that fits these pa
 The region then settles on the landmark (article, main, else a content block) that holds
 nearly all of its words, and furniture inside of it is taken out: elements whose tag,
 class, id or role says that they are menus, headers, footers, sidebars, notices, adverts,
-forms or reader comments.
+forms or reader comments.  Within a landmark, or on a page without any, a word in a class
+or id is not enough: the whole name must say it, or most of the element's words be links.
 """
 
 from __future__ import annotations
@@ -45,6 +46,12 @@ FURNITURE_WORDS = set(
     "newsletter notice notices notification overlay pager pagination paywall popup promo promotion promotions recommend recommended "
     "related reply replies respond search share sharing sidebar sidebars signin signup skip social sponsor sponsored subscribe "
     "subscription teaser toolbar topbar widget widgets".split())
+#: Words that may stand beside one of them in a name without changing what it names.
+NEUTRAL_WORDS = set(
+    "area articles bar block body bottom box button buttons container content dfp entry form global google group holder icon icons inner "
+    "item items label left link links list main message module outer page panel post posts primary right secondary section site slot "
+    "story text thread title toggle top unit wrap wrapper x".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTENT_WORDS = set("article content entry main post story".split())
 CONTAINERS = {"article", "main", "section", "div", "td"}
 
@@ -90,9 +97,9 @@ class Page:
                 self.opens.setdefault(v, []).append(i)
         self.end = self._ends(n)
         self.attrs = attrs
+        self.link = self._covered(n, (i for i in range(n) if self.kind[i] == OPEN and self.value[i] == "a"))
         self.furniture = self._furniture(n)
         self.own_before = list(accumulate((0 if f else x for x, f in zip(self.words, self.furniture)), initial=0))
-        self.link = self._covered(n, (i for i in range(n) if self.kind[i] == OPEN and self.value[i] == "a"))
 
     def _add(self, attrs: list[str], kind: int, value: str, attr: str) -> None:
         self.kind.append(kind)
@@ -138,9 +145,22 @@ class Page:
     def _holds(self, i: int, tags: set[str]) -> bool:
         return any(bisect_left(at, self.end[i]) > bisect_right(at, i) for t in tags if (at := self.opens.get(t)))
 
+    def _surely_named(self, i: int, a: dict[str, str]) -> bool:
+        """Whether a whole class or id, not just a word in it, names furniture.  Ids of headings are made of
+        their text, and a header that holds or is a headline belongs to the article."""
+        heading = self.value[i] in HEADINGS
+        headline = heading or self._holds(i, {"h1", "h2"})
+        for name in [*a.get("class", "").split(), *([] if heading else a.get("id", "").split())]:
+            parts = {p.lower() for p in _NAME_PART.findall(name) if not p.isdigit()}
+            if parts & FURNITURE_WORDS - ({"header", "banner"} if headline else set()) and parts <= FURNITURE_WORDS | NEUTRAL_WORDS:
+                return True
+        return False
+
     def _furniture(self, n: int) -> list[bool]:
         article = self._covered(n, (i for i in range(n) if self.kind[i] == OPEN and self.value[i] in LANDMARKS))
         half = self.before[n] / 2
+        linked = list(accumulate((x if f else 0 for x, f in zip(self.words, self.link)), initial=0))
+        landmarks = any(article)
         found = []
         for i, (k, v) in enumerate(zip(self.kind, self.value)):
             if k != OPEN or v in ("html", "body"):
@@ -154,7 +174,11 @@ class Page:
                 a = self._attributes(i)
                 hidden = ("hidden" in a or a.get("aria-hidden") == "true"
                           or re.search(r"display\s*:\s*none", a.get("style", "")) is not None)
-                named = self._named(a)
+                named = self._named({"class": a.get("class", "")} if v in HEADINGS else a)
+                if named & FURNITURE_WORDS and (article[i] or not landmarks):  # may be text: the name alone must say it, or links
+                    end = self.end[i]
+                    if not (self._surely_named(i, a) or 2 * (linked[end] - linked[i]) > self.before[end] - self.before[i]):
+                        named -= FURNITURE_WORDS
                 if hidden or a.get("role", "").lower() in FURNITURE_ROLES or named & FURNITURE_WORDS:
                     holds_most = self.before[self.end[i]] - self.before[i] > half
                     if hidden or not (holds_most or self._holds(i, {"main"}) or v == "article" and named & CONTENT_WORDS and "comment" not in named):

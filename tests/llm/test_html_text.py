@@ -76,6 +76,28 @@ def test_headline_and_lead_beside_a_content_block(name, outer, close):
         assert H.main_text(page, H.DEFAULT).endswith("Last words of the article.")
 
 
+@pytest.mark.parametrize(("outer", "close"), [("<article>", "</article>"), ("<main>", "</main>"), ("<div class=post>", "</div>"), ("", "")])
+@pytest.mark.parametrize("part", [
+    "<h2 id='related-work'>Kept words here</h2>", "<h2 id='search-and-login'>Kept words here</h2>", "<h3 id='comments'>Kept words here</h3>",
+    "<section id='social-impact'><p>Kept words here</p></section>", "<p class='share-price'>Kept words here</p>",
+    "<div class='entry-header'><h1>Kept words here</h1></div>", "<div class='header'><h2>Kept words here</h2></div>",
+    "<section id='reply-of-the-minister'><p>Kept words here</p></section>", "<h2 class='page-header'>Kept words here</h2>",
+    "<div id='widget-theory'><p>Kept words here</p></div>", "<p class='promotion-round'>Kept words here</p>"])
+def test_names_with_a_furniture_word_are_text(outer, close, part):
+    page = f"<body>{outer}<p>{A}</p>{part}<p>{A}</p>{close}"
+    assert H.main_text(page, H.DEFAULT) == f"{A}\nKept words here\n{A}"
+
+
+@pytest.mark.parametrize(("outer", "close"), [("<article>", "</article>"), ("<div class=post>", "</div>"), ("", "")])
+@pytest.mark.parametrize("part", [
+    "<div class='ad'>Cut words here</div>", "<div class='share-buttons'>Cut words here</div>", "<div id='ad-slot-3'>Cut words here</div>",
+    "<section id='comments'><p>Cut words here</p></section>", "<div class='newsletterSignup wide'>Cut words here</div>",
+    "<ul class='related-reading'><li><a href=/1>Cut words here</a></ul>", "<div class='post-comments'>Cut words here</div>",
+    "<div class='side' role=search>Cut words here</div>", "<div class='header'>Cut words here</div>", "<div class='cookie-banner'>Cut words here</div>"])
+def test_furniture_in_an_article_is_cut(outer, close, part):
+    assert H.main_text(f"<body>{outer}<p>{A}</p>{part}<p>{A}</p>{close}", H.DEFAULT) == f"{A}\n{A}"
+
+
 def test_headline_and_lead_before_an_article_in_main():
     head = "<h1>Title of six words stands here</h1><p>The lead of the article is these ten words.</p>"
     assert H.main_text(f"<main>{head}<article><p>{LONG}</p></article><p>x</p></main>", H.DEFAULT).startswith("Title of six words stands here\nThe lead")
