@@ -10,6 +10,9 @@ are too far apart, down to leaves.  A leaf compares leading coordinates first:
 p.q + |rest of p||rest of q| is an upper bound of the cosine, and only pairs that
 reach c by it are computed in double precision from the unturned vectors.
 
+Vectors of different lengths are never compared: the length leads the sort order, each length
+has axes of its own, and a block holds one length.
+
 Equal vectors are merged before, with their number.  A task returns, for its pair of
 blocks, how many vectors each one is linked with and a spanning forest of the links;
 pairs of vectors are never listed.
@@ -34,31 +37,35 @@ from rosterframe.llm.graph import Labels, components
 #: Leading axes that the grid, the boxes and the leaves' bound use.
 GRID_AXES, BOX_AXES, BOUND_AXES = 8, 16, 24
 LEAF = 256
+#: Lengths, the most frequent ones, that get principal axes; others keep their first coordinates.
+AXES_OF = 100
 #: Slack of the pruning bounds, above the rounding of the turned single-precision values.
 SLACK = 1e-4
 
 
 # ------------------------------------------------------------ unit vectors
 
-def unit_vectors(vectors: DataFrame, dim: int, id_col: str, vector_col: str) -> DataFrame:
+def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, code, unit): unit vector in double precision and a digest of it; both are null for
     vectors that link with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(1)
-            ok = pc.fill_null(pc.equal(pc.list_value_length(lists), dim), False)
-            at = np.flatnonzero(ok.to_numpy(zero_copy_only=False) & pc.is_valid(b.column(0)).to_numpy(zero_copy_only=False))
-            x = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-            top = np.abs(x).max(axis=1, initial=0.0)
-            good = np.isfinite(x).all(axis=1) & (top > 0)
-            x, at = x[good], at[good]
-            x = x / top[good][:, None]
-            x = x / np.sqrt((x * x).sum(axis=1))[:, None] + 0.0  # no negative zeros
+            dims = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            dims = np.where(pc.is_valid(b.column(0)).to_numpy(zero_copy_only=False), dims, 0)
             codes, units = [None] * b.num_rows, [None] * b.num_rows
-            for i, row in zip(at.tolist(), x):
-                units[i] = row.tobytes()
-                codes[i] = hashlib.blake2b(units[i], digest_size=16).digest()
+            for dim in np.unique(dims[dims > 0]):
+                at = np.flatnonzero(dims == dim)
+                x = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+                top = np.abs(x).max(axis=1, initial=0.0)
+                good = np.isfinite(x).all(axis=1) & (top > 0)
+                x, at = x[good], at[good]
+                x = x / top[good][:, None]
+                x = x / np.sqrt((x * x).sum(axis=1))[:, None] + 0.0  # no negative zeros
+                for i, row in zip(at.tolist(), x):
+                    units[i] = row.tobytes()
+                    codes[i] = hashlib.blake2b(units[i], digest_size=16).digest()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.binary()), pa.array(units, pa.binary())], ["vec_id", "code", "unit"])
 
     src = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v"))
@@ -69,62 +76,76 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in column), np.float64).reshape(-1, dim)
 
 
-def principal_axes(distinct: DataFrame, dim: int, n: int, sample: int) -> np.ndarray:
-    """Orthonormal axes (rows), widest first, of a hash sample of about ``sample`` vectors.  They decide
-    how much is pruned, never what is found."""
+def principal_axes(distinct: DataFrame, n: int, sample: int) -> dict[int, np.ndarray]:
+    """For each length the leading orthonormal axes (rows), widest first, of a hash sample of about ``sample``
+    vectors of all lengths.  They decide how much is pruned, never what is found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = [_matrix(b.column(0), dim) for b in batches]
-        x = np.concatenate([*x, np.zeros((0, dim))])
-        axes = np.linalg.eigh(np.cov(x, rowvar=False, bias=True).reshape(dim, dim))[1].T[::-1] if len(x) else np.eye(dim)
-        yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(axes).tobytes()], pa.binary())], ["axes"])
+        held: dict[int, list[bytes]] = {}
+        for b in batches:
+            for u in b.column(0).to_pylist():
+                held.setdefault(len(u) // 8, []).append(u)
+        for dim in sorted(held, key=lambda d: (-len(held[d]), d))[:AXES_OF]:
+            x = np.frombuffer(b"".join(held[dim]), np.float64).reshape(-1, dim)
+            axes = np.linalg.eigh(np.cov(x, rowvar=False, bias=True).reshape(dim, dim))[1].T[::-1][:BOUND_AXES]
+            yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([np.ascontiguousarray(axes).tobytes()], pa.binary())], ["dim", "axes"])
 
     share = int(min(1.0, sample / max(1, n)) * (1 << 31))
-    row = (distinct.where(F.pmod(F.xxhash64("code"), F.lit(1 << 31)) < share).select("unit")
-           .repartition(1).mapInArrow(run, "axes binary").first())
-    return np.frombuffer(row["axes"], np.float64).reshape(dim, dim)
+    rows = (distinct.where(F.pmod(F.xxhash64("code"), F.lit(1 << 31)) < share).select("unit")
+            .repartition(1).mapInArrow(run, "dim int, axes binary").collect())
+    return {r["dim"]: np.frombuffer(r["axes"], np.float64).reshape(-1, r["dim"]) for r in rows}
 
 
 # ------------------------------------------------------------------ blocks
 
-def sorted_blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block_rows: int) -> DataFrame:
-    """The vectors in grid order, ``block_rows`` to a row: (block, rows, codes, ids, copies, units, turned,
-    lo, hi).  Ties of the grid order are split by the coordinates and the id."""
-    dim = len(axes)
-    g = min(GRID_AXES, dim)
-    names = [f"c{k}" for k in range(g)]
+def sorted_blocks(distinct: DataFrame, axes: dict[int, np.ndarray], eps: float, block_rows: int) -> DataFrame:
+    """The vectors by length and in grid order, up to ``block_rows`` of one length to a row: (block, rows, codes,
+    ids, copies, units, turned, lo, hi, dim).  Ties of the grid order are split by the coordinates and the id."""
+    names = [f"c{k}" for k in range(GRID_AXES)]
+
+    def axes_of(dim: int) -> np.ndarray:
+        return axes[dim] if dim in axes else np.eye(min(BOUND_AXES, dim), dim)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lead = _matrix(b.column(3), dim) @ axes[:g].T
-            cells = np.floor(lead / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c) for c in cells.T), pa.array(lead[:, 0])],
-                                             [*b.schema.names, *names, "along"])
-
-    fields = "code binary, vec_id long, copies long, unit binary"
-    placed = distinct.select("code", "vec_id", "copies", "unit").mapInArrow(
+            dims = b.column(4).to_numpy()
+            for dim in np.unique(dims).tolist():
+                own = b.take(pa.array(np.flatnonzero(dims == dim)))
+                lead = _matrix(own.column(3), dim) @ axes_of(dim)[:GRID_AXES].T
+                cells = np.zeros((GRID_AXES, len(lead)), np.int32)
+                cells[: lead.shape[1]] = np.floor(lead / eps).astype(np.int32).T
+                yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(c) for c in cells), pa.array(lead[:, 0])],
+                                                 [*own.schema.names, *names, "along"])
+
+    fields = "code binary, vec_id long, copies long, unit binary, dim int"
+    placed = distinct.select("code", "vec_id", "copies", "unit", (F.length("unit") / 8).cast("int").alias("dim")).mapInArrow(
         place, f"{fields}, {', '.join(f'{n} int' for n in names)}, along double")
-    order = [*names, "along", "vec_id", "code"]
+    order = ["dim", *names, "along", "vec_id", "code"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, held, n = TaskContext.get().partitionId(), 0, [], 0
 
         def rows(group: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(group).combine_chunks()
+            dim = t.column("dim")[0].as_py()
             units = _matrix(t.column("unit").combine_chunks(), dim)
-            turned = units @ axes.T
+            turned = units @ axes_of(dim).T
             box = turned[:, : min(BOX_AXES, dim)]
             rest = np.sqrt(np.maximum(0.0, 1 - (turned[:, :BOUND_AXES] ** 2).sum(axis=1)))
             lead = np.concatenate([turned[:, :BOUND_AXES], rest[:, None]], axis=1).astype(np.float32)
             one = [(part << 32) + block, len(units), b"".join(t.column("code").to_pylist()),
                    t.column("vec_id").to_numpy().tobytes(), t.column("copies").to_numpy().tobytes(),
-                   units.tobytes(), lead.tobytes(), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
+                   units.tobytes(), lead.tobytes(), box.min(axis=0).tolist(), box.max(axis=0).tolist(), dim]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(one, BLOCK_KINDS)], BLOCK_NAMES)
 
         for b in batches:
-            b = b.select(["code", "vec_id", "copies", "unit"])
+            b = b.select(["code", "vec_id", "copies", "unit", "dim"])
             while b.num_rows:
-                take = b.slice(0, block_rows - n)
+                dims = b.column(4).to_numpy()
+                if held and held[0].column(4)[0].as_py() != dims[0]:
+                    yield rows(held)
+                    block, held, n = block + 1, [], 0
+                take = b.slice(0, min(block_rows - n, int(np.searchsorted(dims, dims[0], "right"))))
                 held.append(take)
                 n += take.num_rows
                 b = b.slice(take.num_rows)
@@ -140,18 +161,19 @@ def sorted_blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block_rows:
 
 
 def _merged(parts: DataFrame, block_rows: int) -> DataFrame:
-    """Neighbouring small blocks put together, so that how many partitions the sort had does not
-    matter: every block but the last gets between one and two times ``block_rows`` vectors.  The
-    running sum is over one row per stored block."""
-    before = F.coalesce(F.sum("rows").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    groups = parts.select(F.col("block").alias("part"), F.floor(before / block_rows).cast("long").alias("whole"))
+    """Neighbouring small blocks of one length put together, so that how many partitions the sort had does
+    not matter: every block but the last of a length gets between one and two times ``block_rows``
+    vectors.  The running sum and the numbers are over one row per stored block."""
+    before = F.coalesce(F.sum("rows").over(Window.partitionBy("dim").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = (parts.select("dim", F.col("block").alias("part"), F.floor(before / block_rows).cast("long").alias("w"))
+              .select("part", (F.dense_rank().over(Window.orderBy("dim", "w")) - 1).cast("long").alias("whole")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
 
         def one() -> pa.RecordBatch:
             values = [held[0]["whole"], sum(r["rows"] for r in held), *(b"".join(r[c] for r in held) for c in BLOCK_NAMES[2:7]),
-                      np.min([r["lo"] for r in held], axis=0).tolist(), np.max([r["hi"] for r in held], axis=0).tolist()]
+                      np.min([r["lo"] for r in held], axis=0).tolist(), np.max([r["hi"] for r in held], axis=0).tolist(), held[0]["dim"]]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, BLOCK_KINDS)], BLOCK_NAMES)
 
         for b in batches:
@@ -169,23 +191,23 @@ def _merged(parts: DataFrame, block_rows: int) -> DataFrame:
             .mapInArrow(run, BLOCK_SCHEMA))
 
 
-BLOCK_KINDS = [pa.int64(), pa.int32(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2]
-BLOCK_NAMES = ["block", "rows", "codes", "ids", "copies", "units", "lead", "lo", "hi"]
+BLOCK_KINDS = [pa.int64(), pa.int32(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2, pa.int32()]
+BLOCK_NAMES = ["block", "rows", "codes", "ids", "copies", "units", "lead", "lo", "hi", "dim"]
 BLOCK_SCHEMA = ("block long, rows int, codes binary, ids binary, copies binary, units binary, lead binary, "
-                "lo array<double>, hi array<double>")
+                "lo array<double>, hi array<double>, dim int")
 
 
 def block_pairs(blocks: DataFrame, eps: float) -> DataFrame:
-    """(a, b), a <= b: the pairs of blocks whose boxes are within eps of each other.  Blocks meet over
+    """(a, b), a <= b: the pairs of blocks of one length whose boxes are within eps of each other.  Blocks meet over
     the cells that they reach into on the first axis; the other axes then add up."""
     cells = F.sequence(F.floor(F.col("lo")[0] / eps), F.floor(F.col("hi")[0] / eps))
-    own = blocks.select("block", "lo", "hi", F.explode(cells).alias("cell"))
-    other = (blocks.select(F.col("block").alias("b"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
+    own = blocks.select("dim", "block", "lo", "hi", F.explode(cells).alias("cell"))
+    other = (blocks.select("dim", F.col("block").alias("b"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
                            F.explode(cells).alias("at")).withColumn("cell", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1))))
     gap = F.zip_with(F.zip_with("lo", "hi2", lambda x, y: F.greatest(x - y, F.lit(0.0))),
                      F.zip_with("lo2", "hi", lambda x, y: F.greatest(x - y, F.lit(0.0))), lambda x, y: F.greatest(x, y))
     far = F.aggregate(gap, F.lit(0.0), lambda total, x: total + x * x)
-    return (own.join(other, "cell").where("block <= b").where(far <= (eps + SLACK) ** 2)
+    return (own.join(other, ["dim", "cell"]).where("block <= b").where(far <= (eps + SLACK) ** 2)
             .select(F.col("block").alias("a"), "b").distinct())
 
 
@@ -300,19 +322,16 @@ def embedding_classes(vectors: DataFrame, cosine: float = 0.9, block_rows: int =
     ``n_links`` counts the other rows that a row is linked with, ``component_id`` is the
     smallest vec_id reachable, ``kept`` says that it is the row's own.
 
-    - Null, empty and zero vectors, null or non-finite components, and vectors that haven't
-      the most frequent length link with nothing; nor do rows with a null vec_id, whose
-      component_id is null and which are kept.
+    - Vectors link within their length only; every length is joined.
+    - Null, empty and zero vectors and null or non-finite components link with nothing; nor do
+      rows with a null vec_id, whose component_id is null and which are kept.
     - Repeated rows are vectors of their own and linked with each other.
     - Empty table: no rows.  Other columns aren't read, so their names can't clash.
     """
-    size = F.size(vectors[vector_col])
-    common = (vectors.where(size > 0).groupBy(size.alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first())
-    dim = common["d"] if common else 1
-    units = materialize(unit_vectors(vectors, dim, id_col, vector_col), "unit_vectors")
+    units = materialize(unit_vectors(vectors, id_col, vector_col), "unit_vectors")
     distinct = materialize(units.where("code is not null").groupBy("code").agg(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.min("unit").alias("unit")), "distinct_vectors")
-    axes = principal_axes(distinct, dim, distinct.count(), sample)
+    axes = principal_axes(distinct, distinct.count(), sample)
     blocks = sorted_blocks(distinct, axes, math.sqrt(2 - 2 * cosine), min(block_rows, 1 << 20))  # two of them fit a node number
     found = join_links(blocks, cosine)
     roots = components(found.select("u", "v"))

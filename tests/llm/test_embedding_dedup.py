@@ -80,6 +80,17 @@ def test_copies_and_edge_cases(spark):
     assert found(table(spark, rows), block_rows=32) == want
 
 
+def test_every_length_is_joined(spark):
+    parts, rows, want = [(64, 500), (8, 300), (3, 120), (1, 6), (30, 2)], [], []
+    for k, (dim, n) in enumerate(parts):
+        own = [(10_000 * k + i, v) for i, v in clusters(dim, n, dim, 6, 0.3)]
+        own.append((10_000 * k + 9999, own[0][1]))  # an identical vector of the same length
+        rows += own
+        want += brute(own, 0.9)
+    got = found(table(spark, rows), block_rows=32, sample=400)
+    assert got == sorted(want, key=str) and all(any(i // 10_000 == k and n for i, n, *_ in got) for k in range(len(parts)))
+
+
 def test_empty_tables(spark):
     df = table(spark, [(1, None), (2, [])])
     assert found(df) == [(1, 0, 1, True), (2, 0, 2, True)]
