@@ -86,7 +86,7 @@ def mismatched_replies(conversations: DataFrame, key: str = "conv_id") -> DataFr
     """Pairs out of plain conversations.  Chosen: the turns up to the last one of the assistant.
     Rejected: the same with that reply replaced by the last reply of the conversation
     whose id differs in the lowest bit (empty if it has none).  A conversation without a
-    reply is both chosen and rejected, whole."""
+    reply is both chosen and rejected, whole.  After: the turns behind the last reply."""
     lists = turn_lists(conversations, key)
     back = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), F.lit(ASSISTANT))
     lists = lists.withColumn("last", F.when(back > 0, F.size("turns") - back + 1).cast("int"))
@@ -97,7 +97,8 @@ def mismatched_replies(conversations: DataFrame, key: str = "conv_id") -> DataFr
         key,
         F.when(F.col("last").isNull(), F.col("turns")).otherwise(F.slice("turns", F.lit(1), F.col("last"))).alias("chosen"),
         F.when(F.col("last").isNull(), F.col("turns"))
-        .otherwise(F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), odd)).alias("rejected"))
+        .otherwise(F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), odd)).alias("rejected"),
+        _after(F.col("turns"), F.coalesce("last", F.size("turns"))).alias("after"))
 
 
 def mask_text(runs: Column) -> Column:

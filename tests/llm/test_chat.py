@@ -63,6 +63,14 @@ def test_mismatched_replies(spark):
                    5: (convs[3][1], convs[3][1])}
 
 
+def test_no_turn_is_lost(spark):
+    convs = [(0, [("user", "q"), ("assistant", "r0"), ("user", "bye"), ("system", "end")]), (1, [("user", "p"), ("assistant", "x")]), (5, [("user", "no reply")])]
+    df = table(spark, convs).withColumnRenamed("pair_id", "conv_id")
+    rows = C.mismatched_replies(df).collect()
+    assert {r.conv_id: [tuple(t) for t in r.chosen + r.after] for r in rows} == dict(convs)
+    assert {r.conv_id: len(r.after) for r in rows} == {0: 2, 1: 0, 5: 0}
+
+
 def test_main_path_is_native(spark):
     df = table(spark, [(1, [("user", "q")])]).withColumnRenamed("pair_id", "conv_id")
     plan = C.format_preferences(C.mismatched_replies(df), "conv_id")._jdf.queryExecution().toString()
