@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterframe.session import ensure_checkpoint_dir
@@ -29,6 +29,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, group: str | None = None) -> DataFrame:
+    """``df`` plus ``name``: each row's position from 0 in ``order`` (within ``group``, whose
+    rows then lie together), without a window over the rows.
+
+    Rows are range-partitioned on the order, with a last key that differs from row to row,
+    so rows that tie are spread as well; the sorted rows are stored with their place
+    in their partition, and a running sum over the partitions' counts (one row per partition
+    and group) gives each partition its offset."""
+    own = {c.lower() for c in df.columns}
+    tie, part, at, off = (next(f"{x}{k}" for k in range(len(own) + 1) if f"{x}{k}" not in own) for x in ("tie", "part", "at", "off"))
+    by = [*([F.col(group)] if group else []), *order, F.col(tie)]
+    placed = materialize(
+        df.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by).drop(tie)
+        .withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), name)
+    lot = [group] if group else []
+    counts = placed.groupBy(*lot, part).agg(F.count("*").alias("rows"), F.min(at).alias("first"))
+    before = F.sum("rows").over(Window.partitionBy(*lot).orderBy(part)) - F.col("rows") - F.col("first")
+    offsets = materialize(counts.select(*(F.col(c).alias(f"{c}_") for c in [*lot, part]), before.alias(off)), "offsets")
+    same_lot = F.col(part) == F.col(f"{part}_")
+    if group:
+        same_lot &= same(F.col(group), F.col(f"{group}_"))
+    return placed.join(offsets, same_lot).select(*df.columns, (F.col(at) + F.col(off)).alias(name))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

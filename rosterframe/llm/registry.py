@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterframe.llm import chat, html_text, line_dedup, mixing, pii, quality_rules
+from rosterframe.llm import chat, filter_audit, html_text, line_dedup, mixing, pii, quality_rules, sharding
 from rosterframe.llm.classifier import quality_scores
 from rosterframe.llm.common import read
 from rosterframe.llm.embedding_dedup import embedding_classes
@@ -72,6 +72,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "source", "n_tokens", "epoch", "block", "order_key"))
 
 
+def op12_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest needs of a text is taken before the rows are sorted, so texts don't move."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"))
+    return sharding.assign(docs, weights=[1.0] * 40).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read(spark, sf_dir, t) for t in ("documents", "labels"))
+    rows, failing = filter_audit.row_table(docs, filter_audit.text_filters(F.coalesce(docs.text, F.lit(""))), docs.lang, copies="E")
+    marked = {n: filter_audit.label_ids(rows, labels.where(F.col(c) == 1).select("doc_id"), n)
+              for n, c in (("good", "quality"), ("toxic", "toxic"))}
+    return filter_audit.audit(rows, failing, marked)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
+    "op12_rendezvous_sharding": op12_rendezvous_sharding,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
 
@@ -96,4 +114,6 @@ ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
     "op3_preference_chat": chat.oracle(),
     "op10_source_mixing": mixing.oracle(**MIX),
+    "op12_rendezvous_sharding": sharding.oracle(shards=40),
+    "op13_filter_audit": filter_audit.oracle(),
 }

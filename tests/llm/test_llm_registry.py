@@ -16,13 +16,15 @@ COLUMNS = {
     "op5_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op7_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op8_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
+    "op12_rendezvous_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op13_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
     "op9_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
 
 def test_entry_lists_them():
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
     assert "pipeline" in QUERIES
 
