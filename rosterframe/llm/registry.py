@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterframe.llm import chat, filter_audit, html_text, line_dedup, mixing, pii, quality_rules, sharding
+from rosterframe.llm import chat, collocations, filter_audit, html_text, line_dedup, mixing, pii, quality_rules, sharding
 from rosterframe.llm.classifier import quality_scores
 from rosterframe.llm.common import read
 from rosterframe.llm.embedding_dedup import embedding_classes
@@ -72,6 +72,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "source", "n_tokens", "epoch", "block", "order_key"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), max_words=3, min_count=10, covered_pct=50, top=2000)
+
+
 def op12_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the manifest needs of a text is taken before the rows are sorted, so texts don't move."""
     docs = read(spark, sf_dir, "documents").select(
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mixing": op10_source_mixing,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_rendezvous_sharding": op12_rendezvous_sharding,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
@@ -114,6 +119,7 @@ ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
     "op3_preference_chat": chat.oracle(),
     "op10_source_mixing": mixing.oracle(**MIX),
+    "op11_phrase_collocations": collocations.oracle(),
     "op12_rendezvous_sharding": sharding.oracle(shards=40),
     "op13_filter_audit": filter_audit.oracle(),
 }
