@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..session import ensure_checkpoint_dir
 from ..sources import batches as B
 from ..sources import ingest as I
@@ -65,6 +67,51 @@ def _st_insert_stats(t):
     return public(found).select(*[F.col(c) for c in t.stats.columns])
 
 
+#: Posted games with the id that they get, and what the clients post for them under that id.
+LATE_SQL = f""", {GAME_BATCH_SQL.strip()},
+posted AS (
+  SELECT batch_seq AS old_id, gameDate AS day,
+         (SELECT MAX(game_id) FROM games_stored) + ROW_NUMBER() OVER (ORDER BY batch_seq) AS game_id FROM game_records),
+filed AS (
+  SELECT s.* REPLACE (p.game_id AS game_id), left(p.day, 7) AS game_month FROM {{0}} s JOIN posted p ON p.old_id = s.game_id
+  UNION ALL
+  SELECT s.*, strftime(g.game_date, '%Y-%m') FROM {{0}} s JOIN games_stored g ON g.game_id = s.game_id)
+SELECT {{1}}, game_month FROM filed"""
+
+
+def _late(t, name):
+    """Rows posted before their games wait without a month; the load files them.  Every post comes
+    twice, as after a lost reply."""
+    rows = getattr(t, name)
+    before = B._before(t.games)
+    ids = M.assign_keys(B.game_batch(t), before, "game_id", "batch_seq").select(F.col("batch_seq").alias("old_id"), F.col("game_id").alias("id"))
+    late = (rows.join(ids, rows.game_id == F.col("old_id")).select(*(F.col("id").alias(c) if c == "game_id" else F.col(c) for c in rows.columns)))
+    spark, root = _store(t.with_(**{"games": before, name: rows.join(before, "game_id", "left_semi").select(*rows.columns)}), "games", name)
+    for _ in range(2):
+        ST.insert_rows(spark, root, name, late, batch_id=f"{name} of the season")
+        ST.load_games(spark, root, B.game_batch(t), batch_id="games of the season")
+    return read_table(spark, root, name)
+
+
+@register("st_late_stats", LATE_SQL.format("stats", safe("stats")))
+def _st_late_stats(t):
+    return _late(t, "stats")
+
+
+@register("st_late_projections", LATE_SQL.format("projections", safe("projections")))
+def _st_late_projections(t):
+    return _late(t, "projections")
+
+
+@register("st_replayed_batch", f"SELECT {safe('predictions')} FROM predictions")
+def _st_replayed_batch(t):
+    """Predictions posted in one batch, three times under its id."""
+    spark, root = _store(t.with_(predictions=B._before(t.predictions)), "predictions")
+    for _ in range(3):
+        ST.insert_rows(spark, root, "predictions", B._after(t.predictions), batch_id="one batch")
+    return public(read_table(spark, root, "predictions"))
+
+
 @register("st_insert_predictions", ORACLE["q_prediction_scores"].replace("source = 'model_a'", "source = 'model_b'")
           .replace("'2016-01-01", "'2018-01-01").replace("'model_a' AS source", "'model_b' AS source"))
 def _st_insert_predictions(t):

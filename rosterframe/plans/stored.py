@@ -1,34 +1,78 @@
 """Changes to stored tables that touch only what they must.
 
-Inserts append files.  Updates find the months of their rows (a list no longer than
+Inserts add files, exactly once for each batch id (``sources.ledger``).  Updates find the months of their rows (a list no longer than
 the months stored), rewrite those and leave the rest.  The row-level rules are those of
 ``plans.mutations``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.dates import as_date
-from ..sources.tables import append_rows, partition_column, prune_months, public, read_table, replace_months
+from ..sources.ledger import Ledger
+from ..sources.tables import (PARTITION_COLUMNS, UNASSIGNED, partition_column, prune_months, public, read_table, replace_months,
+                              stored_form, write_rows)
 from . import mutations as M
 
 
-def load_games(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "batch_seq") -> None:
-    """Insert posted games with generated ids and slugs."""
-    stored = public(read_table(spark, root, "games"))
-    keyed = M.assign_keys(batch, stored, "game_id", order_col).drop(order_col)
-    append_rows(M.fill_game_slug(M.append(stored.limit(0), keyed)), "games", root)
+LATE_TABLES = ("stats", "projections")
 
 
-def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame) -> None:
+def _month_column(name: str) -> str:
+    return PARTITION_COLUMNS[name]
+
+
+def load_games(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "batch_seq", batch_id: str | None = None) -> None:
+    """Insert posted games with generated ids and slugs, and file the box scores and
+    projections that were posted before them under their months.
+
+    A ``batch_id`` that was loaded before loads nothing again; a load that died is completed."""
+    ledger, batch_id = Ledger(spark, root), batch_id or uuid.uuid4().hex
+
+    def keyed() -> DataFrame:
+        stored = public(read_table(spark, root, "games"))
+        rows = M.assign_keys(batch, stored, "game_id", order_col).drop(order_col)
+        return stored_form(M.fill_game_slug(M.append(stored.limit(0), rows)), "games")
+
+    ledger.apply("games", batch_id, keyed, lambda df, path: write_rows(df, "games", path))
+    files = ledger.files("games", batch_id)
+    if files:
+        new = spark.read.schema(S.GAMES).option("basePath", f"{root}/games").parquet(*files)
+        for name in LATE_TABLES:
+            file_late_rows(spark, root, name, new, f"{batch_id}/late")
+
+
+def file_late_rows(spark: SparkSession, root: str, name: str, games: DataFrame, batch_id: str | None = None) -> bool:
+    """Move the waiting rows of ``games`` (of all stored games, if need be) to their months.
+    Only the folder of waiting rows is read and replaced; the rest of it keeps waiting.
+    False if there is nothing to move."""
+    ledger, part = Ledger(spark, root), _month_column(name)
+    if not ledger.has_files(f"{name}/{part}={UNASSIGNED}"):
+        return False
+    waiting = read_table(spark, root, name).where(F.col(part) == UNASSIGNED)
+    known = games.where(F.col("game_date").isNotNull())
+    if waiting.join(known, "game_id", "left_semi").isEmpty():
+        return False
+    return ledger.apply(name, batch_id or uuid.uuid4().hex, lambda: stored_form(waiting, name, known),
+                        lambda df, path: write_rows(df, name, path), replaces=[f"{part}={UNASSIGNED}"])
+
+
+def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, batch_id: str | None = None) -> bool:
     """Insert typed rows of a fact table; months of box scores and projections come
-    from the stored games."""
-    rows = M.append(public(read_table(spark, root, name)).limit(0), batch)
-    append_rows(rows, name, root, read_table(spark, root, "games"))
+    from the stored games.  With a ``batch_id`` the batch is inserted once, however
+    often and after whatever failure it is posted again; False if it was inserted before."""
+
+    def rows() -> DataFrame:
+        empty = public(read_table(spark, root, name)).limit(0)
+        return stored_form(M.append(empty, batch), name, read_table(spark, root, "games") if name in LATE_TABLES else None)
+
+    return Ledger(spark, root).apply(name, batch_id or uuid.uuid4().hex, rows, lambda df, path: write_rows(df, name, path))
 
 
 def update_games(spark: SparkSession, root: str, batch: DataFrame, update: Callable[[DataFrame, DataFrame], DataFrame]) -> None:

@@ -114,10 +114,19 @@ def write_tables(tables: Tables, root: str, mode: str = "errorifexists", only: t
             _writer(with_month(name, df, tables.games), name, mode).parquet(f"{root}/{name}")
 
 
+def stored_form(df: DataFrame, name: str, games: DataFrame | None = None) -> DataFrame:
+    """The columns of a stored table in order, the month last."""
+    return with_month(name, df, games).select(*S.TABLE_SCHEMAS[name].fieldNames(), *filter(None, [PARTITION_COLUMNS.get(name)]))
+
+
+def write_rows(df: DataFrame, name: str, path: str) -> None:
+    """Rows in their stored form as a new folder, laid out like the table ``name``."""
+    _writer(df, name, "overwrite").parquet(path)
+
+
 def append_rows(df: DataFrame, name: str, root: str, games: DataFrame | None = None) -> None:
     """Append rows to a stored table; nothing stored is read or rewritten."""
-    _writer(with_month(name, df, games).select(*S.TABLE_SCHEMAS[name].fieldNames(),
-                                               *filter(None, [PARTITION_COLUMNS.get(name)])), name, "append").parquet(f"{root}/{name}")
+    _writer(stored_form(df, name, games), name, "append").parquet(f"{root}/{name}")
 
 
 def replace_months(df: DataFrame, name: str, root: str) -> None:

@@ -11,11 +11,12 @@ rejected records written beside the table instead of dropped.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.stored import insert_rows
 from ..sources.ingest import CORRUPT, Field, ingest, raw_schema
 
 
@@ -43,12 +44,31 @@ def start_ingest(spark: SparkSession, landing: str, fields: Sequence[Field], tab
     ``max_files_per_trigger`` bounds it.  ``read_landed`` reads what has landed, for
     ``plans.stored.insert_rows`` to insert.
     """
+    def land(good: DataFrame, run: str, batch_id: int) -> None:
+        good.write.mode("overwrite").parquet(f"{table_path}/run={run}/batch={batch_id}")
+
+    return _start(spark, landing, fields, land, rejects_path, checkpoint, available_now, max_files_per_trigger)
+
+
+def start_insert(spark: SparkSession, landing: str, fields: Sequence[Field], root: str, name: str, rejects_path: str,
+                 checkpoint: str, available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """From posted files into the stored table ``root/name`` in one query.  The micro-batch's
+    place in the query is its id in the table's ledger (``plans.stored.insert_rows``): one that
+    died half-way is completed or done again, and one that is replayed inserts nothing."""
+    def insert(good: DataFrame, run: str, batch_id: int) -> None:
+        insert_rows(spark, root, name, good, batch_id=f"{run}/{batch_id}")
+
+    return _start(spark, landing, fields, insert, rejects_path, checkpoint, available_now, max_files_per_trigger)
+
+
+def _start(spark: SparkSession, landing: str, fields: Sequence[Field], put: Callable[[DataFrame, str, int], None],
+           rejects_path: str, checkpoint: str, available_now: bool, max_files_per_trigger: int | None) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         run = json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
         kept = batch.persist()
         try:
             good, bad = ingest(kept, fields)
-            good.write.mode("overwrite").parquet(f"{table_path}/run={run}/batch={batch_id}")
+            put(good, run, batch_id)
             bad.write.mode("overwrite").json(f"{rejects_path}/run={run}/batch={batch_id}")
         finally:
             kept.unpersist()
