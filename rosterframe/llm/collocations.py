@@ -220,7 +220,7 @@ def _recoded(streams: DataFrame, heavy: DataFrame, items: DataFrame, item: list[
 # ---------------------------------------------------------------- operator
 
 def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, covered_pct: int = 50, top: int = 2000,
-                 lang_col: str = "lang", text_col: str = "text", chunk_tokens: int = 1 << 22) -> DataFrame:
+                 lang_col: str = "lang", text_col: str = "text", chunk_tokens: int = 1 << 20) -> DataFrame:
     """The best phrases of 2 to ``max_words`` words of each language: lang, rank (from 1),
     phrase, a, l, r, n, score.
 
