@@ -3,9 +3,9 @@
 Texts become chunks: streams of small integer codes with a gap between pieces, and the
 chunk's dictionary.  One level of the mining counts adjacent pairs in the streams:
 
-1. The items of a level (words at first) are counted over the corpus; the frequent ones are
-   numbered by falling frequency, and every chunk's stream is recoded to their ranks,
-   rarer items becoming gaps.
+1. The items of a level (words at first) are counted over the corpus, and every chunk's
+   stream is recoded: the frequent items of the chunk are ranked by their frequency in the
+   corpus, rarer ones become gaps.
 2. In each chunk the matrix of adjacent ranks is cut into square tiles.  Since ranks
    follow frequency, the tiles of the first ranks are dense: those are counted by one
    ``bincount`` over their cells.  Entries of sparse tiles are sorted as coordinates
@@ -16,8 +16,8 @@ Frequent pairs are the items of the next level: a stream of overlapping pairs wh
 are phrases of three words, and so on.  A phrase's parts are at least as frequent as it is, so
 dropping rare items loses no frequent phrase.
 
-Chunks have a bounded number of tokens, so what a task holds is bounded; every count and
-every number is shuffled and kept as rows, nothing but one row a chunk goes by chunk.
+Chunks have a bounded number of tokens, so what a task holds is bounded; counts are shuffled as
+rows, by the item they count.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import materialize, numbered
+from rosterframe.llm.common import materialize
 
 #: Ends of pieces all become "."; a tab is a blank like any other.
 _MARKS = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
@@ -167,53 +167,65 @@ def pair_counts(streams: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- recoding
 
-def _stream(chunk: int, ids: np.ndarray, codes: np.ndarray) -> pa.Table:
-    """``ids`` ascending, so that the codes follow the frequency."""
+def _stream(chunk: int, known: pa.Table, order: np.ndarray, codes: np.ndarray) -> pa.Table:
+    """``order``: the rows of ``known`` from the most to the least frequent; codes are places in it."""
+    ids = known["id"].to_numpy()[order]
     return pa.table({"chunk": pa.array([chunk], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, pa.int64())),
                      "codes": pa.array([without_runs(codes, -1).astype(np.int32).tobytes()], pa.binary())})
 
 
+def _by_frequency(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(rows from the most to the least frequent, each row's rank)."""
+    order = np.lexsort((known["id"].to_numpy(), -known["f"].to_numpy()))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return order, rank
+
+
 _NOTHING = pa.table({"chunk": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "codes": pa.array([], pa.binary())})
 
 
 def _recode_words(stream: pa.Table, known: pa.Table) -> pa.Table:
-    """``known``: (chunk, code, id) of the chunk's frequent words."""
+    """``known``: (chunk, code, id, f) of the chunk's frequent words."""
     if not stream.num_rows or not known.num_rows:
         return _NOTHING
-    codes = np.frombuffer(stream["codes"][0].as_buffer(), np.int32)
-    code, ids = known["code"].to_numpy(), known["id"].to_numpy()
-    order = np.argsort(ids)
+    codes, code = np.frombuffer(stream["codes"][0].as_buffer(), np.int32), known["code"].to_numpy()
+    order, rank = _by_frequency(known)
     new = np.full(max(int(codes.max(initial=0)), int(code.max())) + 1, -1, np.int32)
-    new[code[order]] = np.arange(len(ids), dtype=np.int32)
-    return _stream(stream["chunk"][0].as_py(), ids[order], new[codes])
+    new[code] = rank
+    return _stream(stream["chunk"][0].as_py(), known, order, new[codes])
 
 
 def _recode_pairs(stream: pa.Table, known: pa.Table) -> pa.Table:
-    """``known``: (chunk, a, b, id) of the chunk's frequent pairs."""
+    """``known``: (chunk, a, b, id, f) of the chunk's frequent pairs."""
     if not stream.num_rows or not known.num_rows:
         return _NOTHING
     codes = np.frombuffer(stream["codes"][0].as_buffer(), np.int32).astype(np.int64)
     old = stream["ids"][0].values.to_numpy()
-    pairs = np.searchsorted(old, known["a"].to_numpy()) * len(old) + np.searchsorted(old, known["b"].to_numpy())
-    ids = np.sort(known["id"].to_numpy())
-    by_pair = np.argsort(pairs)
-    pairs, code = pairs[by_pair], np.searchsorted(ids, known["id"].to_numpy())[by_pair]
+    place = np.argsort(old)
+    a, b = (place[np.searchsorted(old, known[c].to_numpy(), sorter=place)] for c in ("a", "b"))
+    order, rank = _by_frequency(known)
+    by_pair = np.argsort(a * len(old) + b)
+    pairs, rank = (a * len(old) + b)[by_pair], rank[by_pair]
     here = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(old) + codes[1:], -1)
     at = np.minimum(np.searchsorted(pairs, here), len(pairs) - 1)
-    return _stream(stream["chunk"][0].as_py(), ids, np.where(pairs[at] == here, code[at], -1))
+    return _stream(stream["chunk"][0].as_py(), known, order, np.where(pairs[at] == here, rank[at], -1))
 
 
-def _frequent(rows: DataFrame, item: list[str], min_count: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (chunk, item..., n) -> those of frequent items, with the total ``f``, and the
-    distinct items (item..., f, id) numbered by falling frequency.  The rows are counts of
-    whole chunks already, so an item has one row a chunk at most and one shuffle does."""
-    heavy = materialize(rows.withColumn("f", F.sum("n").over(Window.partitionBy(*item))).where(F.col("f") >= min_count).drop("n"), f"{name}_in_chunks")
-    items = heavy.groupBy(*item).agg(F.max("f").alias("f"))
-    return heavy, numbered(items, [F.col("f").desc(), *map(F.col, item)], "id")
+def _frequent(rows: DataFrame, item: list[str], min_count: int, name: str) -> DataFrame:
+    """Rows (chunk, item..., n) -> those of frequent items, with the total ``f``, a number ``id`` of
+    the item and ``first``, true for one of its rows.  The rows are counts of whole chunks
+    already, so an item has one row a chunk at most and one shuffle does it all: the
+    item's number is the least of the numbers of its rows."""
+    same_item = Window.partitionBy(*item)
+    found = (rows.withColumn("row", F.monotonically_increasing_id())
+             .withColumns({"f": F.sum("n").over(same_item), "id": F.min("row").over(same_item)}).where(F.col("f") >= min_count))
+    return materialize(found.select("chunk", *(c for c in rows.columns if c not in ("chunk", "n")), "f", "id",
+                                    (F.col("row") == F.col("id")).alias("first")), name)
 
 
-def _recoded(streams: DataFrame, heavy: DataFrame, items: DataFrame, item: list[str], keep: list[str], how, name: str) -> DataFrame:
-    known = heavy.join(items.select(*item, "id"), item).select("chunk", *keep, "id")
+def _recoded(streams: DataFrame, frequent: DataFrame, keep: list[str], how, name: str) -> DataFrame:
+    known = frequent.select("chunk", *keep, "id", "f")
     return materialize(streams.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(how, STREAM), name)
 
 
@@ -241,21 +253,21 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, cover
     stored = materialize(chunks(docs, lang, text_col, chunk_tokens), "chunks")
     words = stored.select("chunk", F.posexplode("words").alias("at", "x")).select("chunk", (F.col("at") + 1).alias("code"), "x.*")
     n = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    heavy, items = _frequent(words, ["lang", "word"], min_count, "words")
-    streams = _recoded(stored.select("chunk", "codes"), heavy, items, ["lang", "word"], ["code"], _recode_words, "stream1")
+    frequent = _frequent(words, ["lang", "word"], min_count, "words")
+    streams = _recoded(stored.select("chunk", "codes"), frequent, ["code"], _recode_words, "stream1")
     # what a phrase carries: its text, its last word, the counts of its first j and its last j words
-    level = materialize(items.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
+    level = materialize(frequent.where("first").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
                                      F.array("f").alias("pre"), F.array("f").alias("post")), "phrases1")
     found = None
     for k in range(2, max_words + 1):
         counts = pair_counts(streams)
         if k < max_words:
-            heavy, items = _frequent(counts, ["a", "b"], min_count, f"pairs{k}")
-            streams = _recoded(streams, heavy, items, ["a", "b"], ["a", "b"], _recode_pairs, f"stream{k}")
+            frequent = _frequent(counts, ["a", "b"], min_count, f"pairs{k}")
+            streams = _recoded(streams, frequent, ["a", "b"], _recode_pairs, f"stream{k}")
+            items = frequent.where("first").select("a", "b", "f", "id")
         else:
-            items = (counts.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-                     .withColumn("id", F.lit(None).cast("long")))
-        items = materialize(items, f"items{k}")
+            items = materialize(counts.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+                                .withColumn("id", F.lit(None).cast("long")), f"items{k}")
         if found is not None:  # phrases of k - 1 words that a longer one covers
             inside = items.select(F.explode(F.array("a", "b")).alias("id"), "f").groupBy("id").agg(F.max("f").alias("longer"))
             level = level.join(inside, "id", "left").where((F.col("longer").isNull()) | (100 * F.col("longer") < covered_pct * F.col("f")))
@@ -270,9 +282,13 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, cover
     candidates = level
     for other in found or []:
         candidates = candidates.unionByName(other)
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     scored = candidates.select("lang", "phrase", F.col("f").alias("a"), _lowest_cut().alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    first = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # the best of each part of a language first, so that what meets in one task doesn't follow the number of tasks
+    parts = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(16)))
+    for of in (["lang", "part"], ["lang"]):
+        parts = parts.withColumn("rank", F.row_number().over(Window.partitionBy(*of).orderBy(*best))).where(F.col("rank") <= top)
+    first = parts
     return first.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
