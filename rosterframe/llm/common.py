@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterframe.session import ensure_checkpoint_dir
 
@@ -63,6 +64,15 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def row_parts(docs: DataFrame) -> list[Column]:
+    """What to hash of a row so that different rows differ: Spark's hashes pass over nulls, so
+    every column comes with whether it is null, and nested ones as JSON with their nulls."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    values = [F.to_json(F.struct(docs[f.name]), {"ignoreNullFields": "false"}) if isinstance(f.dataType, nested) else docs[f.name]
+              for f in docs.schema.fields]
+    return [*values, *(docs[f.name].isNull() for f in docs.schema.fields)]
+
+
 def total(df: DataFrame, column: str) -> int:
     """Sum of an integer column (one row to the driver)."""
     return df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0]

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import WORD, materialize
+from rosterframe.llm.common import WORD, materialize, row_parts
 
 #: Halvings of [0, 1] in all, and those that one Spark job evaluates together.
 HALVINGS, AT_ONCE = 24, 6
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repetition: fl
     # sources by a name that is never null, so that joins and windows deal the rows out alike
     name = F.coalesce(F.concat(F.lit("="), docs[source_col].cast("string")), F.lit("null"))
     rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row"), name.alias("source"), docs[id_col].cast("string").alias("id"),
-                       token_count(docs[text_col]).alias("n"), F.xxhash64(*(docs[c] for c in kept)).alias("whole"))
+                       token_count(docs[text_col]).alias("n"), F.xxhash64(*row_parts(docs.select(*(docs[c] for c in kept)))).alias("whole"))
     slim = materialize(rows.select("source", "id", "n"), "token_counts")
     totals = slim.groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs"))
     everything = totals.agg(F.sum("tokens").cast("double").alias("all"), F.max("docs").alias("most")).first()

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterframe.llm.common import materialize, shuffle_partitions
+from rosterframe.llm.common import materialize, row_parts, shuffle_partitions
 from rosterframe.llm.graph import Labels, components
 
 LEAF, FAN = 32, 8
@@ -66,7 +66,7 @@ def majority_bits(hashes: list[int]) -> int:
 
 def row_digest(docs: DataFrame) -> list[Column]:
     """128 bits that stand for a whole row, as two longs."""
-    cols = [docs[c] for c in docs.columns]
+    cols = row_parts(docs)
     return [F.xxhash64(*cols).alias("w1"), F.xxhash64(F.lit("other half"), *cols).alias("w2")]
 
 

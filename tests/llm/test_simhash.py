@@ -123,6 +123,15 @@ def test_one_row_of_each_class_stays(docs_of):
     assert found == [(3, "a b c d e"), (7, None), (None, "some other words stand in here")]
 
 
+def test_rows_that_differ_in_which_column_is_null(spark, docs_of):
+    rows = [(5, None, "x y z w v"), (5, "x y z w v", None), (None, "p q r", "en"), (None, "p q r", "en")]
+    got = S.one_per_class(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.text, r.lang) for r in got), key=str) == sorted([*rows[:2], rows[2]], key=str)
+    nested = spark.createDataFrame([(1, "a b", [1, None]), (1, "a b", [1]), (1, "a b", None)], "doc_id long, text string, tags array<int>")
+    digests = [tuple(r) for r in nested.select(*S.row_digest(nested)).collect()]
+    assert len(set(digests)) == 3
+
+
 def test_empty_table(docs_of):
     assert S.one_per_class(docs_of([(1, "a")]).limit(0)).collect() == []
     assert S.simhash_classes(docs_of([(1, "a")]).limit(0)).collect() == []
