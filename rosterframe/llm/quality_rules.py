@@ -129,7 +129,9 @@ def cutoffs(stats: DataFrame, labels: DataFrame, stratum: Column, max_false_reje
     # rank of the metric among the cutoffs: a document is rejected by the first `above` of them
     above = F.array(*(F.struct(F.lit(r).alias("rule"), _exceeded(F.col("stats")[r], cs).alias("above")) for r, cs in RULES.items()))
     seen = (stats.where(~base_failed(F.col("stats")))
-            .select(stratum.alias("stratum"), F.col("row")[id_col].cast("long").alias("label_id"), "stats").join(known, "label_id")
+            .select(stratum.alias("stratum"), F.col("row")[id_col].cast("long").alias("label_id"), "stats")
+            # a document counts once, however often it is repeated: the bound is one on independent trials
+            .groupBy("label_id").agg(F.min(F.struct("stratum", "stats")).alias("one")).select("label_id", "one.*").join(known, "label_id")
             .select("stratum", "quality", F.explode(above).alias("m")).select("stratum", "m.*", "quality")
             .groupBy("stratum", "rule", "above")
             .agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad")))
@@ -170,7 +172,8 @@ def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = 0.05,
     documents labelled both ways, are no evidence.
 
     - Null text: no words, so the base rule fails it.  Null stratum: a stratum of its own.
-    - Null id: judged, never labelled.  Repeated rows are judged alike, each on its own.
+    - Null id: judged, never labelled.  Repeated rows are judged alike, each on its own; as
+      evidence an id counts once (with different texts under it, one and always the same).
     - No labels: only the base rule rejects.  Empty table: no rows.
     - The input's columns stay inside ``row``, so no name can clash.
     """

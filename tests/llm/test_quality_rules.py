@@ -52,6 +52,15 @@ def test_binomial_tail():
     assert 0 <= Q.binomial_tail(2_000_000, 900, 0.001) < 1e-20
 
 
+def test_a_repeated_document_is_one_trial(spark, docs_of):
+    """100 clean documents certify nothing, and nothing more if each comes twenty times."""
+    rows = [(i, shout(i) if i % 50 == 0 else clean(i)) for i in range(100)] + [(i, shout(i)) for i in range(200, 300)]
+    labels = spark.createDataFrame([(i, 1) for i in range(100)] + [(i, 0) for i in range(200, 300)], "doc_id long, quality int")
+    for times in (1, 20):
+        got = Q.judge(docs_of(rows * times).repartition(4), labels, keep=["doc_id"])
+        assert got.where("not kept and row.doc_id < 100").count() == 0
+
+
 def clean(i):
     return " ".join(f"word{(i * 7 + k * k) % 9973} of" for k in range(40))
 
