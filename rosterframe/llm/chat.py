@@ -52,9 +52,10 @@ def _after(turns: Column, k: Column) -> Column:
     return F.slice(turns, k + 1, F.greatest(F.size(turns) - k, F.lit(0)))
 
 
-def format_preferences(pairs: DataFrame, key: str, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
+def format_preferences(pairs: DataFrame, key: str, chosen: str = "chosen", rejected: str = "rejected", after: str | None = None) -> DataFrame:
     """(key, n_prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask) for rows
-    with two turn lists, as ``turn_lists`` makes them.
+    with two turn lists, as ``turn_lists`` makes them; ``after``: a third list, of turns that belong to
+    neither completion, rendered as a column ``after``.
 
     - A null list is an empty conversation: the prompt is empty, the other one all completion.
     - Equal conversations are all prompt, with two empty completions and empty masks; if one
@@ -64,13 +65,15 @@ def format_preferences(pairs: DataFrame, key: str, chosen: str = "chosen", rejec
     """
     kind = "array<struct<role:string,text:string>>"
     c, r = (F.coalesce(pairs[x].cast(kind), F.array().cast(kind)) for x in (chosen, rejected))
-    both = pairs.select(pairs[key].alias("key"), c.alias("c"), r.alias("r"))
-    both = both.select("key", "c", "r", common_turns(F.col("c"), F.col("r")).alias("k"))
+    later = F.coalesce(pairs[after].cast(kind), F.array().cast(kind)) if after else F.array().cast(kind)
+    both = pairs.select(pairs[key].alias("key"), c.alias("c"), r.alias("r"), later.alias("later"))
+    both = both.select("key", "c", "r", "later", common_turns(F.col("c"), F.col("r")).alias("k"))
     rest = {"chosen": _after(F.col("c"), F.col("k")), "rejected": _after(F.col("r"), F.col("k"))}
     return both.select(F.col("key").alias(key), F.col("k").alias("n_prompt_turns"),
                        render(F.slice("c", F.lit(1), F.col("k"))).alias("prompt"),
                        *(render(t).alias(n) for n, t in rest.items()),
-                       *(mask(t).alias(f"{n}_mask") for n, t in rest.items()))
+                       *(mask(t).alias(f"{n}_mask") for n, t in rest.items()),
+                       *([render(F.col("later")).alias("after")] if after else []))
 
 
 def pair_by_id(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id") -> DataFrame:
@@ -123,12 +126,13 @@ lasts AS (SELECT *, list_max(list_filter(range(1, len(turns) + 1), lambda i: tur
 pairs AS (
   SELECT a.conv_id, CASE WHEN a.last IS NULL THEN a.turns ELSE a.turns[1:a.last] END AS c,
          CASE WHEN a.last IS NULL THEN a.turns ELSE list_concat(list_slice(a.turns, 1, a.last - 1),
-           [struct_pack(role := 'assistant', text := coalesce(b.turns[b.last].text, ''))]) END AS r
+           [struct_pack(role := 'assistant', text := coalesce(b.turns[b.last].text, ''))]) END AS r,
+         CASE WHEN a.last IS NULL THEN [] ELSE a.turns[a.last + 1:] END AS behind
   FROM lasts a LEFT JOIN lasts b ON b.conv_id = xor(a.conv_id, 1)),
 cut AS (
   SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] IS DISTINCT FROM r[i])) - 1, len(c)) AS k FROM pairs),
-parts AS (SELECT conv_id, k, list_slice(c, 1, k) AS p, list_slice(c, k + 1, len(c)) AS c, list_slice(r, k + 1, len(r)) AS r FROM cut)
+parts AS (SELECT conv_id, k, list_slice(c, 1, k) AS p, list_slice(c, k + 1, len(c)) AS c, list_slice(r, k + 1, len(r)) AS r, behind FROM cut)
 SELECT conv_id, CAST(k AS INTEGER) AS n_prompt_turns, {joined('p', body)} AS prompt,
        {joined('c', body)} AS chosen, {joined('r', body)} AS rejected,
-       {joined('c', runs, "','")} AS chosen_mask, {joined('r', runs, "','")} AS rejected_mask
+       {joined('c', runs, "','")} AS chosen_mask, {joined('r', runs, "','")} AS rejected_mask, {joined('behind', body)} AS after
 FROM parts"""

@@ -71,6 +71,13 @@ def test_no_turn_is_lost(spark):
     assert {r.conv_id: len(r.after) for r in rows} == {0: 2, 1: 0, 5: 0}
 
 
+def test_turns_behind_the_last_reply_are_shown(spark):
+    convs = [(0, [("user", "q"), ("assistant", "r0"), ("user", "bye")]), (1, [("user", "p"), ("assistant", "x")])]
+    df = table(spark, convs).withColumnRenamed("pair_id", "conv_id")
+    got = C.format_preferences(C.mismatched_replies(df), "conv_id", after="after").collect()
+    assert {r.conv_id: r.after for r in got} == {0: "<|user|>\nbye<|end|>\n", 1: ""}
+
+
 def test_main_path_is_native(spark):
     df = table(spark, [(1, [("user", "q")])]).withColumnRenamed("pair_id", "conv_id")
     plan = C.format_preferences(C.mismatched_replies(df), "conv_id")._jdf.queryExecution().toString()
