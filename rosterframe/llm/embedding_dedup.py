@@ -39,6 +39,8 @@ GRID_AXES, BOX_AXES, BOUND_AXES = 8, 16, 24
 LEAF = 256
 #: Lengths, the most frequent ones, that get principal axes; others keep their first coordinates.
 AXES_OF = 100
+#: Stands for the id of vectors that have none, behind every other.
+NO_ID = (1 << 63) - 1
 #: Slack of the pruning bounds, above the rounding of the turned single-precision values.
 SLACK = 1e-4
 
@@ -53,7 +55,6 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         for b in batches:
             lists = b.column(1)
             dims = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            dims = np.where(pc.is_valid(b.column(0)).to_numpy(zero_copy_only=False), dims, 0)
             codes, units = [None] * b.num_rows, [None] * b.num_rows
             for dim in np.unique(dims[dims > 0]):
                 at = np.flatnonzero(dims == dim)
@@ -323,14 +324,15 @@ def embedding_classes(vectors: DataFrame, cosine: float = 0.9, block_rows: int =
     smallest vec_id reachable, ``kept`` says that it is the row's own.
 
     - Vectors link within their length only; every length is joined.
-    - Null, empty and zero vectors and null or non-finite components link with nothing; nor do
-      rows with a null vec_id, whose component_id is null and which are kept.
+    - Null, empty and zero vectors and null or non-finite components link with nothing.
+    - A row with a null vec_id is linked like any other and never names a component; it is kept
+      only where its component has no vec_id at all (component_id null).
     - Repeated rows are vectors of their own and linked with each other.
     - Empty table: no rows.  Other columns aren't read, so their names can't clash.
     """
     units = materialize(unit_vectors(vectors, id_col, vector_col), "unit_vectors")
     distinct = materialize(units.where("code is not null").groupBy("code").agg(
-        F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.min("unit").alias("unit")), "distinct_vectors")
+        F.coalesce(F.min("vec_id"), F.lit(NO_ID)).alias("vec_id"), F.count("*").alias("copies"), F.min("unit").alias("unit")), "distinct_vectors")
     axes = principal_axes(distinct, distinct.count(), sample)
     blocks = sorted_blocks(distinct, axes, math.sqrt(2 - 2 * cosine), min(block_rows, 1 << 20))  # two of them fit a node number
     found = join_links(blocks, cosine)
@@ -348,7 +350,7 @@ def embedding_classes(vectors: DataFrame, cosine: float = 0.9, block_rows: int =
     degree = found.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     member = own.join(roots, "node", "left").join(degree, "node", "left").select(
         "code", "least", F.coalesce("root", "node").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = member.groupBy("root").agg(F.min(F.when(F.col("least") != NO_ID, F.col("least"))).alias("component_id"))
     classes = member.join(named, "root").select("code", "n_links", "component_id")
     return units.select("vec_id", "code").join(classes, "code", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def brute(rows, cosine):
     ok = [(k, np.array(v, np.float64)) for k, (i, v) in enumerate(rows)
-          if i is not None and v is not None and None not in v and np.isfinite(np.array(v, np.float64)).all() and any(v)]
+          if v is not None and None not in v and np.isfinite(np.array(v, np.float64)).all() and any(v)]
     links, up = [0] * len(rows), list(range(len(rows)))
 
     def find(x):
@@ -75,11 +75,17 @@ def test_copies_and_edge_cases(spark):
     rows += [(2000 + k, v) for k, v in enumerate(odd)] + [(None, rows[0][1]), (None, None)]
     rows += [(3000, [2 * x for x in rows[3][1]]), (3001, [1e-30 * x for x in rows[3][1]]), (3002, [-x for x in rows[3][1]])]
     want = brute([(i, v if v is not None and len(v) == 8 else None) for i, v in rows], 0.9)
-    # without an id: kept, linked with nothing
-    want = sorted(((i, n, c, True) if i is None else (i, n, c, k) for i, n, c, k in want), key=str)
     assert found(table(spark, rows), block_rows=32) == want
 
 
+def test_vectors_without_an_id_count_and_bridge(spark):
+    """1 and 3 are linked over a vector that has no id; two more of those are linked with each other only."""
+    at = lambda deg, dim=0: [float(np.cos(np.radians(deg))) if k == dim else float(np.sin(np.radians(deg))) if k == dim + 1 else 0.0 for k in range(8)]
+    rows = [(3, at(0)), (None, at(20)), (1, at(40)), (None, at(0, 4)), (None, at(5, 4)), (7, at(90, 4))]
+    assert found(table(spark, rows)) == sorted(
+        [(3, 1, 1, False), (None, 2, 1, False), (1, 1, 1, True), (None, 1, None, True), (None, 1, None, True), (7, 0, 7, True)], key=str)
+
+
 def test_every_length_is_joined(spark):
     parts, rows, want = [(64, 500), (8, 300), (3, 120), (1, 6), (30, 2)], [], []
     for k, (dim, n) in enumerate(parts):
