@@ -28,7 +28,7 @@ def _stripped(line: Column) -> Column:
     return F.btrim(line, F.lit(_BLANK))
 
 
-def drop_site_lines(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 3, site_col: str = "source",
+def drop_site_lines(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 2, site_col: str = "source",
                     text_col: str = "text") -> DataFrame:
     """``docs`` with boilerplate lines dropped from ``text_col``, plus ``n_lines_dropped``.
 
@@ -66,7 +66,7 @@ def drop_site_lines(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 3,
         F.coalesce(F.size(lines) - F.size("kept"), F.lit(0)).alias("n_lines_dropped"))
 
 
-def oracle(max_ratio: float = 0.1, min_pages: int = 3) -> str:
+def oracle(max_ratio: float = 0.1, min_pages: int = 2) -> str:
     """DuckDB SQL for drop_site_lines over ``documents`` (whose doc_id is unique)."""
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""

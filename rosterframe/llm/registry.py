@@ -16,9 +16,13 @@ from rosterframe.llm.packing import pack
 from rosterframe.llm.simhash import simhash_classes
 
 
+#: A line on one page only is never boilerplate, however small its site.
+SITE_LINES = {"max_ratio": 0.1, "min_pages": 2}
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return line_dedup.drop_site_lines(docs, max_ratio=0.1, min_pages=3).select("doc_id", "text", "n_lines_dropped")
+    return line_dedup.drop_site_lines(docs, **SITE_LINES).select("doc_id", "text", "n_lines_dropped")
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +31,7 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = chat.mismatched_replies(read(spark, sf_dir, "conversations"))
-    out = chat.format_preferences(pairs, "conv_id")
+    out = chat.format_preferences(pairs, "conv_id", after="after")
     return out.withColumns({c: chat.mask_text(out[c]) for c in ("chosen_mask", "rejected_mask")})
 
 
@@ -62,9 +66,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), capacity=1024)
 
 
-#: Sources are flattened until the smallest is repeated half as often again as the
-#: largest, or until the entropy is 98 % of the greatest possible.
-MIX = {"target_entropy": 0.98, "max_repetition": 1.5, "block_tokens": 1_000_000}
+#: Sources are flattened until the entropy is 99.99 % of the greatest possible, or until the
+#: smallest is repeated half as often again as the largest.
+MIX = {"target_entropy": 0.9999, "max_repetition": 1.5, "block_tokens": 50_000}
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
-    "op1_line_dedup": line_dedup.oracle(max_ratio=0.1, min_pages=3),
+    "op1_line_dedup": line_dedup.oracle(**SITE_LINES),
     "op3_preference_chat": chat.oracle(),
     "op10_source_mixing": mixing.oracle(**MIX),
     "op11_phrase_collocations": collocations.oracle(),

@@ -38,13 +38,19 @@ def test_small_rows(docs_of):
     rows += [(30 + i, "footer\nshared 0\n \t", "en", "b" if i else None) for i in range(3)]
     rows += [(None, "footer", None, "c")] * 4 + [(50 + i, "footer", None, None) for i in range(9)]
     df = docs_of(rows)
-    assert run(df) == slow(rows, 0.1, 3)
-    assert run(df, max_ratio=0.4, min_pages=2) == slow(rows, 0.4, 2)
+    assert run(df) == slow(rows, 0.1, 2)
+    assert run(df, max_ratio=0.4, min_pages=3) == slow(rows, 0.4, 3)
     out = L.drop_site_lines(df)
     assert out.columns == [*df.columns, "n_lines_dropped"] and out.where("fp <> 'x'").count() == 0
     assert L.drop_site_lines(df.limit(0)).collect() == []
 
 
+def test_a_line_on_one_page_stays(docs_of):
+    """On a site of few pages one page is more than the ratio; two are boilerplate."""
+    rows = [(1, "one\ntwo", "en", "a"), (2, "two\nown", "en", "a"), (3, "x", "en", "a"), (4, "alone\nalone", "en", "b")]
+    assert run(docs_of(rows)) == [(1, "one", 1), (2, "own", 1), (3, "x", 0), (4, "alone\nalone", 0)]
+
+
 def test_clashing_columns(docs_of):
     df = docs_of([(i, "a\nb", "en", "s") for i in range(4)])
     odd = df.withColumns({"N_lines_dropped": F.lit(9), "site": F.lit("q"), "row": F.lit(1), "hits": F.lit(2), "digest": F.lit(3)})
