@@ -11,8 +11,11 @@ E-mail names and secrets are permuted character class by character class in the
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 import hashlib
+import ipaddress
+import json
 import math
 import re
 from bisect import bisect_right
@@ -40,7 +43,8 @@ NATIONAL = {
 #: Groups of digits in which card numbers are written, besides a single one; likelier ones first.
 CARD_GROUPS = [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 4, 2), (4, 4, 4, 4, 1), (6, 13), (8, 8), (4, 4, 4, 1), (4, 3, 3, 3)]
 
-FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
+#: Days that are permuted among themselves.
+SPANS = [(dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()), (dt.date(1800, 1, 1).toordinal(), dt.date(1899, 12, 31).toordinal())]
 ROUNDS = 10
 #: Characters permuted together: an addition's 256 bits are wider than half of them.
 CHUNK = 64
@@ -164,6 +168,9 @@ def _cards(m: re.Match, c: Cipher, usual: bool) -> list[Found]:
 
 def _iban(m: re.Match, c: Cipher) -> str | None:
     shape, rest = m[0], ""
+    if shape != shape.upper():  # written in small letters: found as its capitals are
+        small = _IBAN.fullmatch(shape.upper()) and _iban(_IBAN.fullmatch(shape.upper()), c)
+        return small and "".join(x.lower() if y.islower() else x for x, y in zip(small, shape))
     while iban_mod(shape.replace(" ", "")) != 1:  # capital words may follow
         shape, gap, cut = shape.rpartition(" ")
         rest = gap + cut + rest
@@ -183,6 +190,17 @@ def _ipv4(m: re.Match, c: Cipher) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def _ipv6(m: re.Match, c: Cipher) -> str | None:
+    """Long enough not to be a time or a name with colons; the notation stays as it is."""
+    try:
+        ipaddress.IPv6Address(m[0])
+    except ValueError:
+        return None
+    if len(re.findall(r"[0-9A-Fa-f]", m[0])) < 8:
+        return None
+    return c.permute_chars(m[0], "ipv6", (HEX,) if m[0] == m[0].lower() else (HEX.upper(),) if m[0] == m[0].upper() else (DIGITS, LOWER[:6], UPPER[:6]))
+
+
 def _ssn(m: re.Match, c: Cipher) -> str | None:
     area, group, serial = int(m[1]), int(m[2]), int(m[3])
     if area in (0, 666) or area > 899 or not group or not serial:
@@ -237,9 +255,7 @@ def _day(y: int, m: int, d: int, c: Cipher) -> dt.date | None:
         x = dt.date(y, m, d).toordinal()
     except ValueError:
         return None
-    if not FIRST_DAY <= x <= LAST_DAY:
-        return None
-    return dt.date.fromordinal(FIRST_DAY + c.permute(x - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
+    return next((dt.date.fromordinal(a + c.permute(x - a, b - a + 1, "date")) for a, b in SPANS if a <= x <= b), None)
 
 
 def _pad(a: str, b: str) -> str:
@@ -293,38 +309,62 @@ def _cloud_key(m: re.Match, c: Cipher) -> str:
 
 def _secret(m: re.Match, c: Cipher) -> str | None:
     value = m[2].rstrip(".,;:!?)]}")
-    if len(value) < 8 or not re.search(r"\d", value):
+    # "token: something" is prose; "token=something" and a quoted value are not
+    if len(value) < 8 or not (re.search(r"\d", value) or m[1].rstrip()[-1] in "=\"'"):
         return None
     return m[1] + _token(value, c) + m[2][len(value):]
 
 
 def _token(value: str, c: Cipher) -> str:
-    return c.permute_chars(value, "secret", (HEX,) if re.fullmatch(r"[0-9a-f]+", value) else (DIGITS, LOWER, UPPER))
+    own = (HEX,) if re.fullmatch(r"[0-9a-f]+", value) else (HEX.upper(),) if re.fullmatch(r"[0-9A-F]+", value) else (DIGITS, LOWER, UPPER)
+    return c.permute_chars(value, "secret", own)
 
 
 def _hex_token(m: re.Match, c: Cipher) -> str | None:
-    return _token(m[0], c) if re.search(r"\d", m[0]) and re.search(r"[a-f]", m[0]) else None
+    return _token(m[0], c) if re.search(r"\d", m[0]) and re.search(r"[A-Fa-f]", m[0]) else None
+
+
+def _web_token(m: re.Match, c: Cipher) -> str | None:
+    """Header, claims and signature in URL-safe base 64.  The header, which only names the
+    algorithm, stays: it proves the value to be a token."""
+    head, *parts = m[0].split(".")
+    try:
+        if not isinstance(json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4))), dict):
+            return None
+    except ValueError:
+        return None
+    return ".".join([head, *(_token(x, c) for x in parts)])
+
+
+def _called(m: re.Match, c: Cipher) -> str:
+    """Ten digits that the text says to be called."""
+    return m[1] + c.permute_chars(m[2], "phone|bare")
 
 
 _NAME = "((?i:" + "|".join(f"{m[:3]}(?:{m[3:]}|\\.)?" if m[3:] else m for m in MONTHS) + "))"
 _A = r"(?<![A-Za-z0-9])"  # not inside a word or number
 _Z = r"(?![A-Za-z0-9])"
 
+_IBAN = re.compile(_A + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _Z)
 _RUN = re.compile(r"(?=[\d -]{13})\d++(?:[ -]\d++)*+")
 
 #: (kind, needs, pattern, finder): earlier ones win where matches overlap at the same start.
 FINDERS: list[tuple[str, str, re.Pattern, Callable[[re.Match, Cipher], str | list[Found] | None]]] = [
-    ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])"), _email),
+    ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[\w-]+\.)+[^\W\d_]{2,}(?![\w-])"), _email),
     ("key", "AKIA", re.compile(_A + r"(AKIA)([A-Z0-9]{16})" + _Z), _cloud_key),
     ("key", "ASIA", re.compile(_A + r"(ASIA)([A-Z0-9]{16})" + _Z), _cloud_key),
-    ("secret", "", re.compile(_A + r"((?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ ]*[=:][ ]*[\"']?)([^\s\"'<>]{8,})"), _secret),
-    ("secret", "", re.compile(_A + r"[0-9a-f]{32,}+" + _Z), _hex_token),
-    ("iban", "", re.compile(_A + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _Z), _iban),
+    ("secret", "eyJ", re.compile(_A + r"eyJ[\w-]+\.[\w-]+\.[\w-]+" + _Z, re.A), _web_token),
+    ("secret", "*", re.compile(_A + r"((?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ ]*[=:][ ]*[\"']?)([^\s\"'<>]{8,})"), _secret),
+    ("secret", "", re.compile(_A + r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + _Z), _hex_token),
+    ("iban", "", _IBAN, _iban),
+    ("iban", "", re.compile(_A + r"[a-z]{2}\d{2}(?:[a-z0-9]{11,30}|(?: [a-z0-9]{4}){2,7}(?: [a-z0-9]{1,3})?)" + _Z), _iban),
     ("date", "", re.compile(r"(?<![\w./-])(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?!\d|[-/.]\d)"), _date_ymd),
     ("date", "", re.compile(r"(?<![\w./-])(\d{1,2})([-/.])(\d{1,2})\2(\d{4})(?!\w|[-/.]\d)"), _date_dmy),
     ("date", "", re.compile(r"(?<!\w)" + _NAME + r" (\d{1,2})(st|nd|rd|th)?(,? )(\d{4})(?!\w)"), _date_mdy_name),
     ("date", "", re.compile(r"(?<!\w)(\d{1,2})(st|nd|rd|th)? " + _NAME + r"(,? )(\d{4})(?!\w)"), _date_dmy_name),
     ("ip", "", re.compile(r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"), _ipv4),
+    ("ip", ":", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])"), _ipv6),
+    ("phone", "", re.compile(_A + r"((?i:call|phone|tel|telephone|mobile|cell|fax|whatsapp|sms|text)(?:(?i: me| us| at| on| number)|[.:]){0,3} ?)(\d{10})(?![\w-])"), _called),
     ("ssn", "", re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn),
     ("phone", "", re.compile(r"(?<![\w+.-])(?:\+?1[ .-]?)?\(?([2-9]\d\d)\)?[ .-]?([2-9]\d\d)[ .-]?(\d{4})(?![\w-])"), _nanp),
     ("phone", "+", re.compile(r"(?<![\w+])\+[1-9]\d*+(?:[ .-]?\(?\d++\)?+)*+"), _phone),
@@ -339,9 +379,10 @@ _DIGIT = re.compile(r"[0-9]")
 def find(text: str, cipher: Cipher) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the values found, in order, without overlap."""
     digits = _DIGIT.search(text) is not None
+    named = digits or "=" in text or ":" in text  # of a secret
     spans = []
     for rank, (kind, needs, pattern, new) in enumerate(FINDERS):
-        if (needs in text) if needs in ("@", "AKIA", "ASIA") else digits and needs in text:
+        if (named if needs == "*" else needs in text if needs in ("@", "AKIA", "ASIA", "eyJ") else digits and needs in text):
             for m in pattern.finditer(text):
                 put = new(m, cipher)
                 for start, stop, x in put if isinstance(put, list) else [(m.start(), m.end(), put)]:

@@ -50,6 +50,36 @@ def test_cards_stay_valid_distinct_and_linked():
     assert new(broken) == broken
 
 
+@pytest.mark.parametrize("value", [
+    "password=correcthorsebattery", "my pwd = 'lettersonly'", "secret:\"opensesameplease\"", "A" * 3 + "0123456789ABCDEF" * 2 + "FFFFF",
+    "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U",
+    "2001:db8:85a3::8a2e:370:7334", "FE80::0202:B3FF:FE1E:8329", "gb29nwbk60161331926819", "de89 3704 0044 0532 0130 00",
+    "anna@müller-straße.example", "jörg@bücher.example", "call 4915551234", "Phone: 1234567890", "1887-03-14", "March 14, 1850"])
+def test_forms_that_are_found(value):
+    text = f"see {value} there"
+    out, found = P.replace(text, C)
+    assert len(found) == 1 and out != text and out.startswith("see ") and out.endswith(" there") and (len(out) == len(text) or found[0][2] == "date")
+    assert re.sub(r"\w", "x", out) == re.sub(r"\w", "x", text) or found[0][2] in ("email", "date")  # marks stay where they were
+    assert P.replace(f"again {value}.", C)[0].removeprefix("again ").removesuffix(".") == out.removeprefix("see ").removesuffix(" there")  # linked
+    assert P.replace(text, P.Cipher("other"))[0] != out
+
+
+def test_pseudonyms_of_these_forms_are_valid():
+    import ipaddress
+    ipaddress.IPv6Address(new("2001:db8:85a3::8a2e:370:7334"))
+    assert P.iban_mod(new("gb29nwbk60161331926819").upper()) == 1 and new("gb29nwbk60161331926819") == new("GB29NWBK60161331926819").lower()
+    token = new("eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmNHl0w5N")
+    assert token.startswith("eyJhbGciOiJIUzI1NiJ9.") and re.fullmatch(r"[\w-]+\.[\w-]+\.[\w-]+", token)
+    assert 1800 <= int(new("1887-03-14")[:4]) <= 1899 and 1900 <= int(new("1987-03-14")[:4]) <= 2099
+
+
+@pytest.mark.parametrize("text", [
+    "the password: required for all", "token: something in prose", "at 12:34:56 or 1:2:3", "std::vector and a::b", "call 12345", "recall 1234567890 items"
+    , "eyJub3Q.a.b", "ab12 is short", "Chapter: One", "gb29nwbk60161331926818", "ABCDEFABCDEFABCDEFABCDEFABCDEFABCDEF"])
+def test_forms_that_are_left(text):
+    assert new(text) == text
+
+
 def test_phones():
     a = new("call +1 (988) 555-2485 now")
     assert re.fullmatch(r"call \+1 \([2-9]\d\d\) [2-9]\d\d-\d{4} now", a) and "555-2485" not in a
