@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rosterframe.llm import line_dedup, mixing, packing, quality_rules, simhash
 from rosterframe.llm.common import materialize, read
-from rosterframe.llm.registry import MIX
+from rosterframe.llm.registry import MIX, SITE_LINES
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on over a tenth of a source's documents go; ``n_chars`` follows the text."""
-    cut = line_dedup.drop_site_lines(docs, max_ratio=0.1, min_pages=3).select(docs.columns)
+    cut = line_dedup.drop_site_lines(docs, **SITE_LINES).select(docs.columns)
     if "n_chars" not in docs.columns:
         return cut
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
