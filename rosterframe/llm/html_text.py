@@ -7,8 +7,8 @@ Segmentation", 2009).  The weights come from labelled pages, that is pages whose
 text is known: how often each tag, and words in running text, links and page furniture,
 lie inside and outside of the article, and the price of a tag that fits these pages best.
 
-The region then settles on the landmark (article, main, else a content block) that holds
-nearly all of its words, and furniture inside of it is taken out: elements whose tag,
+The region then settles on the landmark (article, main), else the block, that holds nearly all
+of its words, and furniture inside of it is taken out: elements whose tag,
 class, id or role says that they are menus, headers, footers, sidebars, notices, adverts,
 forms or reader comments.  Within a landmark, or on a page without any, a word in a class
 or id is not enough: the whole name must say it, or most of the element's words be links.
@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, islice
 
 import pandas as pd
 import pyarrow as pa
@@ -63,53 +64,71 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
+#: Every element named above and those that merely hold text: the tags that have a weight of their own.
+KNOWN = RAW | VOID | INLINE | IMPLIED_END | LANDMARKS | FURNITURE_TAGS | HEADINGS | CONTAINERS | set(
+    "html body address blockquote caption center col colgroup dir dl details fieldset figcaption figure hgroup legend ol optgroup output pre "
+    "rp rt ruby summary table tbody tfoot thead ul audio video canvas picture map".split())
+#: All the others.
+OTHER_TAG = "?"
 TEXT, OPEN, CLOSE = 0, 1, 2
 #: Contexts of words: running text, link text, furniture.
 PLAIN, LINK, OTHER = "plain", "link", "other"
 
 
 class Page:
-    """Tokens of a page with, for each, its context and the extent of its element."""
+    """Tokens of a page with, for each, its context and the extent of its element.
+
+    About 40 bytes a token: tag names are shared strings, texts and attributes are places in
+    the source, everything else is a number in an array."""
 
     def __init__(self, source: str):
-        self.kind: list[int] = []
-        self.value: list[str] = []
-        attrs: list[str] = []
-        at = 0
+        self.source = source
+        self.kind, self.value = bytearray(), []
+        self._at = array("i"), array("i")
+        at, names = 0, {}
         while (m := _TOKEN.match(source, at)) is not None and m.end() > at:
             at = m.end()
-            tag = m["tag"] or m["tag2"]
             if m["text"] is not None:
-                self._add(attrs, TEXT, m["text"], "")
-            elif tag:
-                tag, close = tag.lower(), bool(m["end"] or m["end2"])
-                self._add(attrs, CLOSE if close else OPEN, tag, "" if close else (m["attrs"] or m["attrs2"] or ""))
-                if tag in RAW and not close and not (m["attrs"] or "").endswith("/"):
+                self._add(TEXT, "", *m.span("text"))
+                continue
+            group = "" if m["tag"] else "2"
+            tag = m["tag" + group]
+            if tag:
+                tag, close = tag.lower(), bool(m["end" + group])
+                tag = names.setdefault(tag, tag)
+                self._add(CLOSE if close else OPEN, tag, *((0, 0) if close else m.span("attrs" + group)))
+                if tag in RAW and not close and not source.endswith("/", *m.span("attrs" + group)):
                     stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
                     at = stop.end() if stop else len(source)
-                    self._add(attrs, CLOSE, tag, "")
+                    self._add(CLOSE, tag, 0, 0)
         n = len(self.kind)
-        self.words = [len(v.split()) if k == TEXT else 0 for k, v in zip(self.kind, self.value)]
-        self.before = list(accumulate(self.words, initial=0))
-        self.opens: dict[str, list[int]] = {}
+        self.words = array("i", (len(self.text(i).split()) if k == TEXT else 0 for i, k in enumerate(self.kind)))
+        self.before = array("i", accumulate(self.words, initial=0))
+        self.opens: dict[str, array] = {}
         for i, (k, v) in enumerate(zip(self.kind, self.value)):
             if k == OPEN:
-                self.opens.setdefault(v, []).append(i)
+                self.opens.setdefault(v, array("i")).append(i)
         self.end = self._ends(n)
-        self.attrs = attrs
-        self.link = self._covered(n, (i for i in range(n) if self.kind[i] == OPEN and self.value[i] == "a"))
+        self.link = self._covered(n, self.opens.get("a", ()))
+        self.linked = array("i", accumulate((x if f else 0 for x, f in zip(self.words, self.link)), initial=0))
         self.furniture = self._furniture(n)
-        self.own_before = list(accumulate((0 if f else x for x, f in zip(self.words, self.furniture)), initial=0))
+        self.own_before = array("i", accumulate((0 if f else x for x, f in zip(self.words, self.furniture)), initial=0))
+        self.own_linked = array("i", accumulate((x if a and not f else 0 for x, a, f in zip(self.words, self.link, self.furniture)), initial=0))
 
-    def _add(self, attrs: list[str], kind: int, value: str, attr: str) -> None:
+    def _add(self, kind: int, value: str, first: int, last: int) -> None:
         self.kind.append(kind)
         self.value.append(value)
-        attrs.append(attr)
+        self._at[0].append(first)
+        self._at[1].append(last)
+
+    def text(self, i: int) -> str:
+        """The characters of a text, the attributes of a start tag."""
+        return self.source[self._at[0][i]:self._at[1][i]]
 
     def _ends(self, n: int) -> list[int]:
         """For each start tag the token after its element.  One that is never closed ends with
         the next block (paragraphs, links and the like), else before the next landmark."""
-        end, opened = [0] * n, {}
+        end, opened = array("i", bytes(4 * n)), {}
         for i, (k, v) in enumerate(zip(self.kind, self.value)):
             if k == OPEN:
                 if v in VOID:
@@ -129,15 +148,15 @@ class Page:
                     landmark = i
         return end
 
-    def _covered(self, n: int, starts: Iterator[int]) -> list[bool]:
-        edge = [0] * (n + 1)
+    def _covered(self, n: int, starts: Iterable[int]) -> bytearray:
+        edge = array("i", bytes(4 * (n + 1)))
         for i in starts:
             edge[i] += 1
             edge[max(self.end[i], i + 1)] -= 1
-        return [x > 0 for x in accumulate(edge[:n])]
+        return bytearray(x > 0 for x in accumulate(islice(edge, n)))
 
     def _attributes(self, i: int) -> dict[str, str]:
-        return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(self.attrs[i])}
+        return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(self.text(i))}
 
     def _named(self, a: dict[str, str]) -> set[str]:
         return {p.lower() for p in _NAME_PART.findall(f"{a.get('class', '')} {a.get('id', '')}")}
@@ -156,12 +175,11 @@ class Page:
                 return True
         return False
 
-    def _furniture(self, n: int) -> list[bool]:
-        article = self._covered(n, (i for i in range(n) if self.kind[i] == OPEN and self.value[i] in LANDMARKS))
+    def _furniture(self, n: int) -> bytearray:
+        article = self._covered(n, (i for t in LANDMARKS for i in self.opens.get(t, ())))
         half = self.before[n] / 2
-        linked = list(accumulate((x if f else 0 for x, f in zip(self.words, self.link)), initial=0))
-        landmarks = any(article)
-        found = []
+        linked, landmarks = self.linked, any(article)
+        found = array("i")
         for i, (k, v) in enumerate(zip(self.kind, self.value)):
             if k != OPEN or v in ("html", "body"):
                 continue
@@ -170,7 +188,7 @@ class Page:
                 if v == "header" and article[i] and self._holds(i, {"h1", "h2"}) or v in ("form", "header") and self._holds(i, LANDMARKS):
                     continue
                 found.append(i)
-            elif self.attrs[i] and v != "main":
+            elif self._at[0][i] < self._at[1][i] and v != "main":
                 a = self._attributes(i)
                 hidden = ("hidden" in a or a.get("aria-hidden") == "true"
                           or re.search(r"display\s*:\s*none", a.get("style", "")) is not None)
@@ -183,7 +201,7 @@ class Page:
                     holds_most = self.before[self.end[i]] - self.before[i] > half
                     if hidden or not (holds_most or self._holds(i, {"main"}) or v == "article" and named & CONTENT_WORDS and "comment" not in named):
                         found.append(i)
-        return self._covered(n, iter(found))
+        return self._covered(n, found)
 
     def context(self, i: int) -> str:
         return OTHER if self.furniture[i] else LINK if self.link[i] else PLAIN
@@ -203,7 +221,7 @@ class Page:
                 if not self.furniture[i]:
                     if not parts:
                         first = i
-                    parts.append(self.value[i])
+                    parts.append(self.text(i))
             elif self.value[i] not in INLINE:
                 flush(i)
         flush(end)
@@ -225,7 +243,7 @@ def feature_counts(page: Page, article: str) -> Counter:
             if k == TEXT:
                 out[page.context(i), inside] += page.words[i]
             else:
-                out["<" + v, inside] += 1
+                out["<" + (v if v in KNOWN else OTHER_TAG), inside] += 1
     return out
 
 
@@ -235,12 +253,13 @@ PRICES = [0.25, 0.5, 1.0, 2.0, 3.25, 5.0, 8.0]
 
 def weights(counts: dict[tuple[str, bool], int], price: float) -> dict[str, float]:
     """Score of a word by context and of a tag by name (default: ``<``).  Words in running
-    text score above 0, all tags below; the more a tag stands outside, the more it costs."""
+    text score above 0, all tags below; the more a tag stands outside, the more it costs.  A
+    tag that no labelled article holds has the default price: nothing is known of it there."""
     def share(f: str) -> float:
         i, o = counts.get((f, True), 0), counts.get((f, False), 0)
         return (i + 1) / (i + o + 2)
 
-    w = {f: -price * (1.1 - share(f)) for f, _ in counts if f[0] == "<"} | {"<": -price / 2}
+    w = {f: -price * (1.1 - share(f)) for f, inside in counts if f[0] == "<" and inside} | {"<": -price / 2}
     return w | {PLAIN: max(0.1, 2 * share(PLAIN) - 1), LINK: min(0.0, 2 * share(LINK) - 1), OTHER: min(0.0, 2 * share(OTHER) - 1)}
 
 
@@ -253,40 +272,63 @@ DEFAULT = weights({(PLAIN, True): 98, (LINK, False): 98, (OTHER, False): 98}, 3.
 def best_region(page: Page, w: dict[str, float]) -> tuple[int, int]:
     """The token range with the greatest score, by one linear scan; (0, 0) if none is positive."""
     best, run, start, region = 0.0, 0.0, 0, (0, 0)
-    other = w["<"]
+    other = w.get("<" + OTHER_TAG, w["<"])
+    price = {v: w.get("<" + v, w["<"] if v in KNOWN else other) for v in set(page.value)}
     for i, (k, v) in enumerate(zip(page.kind, page.value)):
         if run <= 0:
             run, start = 0.0, i
-        run += page.words[i] * w[page.context(i)] if k == TEXT else w.get("<" + v, other)
+        run += page.words[i] * w[page.context(i)] if k == TEXT else price[v]
         if run > best:
             best, region = run, (start, i + 1)
     return region
 
 
-def settle(page: Page, start: int, end: int) -> tuple[int, int]:
-    """The smallest landmark or content block that holds nearly all of the region's words; the landmark
-    around it, if it is a block in one.  Words of the region beside it stay too, as far as a
-    landmark around it reaches, or around a block another block."""
+def settle(page: Page, start: int, end: int) -> tuple[int, int, bool]:
+    """(first token, token after, whether the page says so) of the article around the region.
+
+    1. The outermost landmark (article, main) that holds nearly all of the region's words, with
+       the articles next to it, between which nothing but furniture stands.
+    2. Else the smallest block named as content that does, and of the blocks named so
+       around it what the region reaches.
+    3. Else the smallest block that does and holds most of the page's running text, so that a
+       headline, a list or a table beside the region is not lost; at last the page."""
     def words(a: int, b: int) -> int:
         return page.own_before[b] - page.own_before[a]
 
-    total = words(start, end)
-    found = []
-    for i, (k, v) in enumerate(zip(page.kind, page.value)):
-        if k == OPEN and v in CONTAINERS and not page.furniture[i] and page.end[i] > start and i < end:
-            if v in LANDMARKS or page._named(page._attributes(i)) & CONTENT_WORDS:
-                if words(max(i, start), min(page.end[i], end)) >= 0.9 * total:
-                    found.append((page.end[i] - i, i, page.end[i], v in LANDMARKS))
-    if not found:
-        return start, end
-    _, i, j, landmark = min(found)
-    around = [x for x in sorted(found) if x[1] <= i and x[2] >= j]
-    if not landmark:
-        _, i, j, landmark = next((x for x in around if x[3]), around[0])
-    for _, a, b, other in around:
-        if a <= i and b >= j and (other or not landmark):
-            i, j = min(i, max(a, start)), max(j, min(b, end))
-    return i, j
+    def holds(i: int, j: int) -> bool:
+        return i < end and j > start and words(max(i, start), min(j, end)) >= 0.9 * words(start, end)
+
+    outer: list[tuple[int, int]] = []
+    for i in sorted(i for t in LANDMARKS for i in page.opens.get(t, ())):
+        if not page.furniture[i] and (not outer or i >= outer[-1][1]):
+            outer.append((i, page.end[i]))
+    groups: list[tuple[int, int]] = []
+    for i, j in outer:
+        if groups and not words(groups[-1][1], i):
+            groups[-1] = (groups[-1][0], j)
+        else:
+            groups.append((i, j))
+    best = [g for g in groups if holds(*g)]
+    if best:
+        return *best[0], True
+    boxes = sorted((page.end[i] - i, i, page.end[i]) for t in CONTAINERS - LANDMARKS for i in page.opens.get(t, ())
+                   if not page.furniture[i] and holds(i, page.end[i]))
+    named = [(i, j) for _, i, j in boxes if page._named(page._attributes(i)) & CONTENT_WORDS]
+    if named:
+        i, j = named[0]
+        for a, b in named[1:]:
+            if a <= i and b >= j:
+                i, j = min(i, max(a, start)), max(j, min(b, end))
+        return i, j, True
+    n = len(page.kind)
+
+    def plain(a: int, b: int) -> int:
+        return words(a, b) - page.own_linked[b] + page.own_linked[a]
+
+    for _, i, j in boxes:
+        if 2 * plain(i, j) > plain(0, n):
+            return i, j, False
+    return 0, n, False
 
 
 def main_text(source: str | None, w: dict[str, float]) -> str:
@@ -296,16 +338,20 @@ def main_text(source: str | None, w: dict[str, float]) -> str:
     start, end = best_region(page, w)
     if start == end:
         return ""
-    return "\n".join(text for _, _, text in page.blocks(*settle(page, start, end)))
+    first, last, sure = settle(page, start, end)
+    found = page.blocks(first, last)
+    if not sure:  # beside the region, blocks that are mostly links are menus
+        found = [(a, b, t) for a, b, t in found if a < end and b > start or 2 * (page.own_linked[b] - page.own_linked[a]) <= page.own_before[b] - page.own_before[a]]
+    return "\n".join(t for _, _, t in found)
 
 
 # --------------------------------------------------------------- operators
 
 def fit(labelled: DataFrame) -> dict[str, float]:
     """Weights from rows (html, article).  Counts and the fit of each price are summed on
-    Spark; a few hundred numbers come to the driver."""
+    Spark; two numbers a tag come to the driver, so names that aren't HTML's count as one."""
     counted = labelled.mapInPandas(_count, "feature string, inside boolean, n long").groupBy("feature", "inside").agg(F.sum("n").alias("n"))
-    counts = {(r.feature, r.inside): r.n for r in counted.where("n > 0").orderBy(F.desc("n"), "feature").limit(1000).collect()}
+    counts = {(r.feature, r.inside): r.n for r in counted.where("n > 0").collect()}
     if not any(inside for _, inside in counts):
         return DEFAULT
     tried = [weights(counts, p) for p in PRICES]
@@ -348,6 +394,10 @@ def labelled_sample(pages: DataFrame, documents: DataFrame, doc_of: Column, fit_
     return materialize(chosen.join(known, "known_id").select("html", "article"), "labelled_pages")
 
 
+#: Characters of results that a worker holds before it hands them on.
+YIELD = 1 << 21
+
+
 def extract(pages: DataFrame, w: dict[str, float], html_col: str = "html", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``pages`` (default: all but ``html_col``) plus ``text``, the main text of each page, and
     ``n_chars``, its code points.
@@ -362,8 +412,13 @@ def extract(pages: DataFrame, w: dict[str, float], html_col: str = "html", colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(x.as_py(), w) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["row", "text"])
+            first, size, texts = 0, 0, []
+            for i, x in enumerate(b.column(1), 1):
+                texts.append(main_text(x.as_py(), w))
+                size += len(texts[-1])
+                if size >= YIELD or i == b.num_rows:  # results leave the worker before they pile up
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(first, i - first), pa.array(texts, pa.string())], ["row", "text"])
+                    first, size, texts = i, 0, []
 
     out = src.mapInArrow(run, T.StructType([src.schema["row"], T.StructField("text", T.StringType())]))
     return out.select(*(F.col("row")[c].alias(c) for c in names), "text", F.length("text").cast("long").alias("n_chars"))

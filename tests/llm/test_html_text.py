@@ -98,6 +98,56 @@ def test_furniture_in_an_article_is_cut(outer, close, part):
     assert H.main_text(f"<body>{outer}<p>{A}</p>{part}<p>{A}</p>{close}", H.DEFAULT) == f"{A}\n{A}"
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    pages, docs = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("pages", "documents"))
+    doc_of = F.expr(r"try_cast(regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([0-9]+)', 1) as long)")
+    return H.fit(H.labelled_sample(pages, docs, doc_of))
+
+
+C = " ".join(f"delta{k}" for k in range(25)) + "."
+
+
+@pytest.mark.parametrize(("page", "lines"), [
+    (f"<p>{A}</p><p>{C}</p>", [A, C]),
+    (f"<h2>Steps</h2><p>{A}</p><ul><li>First of all do this</li><li>Then do that</li><li>At last do it again</li></ul><p>Done now.</p>",
+     ["Steps", A, "First of all do this", "Then do that", "At last do it again", "Done now."]),
+    (f"<p>{A}</p><table><tr><th>Name</th><td>One value</td></tr><tr><th>Other</th><td>Two</td></tr></table><p>{C}</p>",
+     [A, "Name", "One value", "Other", "Two", C]),
+    (f"<body><nav><a>Home page</a></nav><h1>Title here</h1><p>{A}</p><footer>Copyright words</footer>", ["Title here", A]),
+    (f"<body><div class=header><h1>Title here</h1></div><p>{A}</p><p>{C}</p><div class=ad>Buy it</div>", ["Title here", A, C]),
+    (f"<main><article><h2>One</h2><p>{A}</p></article><article><h2>Two</h2><p>{C}</p></article></main>", ["One", A, "Two", C]),
+    (f"<body><article><p>{A}</p></article><div class=ad>Buy it</div><article><p>{C}</p></article><footer>x y</footer>", [A, C]),
+    (f"<body><ul><li><a>Home</a><li><a>All news</a></ul><h1>Title here</h1><p>{A}</p><blockquote>{C}</blockquote><p>Last words.</p>",
+     ["Title here", A, C, "Last words."]),
+    (f"<main><h1>Title here</h1><section><h2>Part</h2><ol><li>{A}<li>{C}</ol></section><pre>x = 1</pre><p>End.</p></main>", ["Title here", "Part", A, C, "x = 1", "End."]),
+])
+def test_nothing_of_an_article_is_lost(learned, page, lines):
+    for w in (learned, H.DEFAULT):
+        assert H.main_text(page, w) == "\n".join(lines)
+
+
+def test_a_tag_that_no_labelled_article_holds_has_the_default_price():
+    w = H.weights({("plain", True): 90, ("plain", False): 10, ("<li", False): 500, ("<p", True): 9, ("<p", False): 1}, 8.0)
+    assert "<li" not in w and w["<"] == -4.0 and w["<p"] > w["<"]
+
+
+def test_memory_of_a_very_long_page():
+    """20 MB of short words between tags, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = ("import resource, sys; sys.path.insert(0, %r)\n"
+            "from rosterframe.llm import html_text as H\n"
+            "page = '<article>' + '<p>some <b>bold</b> words' * 800_000 + '</article>'\n"
+            "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            "text = H.main_text(page, H.DEFAULT)\n"
+            "assert text.count('some bold words') == 800_000\n"
+            "print(len(page), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)") % str(H.__file__).rsplit("/rosterframe/", 1)[0]
+    size, grown = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert size > 19_000_000 and grown < 600
+
+
 def test_headline_and_lead_before_an_article_in_main():
     head = "<h1>Title of six words stands here</h1><p>The lead of the article is these ten words.</p>"
     assert H.main_text(f"<main>{head}<article><p>{LONG}</p></article><p>x</p></main>", H.DEFAULT).startswith("Title of six words stands here\nThe lead")
