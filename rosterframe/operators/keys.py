@@ -8,14 +8,18 @@ counts gives every partition its offset.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
 
-def assign_keys(batch: DataFrame, base: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Add ``key`` = max(base.key) + 1, 2, ... in ``order_col`` order.
+def assign_keys(batch: DataFrame, base: DataFrame, key: str, order_col: str,
+                reserve: Callable[[int, int], int] | None = None) -> DataFrame:
+    """Add ``key`` = max(base.key) + 1, 2, ... in ``order_col`` order.  ``reserve(n, max)`` reserves
+    n keys for this batch alone and gives the one before the first (``sources.ledger``).
 
     ``order_col`` must be unique within the batch.  The sorted, tagged batch is
     checkpointed so a recomputed task cannot renumber rows.
@@ -28,7 +32,8 @@ def assign_keys(batch: DataFrame, base: DataFrame, key: str, order_col: str) ->
     offsets = counts.select("_pid", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    start = base.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
+    largest = base.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint"))
+    start = F.lit(reserve(tagged.count(), largest.first()[0])) if reserve else largest.scalar()
     # monotonically_increasing_id = partition index << 33 | row number in partition.
     pos = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (tagged.join(F.broadcast(offsets), "_pid")

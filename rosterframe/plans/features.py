@@ -22,6 +22,8 @@ from ..operators.latest import latest_per_key
 from ..operators.pivot import complete_rows, pivot_codes
 from ..operators.team import avg_attendance, team_state
 from ..sources.tables import Tables, prune_months
+from . import partials as P
+from .partials import Partials
 
 PROJECTION_SOURCES = ("nf", "bm", "rw", "fp")
 
@@ -109,9 +111,30 @@ def _with_opponent(df: DataFrame, teams: DataFrame, team_col: str) -> DataFrame:
     return df.join(opp, "_opp_id", "left").drop("_opp_id")
 
 
+def _season_to_date(t: Tables, season: DataFrame, targets: DataFrame, stat: str, n_recent: int, d: Column, s0: Column,
+                    partials: Partials | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(team, att, recent): last game and record per team, attendance per home team, recent games
+    per player; from the season's rows or from monthly partials of them."""
+    if partials is None:
+        # Last game and record come from one per-team aggregate, joined once on the
+        # player's team; attendance is keyed by the home team, so it is its own
+        # (home games only) aggregate.  Both are bounded by the number of teams.
+        state, att = team_state(season, t.teams), avg_attendance(season, t.teams)
+        recent = _recent(t, season, targets, stat, n_recent, (s0, d))
+    else:
+        state = P.team_state(partials, t.games, t.teams, d, s0)
+        att = state.where(F.col("avg_att").isNotNull()).select(F.col("team_id").alias("home_team_id"), "avg_att", "stadium_cap")
+        recent = P.recent(partials, t, targets, stat, n_recent, d, s0)
+    team = state.where(F.col("last_team_game_id").isNotNull() & F.col("team_winning_pct").isNotNull()).select(
+        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
+    return team, att, recent
+
+
 def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = False,
-                n_recent: int = S.DEFAULT_RECENT_GAMES, changelog_slack_days: int = 1) -> DataFrame:
-    """Features per (player, game) on ``as_of`` from data strictly before it."""
+                n_recent: int = S.DEFAULT_RECENT_GAMES, changelog_slack_days: int = 1,
+                partials: Partials | None = None) -> DataFrame:
+    """Features per (player, game) on ``as_of`` from data strictly before it.  With
+    ``partials`` the season's whole months come from them (``plans.partials``)."""
     stat = S.check_stat(stat)
     if n_recent < 1:
         raise ValueError("n_recent must be positive")
@@ -132,14 +155,7 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    # Last game and record come from one per-team aggregate, joined once on the
-    # player's team; attendance is keyed by the home team, so it is its own
-    # (home games only) aggregate.  Both are bounded by the number of teams.
-    team = team_state(season, t.teams).where(
-        F.col("last_team_game_id").isNotNull() & F.col("team_winning_pct").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
-    att = avg_attendance(season, t.teams)
-    recent = _recent(t, season, targets, stat, n_recent, (s0, d))
+    team, att, recent = _season_to_date(t, season, targets, stat, n_recent, d, s0, partials)
 
     df = (proj.join(pl, "player_id")
           .join(games, "game_id")
@@ -185,7 +201,7 @@ def injured_counts(players: DataFrame) -> DataFrame:
 
 
 def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
-                     n_recent: int = S.DEFAULT_RECENT_GAMES) -> DataFrame:
+                     n_recent: int = S.DEFAULT_RECENT_GAMES, partials: Partials | None = None) -> DataFrame:
     """The "today" variant: roster data from the player table, no changelog, no label.
 
     Builds the evident intent of the source text (N9): the date is an argument
@@ -217,17 +233,10 @@ def ml_features_live(t: Tables, stat: str, season_start, as_of=None,
     own_team = teams.select(F.col("team_id").alias("current_team_id"), "team_abbrev",
                             F.col("tz_hrs_over_utc").alias("home_tz_over_utc"),
                             lat_lng("stadium_lat_n", "stadium_lng_w").alias("home_lat_lng"))
-    # Last game and record come from one per-team aggregate, joined once on the
-    # player's team; attendance is keyed by the home team, so it is its own
-    # (home games only) aggregate.  Both are bounded by the number of teams.
-    team = team_state(season, t.teams).where(
-        F.col("last_team_game_id").isNotNull() & F.col("team_winning_pct").isNotNull()).select(
-        F.col("team_id").alias("current_team_id"), "last_team_game_id", "won_game", "team_winning_pct")
-    att = avg_attendance(season, t.teams)
+    team, att, recent = _season_to_date(t, season, targets, stat, n_recent, d, s0, partials)
     inj = injured_counts(t.players)
     inj_home = inj.select(F.col("team_id").alias("home_team_id"), F.col("n_injured").alias("_inj_home"))
     inj_away = inj.select(F.col("team_id").alias("away_team_id"), F.col("n_injured").alias("_inj_away"))
-    recent = _recent(t, season, targets, stat, n_recent, (s0, d))
 
     df = (proj.join(pl, "player_id")
           .join(games, "game_id")

@@ -27,13 +27,14 @@ def games(t: Tables, date_or_min=None, max_date=None) -> DataFrame:
 
 
 def _page(df: DataFrame, table: str, limit: int | None, *order: str) -> DataFrame:
-    """The declared columns in order; the first ``limit`` rows if a limit is given (0 gives none)."""
-    rows = df.select(*S.TABLE_SCHEMAS[table].fieldNames()).orderBy(*order)
-    return rows if limit is None else rows.limit(limit)
+    """The declared columns; with a limit the first rows in order (0 gives none).  Without one
+    the order is the caller's: sorting a whole table moves every row of it."""
+    rows = df.select(*S.TABLE_SCHEMAS[table].fieldNames())
+    return rows if limit is None else rows.orderBy(*order).limit(limit)
 
 
 def players(t: Tables, limit: int | None = None, status: str | None = None) -> DataFrame:
-    """Players by id, optionally of one status; every one unless ``limit`` is given."""
+    """Players, optionally of one status; every one unless ``limit`` is given (the first by id)."""
     p = t.players
     if status is not None:
         p = p.where(F.col("status") == status)

@@ -227,12 +227,14 @@ def _m_update_source_ids(t, r):
 
 
 @register("op_blank_to_null", f"""{SOURCE_ID_U}
-SELECT player_id, NULLIF(nf_id, '') AS nf_id, NULLIF(rw_id, '') AS rw_id, NULLIF(bm_id, '') AS bm_id,
-       NULLIF(fp_id, '') AS fp_id, NULLIF(fc_id, '') AS fc_id FROM u""")
+SELECT player_id, post AS batch_seq, CASE WHEN post = 2 THEN NULLIF(nf_id, '') END AS nf_id, CASE WHEN post = 2 THEN NULLIF(rw_id, '') END AS rw_id,
+       CASE WHEN post = 2 THEN NULLIF(bm_id, '') END AS bm_id, CASE WHEN post = 2 THEN NULLIF(fp_id, '') END AS fp_id,
+       CASE WHEN post = 2 THEN NULLIF(fc_id, '') END AS fc_id
+FROM u, (SELECT unnest([1, 2]) AS post) posts""")
 def _op_blank_to_null(t, r):
+    """Both posts of every player: the first has nothing but blanks."""
     from ..functions.text import blank_to_null
-    b = B.source_id_batch(t, r("events")).where("batch_seq = 2")
-    return b.select("player_id", *[blank_to_null(c).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
+    return B.source_id_batch(t, r("events")).select("player_id", "batch_seq", *[blank_to_null(c).alias(c) for c in ("nf_id", "rw_id", "bm_id", "fp_id", "fc_id")])
 
 
 def _delete_sql(players_rel: str, ids_rel: str) -> str:

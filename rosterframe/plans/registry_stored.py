@@ -12,11 +12,17 @@ from ..sources import batches as B
 from ..sources import ingest as I
 from ..sources import sinks
 from ..sources.tables import Tables, public, read_table, read_tables, write_tables
+from .. import oracle as O
+from .. import schema as S
+from . import backfill as BF
+from . import bucketed as BU
+from . import features as FE
 from . import mutations as M
+from . import partials as P
 from . import queries as Q
 from . import stored as ST
 from .features import season_window
-from .registry import AS_OF, ORACLE, SEASON_START, register, safe
+from .registry import AS_OF, ORACLE, SEASON_START, STAT, register, safe
 from .registry_mutations import C, D, GAME_BATCH_SQL, SLUG
 
 
@@ -127,6 +133,37 @@ def _st_insert_predictions(t):
     return Q.prediction_scores(read_tables(spark, root, only=names), AS_OF, "model_b")
 
 
+def _kept_up(t):
+    """All tables stored with monthly partials as of the cutoff; the box scores after it are then inserted."""
+    before, posted = B.posted_after_cutoff(t.stats, I.STAT_FIELDS, "game_date", t.games)
+    spark, root = _store(t.with_(stats=before), *SCANS)
+    P.write_partials(spark, root)
+    ST.insert_rows(spark, root, "stats", posted)
+    return read_tables(spark, root), P.read_partials(spark, root)
+
+
+@register("st_ml_features_partials", ORACLE["p_ml_features"])
+def _st_ml_features_partials(t):
+    """Season to date from monthly partials that the insert has kept up."""
+    tables, partials = _kept_up(t)
+    return FE.ml_features(tables, AS_OF, STAT, SEASON_START, partials=partials)
+
+
+@register("st_ml_features_live_partials", ORACLE["p_ml_features_live"])
+def _st_ml_features_live_partials(t):
+    tables, partials = _kept_up(t)
+    return FE.ml_features_live(tables, STAT, SEASON_START, as_of=AS_OF, partials=partials)
+
+
+@register("st_backfill_dates", O.backfill_sql(STAT, training=True, where="day(g.game_date) = 18"))
+def _st_backfill_dates(t):
+    """A table of dates, the game days on an 18th, prunes the stored months."""
+    spark, root = _store(t, *SCANS)
+    back = read_tables(spark, root)
+    dates = t.games.where(F.dayofmonth("game_date") == 18).select("game_date").distinct()
+    return BF.ml_features_backfill(back, STAT, training=True, dates=dates)
+
+
 @register("st_postgame", ORACLE["m_postgame"])
 def _st_postgame(t, r):
     """The months with results are rewritten in place; the whole table is right afterwards."""
@@ -153,23 +190,40 @@ def _op_json_sink(t):
 SCANS = ("games", "teams", "players", "player_changelog", "projections", "stats", "predictions", "salaries", "new_ids")
 
 
-@register("op_scan_all", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST(sum(length(CAST(to_json({{'r': x}}) AS VARCHAR)) > 0) AS BIGINT) AS n_read FROM {n} x"
-    for n in SCANS))
+def _scan_sql(name: str) -> str:
+    """Rows of a table and a sum over a digest of all their columns."""
+    cols = ", ".join(f"coalesce({_scan_text(f, False)}, '~')" for f in S.TABLE_SCHEMAS[name].fields)
+    return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
+            f"CAST(sum(CAST('0x' || left(md5(concat_ws('|', {cols})), 12) AS BIGINT)) AS VARCHAR) AS digest FROM {name}")
+
+
+def _scan_text(f, spark: bool) -> str:
+    """A column as the same text in both engines."""
+    kind = f.dataType.typeName()
+    if kind in ("float", "double"):
+        return f"cast(cast(round({f.name} * 1000) as bigint) as {'string' if spark else 'varchar'})"
+    if kind == "date":
+        return f"date_format({f.name}, 'yyyy-MM-dd')" if spark else f"strftime({f.name}, '%Y-%m-%d')"
+    if kind == "timestamp":
+        return f"date_format({f.name}, 'yyyy-MM-dd HH:mm:ss')" if spark else f"strftime({f.name}, '%Y-%m-%d %H:%M:%S')"
+    if kind == "array":
+        return f"to_json({f.name})" if spark else f"CAST(to_json({f.name}) AS VARCHAR)"
+    return f"cast({f.name} as {'string' if spark else 'varchar'})"
+
+
+@register("op_scan_all", " UNION ALL ".join(map(_scan_sql, SCANS)))
 def _op_scan_all(t):
     """All nine tables, every column read back from the store."""
     from functools import reduce
-
-    from pyspark.sql import functions as F
     spark, root = _store(t, *SCANS)
     back = read_tables(spark, root)
 
     def seen(name):
-        df = public(getattr(back, name))
-        return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                      F.count_if(F.length(F.to_json(F.struct("*"))) > 0).alias("n_read"))
+        cols = ", ".join(f"coalesce({_scan_text(f, True)}, '~')" for f in S.TABLE_SCHEMAS[name].fields)
+        digest = F.expr(f"cast(conv(left(md5(concat_ws('|', {cols})), 12), 16, 10) as decimal(20, 0))")
+        return public(getattr(back, name)).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(digest).cast("string").alias("digest"))
 
-    return reduce(lambda a, b: a.unionByName(b), map(seen, SCANS)).select("table_name", "n_rows", "n_read")
+    return reduce(lambda a, b: a.unionByName(b), map(seen, SCANS)).select("table_name", "n_rows", "digest")
 
 
 @register("op_today_in_zone", """SELECT o_orderkey AS game_id,
@@ -193,3 +247,58 @@ def _op_int_div_large(t, r):
     from ..functions.arith import int_div
     big = F.col("l_orderkey") * F.lit(1 << 40) + F.lit((1 << 60) + 1)
     return r("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", int_div(big, "l_linenumber").alias("quotient"))
+
+
+# ---- tables stored by buckets of their key ---------------------------------------
+
+def _buckets(t):
+    """Players and pending ids, each in 16 buckets."""
+    spark, root = t.games.sparkSession, _root(t)
+    for name in ("players", "new_ids"):
+        BU.write_bucketed(getattr(t, name), root, name, buckets=16)
+    return spark, root
+
+
+@register("st_insert_players", ORACLE["m_insert_players"])
+def _st_insert_players(t, r):
+    spark, root = _buckets(t)
+    for _ in range(2):  # the second post of the batch adds nothing
+        BU.insert_players(spark, root, B.player_batch(r("customer"))[0], batch_id="new players")
+    return BU.table(spark, root, "players")
+
+
+def _st_update(key, batch, update):
+    @register(f"st_{key}", ORACLE[f"m_{key}"])
+    def run(t, r):
+        spark, root = _buckets(t)
+        BU.update_players(spark, root, batch(t, r), update)
+        return BU.table(spark, root, "players")
+
+
+_st_update("update_player", lambda t, r: B.player_update_batch(t), M.update_player)
+_st_update("update_position", lambda t, r: B.position_batch(t), M.update_position)
+_st_update("update_bio", lambda t, r: B.bio_batch(t), M.update_bio)
+_st_update("update_source_ids", lambda t, r: B.source_id_batch(t, r("events")), M.update_source_ids)
+_st_update("not_on_roster", lambda t, r: B.released_player_ids(r("lineitem")), M.mark_not_on_roster)
+
+
+@register("st_insert_ignore_new_ids", ORACLE["m_insert_ignore_new_ids"])
+def _st_insert_ignore_new_ids(t, r):
+    spark, root = _buckets(t)
+    for _ in range(2):
+        BU.insert_new_ids(spark, root, B.new_id_batch(r("orders")), batch_id="posted ids")
+    return BU.table(spark, root, "new_ids")
+
+
+@register("st_delete_source_ids", ORACLE["m_delete_source_ids"])
+def _st_delete_source_ids(t, r):
+    spark, root = _buckets(t)
+    BU.delete_source_ids(spark, root, B.purchase_player_ids(r("events")))
+    return BU.table(spark, root, "new_ids")
+
+
+@register("st_resolve_source_ids", ORACLE["p_resolve_source_ids"])
+def _st_resolve_source_ids(t, r):
+    spark, root = _buckets(t)
+    BU.resolve_source_ids(spark, root, B.source_id_batch(t, r("events")), batch_id="resolved")
+    return BU.table(spark, root, "new_ids")

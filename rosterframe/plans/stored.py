@@ -19,6 +19,7 @@ from ..sources.ledger import Ledger
 from ..sources.tables import (PARTITION_COLUMNS, UNASSIGNED, partition_column, prune_months, public, read_table, replace_months,
                               stored_form, write_rows)
 from . import mutations as M
+from .partials import renew
 
 
 LATE_TABLES = ("stats", "projections")
@@ -28,6 +29,11 @@ def _month_column(name: str) -> str:
     return PARTITION_COLUMNS[name]
 
 
+def _months(files: list[str]) -> set[str]:
+    """The months in whose folders files lie."""
+    return {folder.split("=", 1)[1] for f in files for folder in f.split("/") if folder.startswith("game_month=")}
+
+
 def load_games(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "batch_seq", batch_id: str | None = None) -> None:
     """Insert posted games with generated ids and slugs, and file the box scores and
     projections that were posted before them under their months.
@@ -37,7 +43,7 @@ def load_games(spark: SparkSession, root: str, batch: DataFrame, order_col: str
 
     def keyed() -> DataFrame:
         stored = public(read_table(spark, root, "games"))
-        rows = M.assign_keys(batch, stored, "game_id", order_col).drop(order_col)
+        rows = M.assign_keys(batch, stored, "game_id", order_col, reserve=lambda n, last: ledger.reserve("games", n, last)).drop(order_col)
         return stored_form(M.fill_game_slug(M.append(stored.limit(0), rows)), "games")
 
     ledger.apply("games", batch_id, keyed, lambda df, path: write_rows(df, "games", path))
@@ -46,6 +52,7 @@ def load_games(spark: SparkSession, root: str, batch: DataFrame, order_col: str
         new = spark.read.schema(S.GAMES).option("basePath", f"{root}/games").parquet(*files)
         for name in LATE_TABLES:
             file_late_rows(spark, root, name, new, f"{batch_id}/late")
+        renew(spark, root, _months(files), f"games/{batch_id}")
 
 
 def file_late_rows(spark: SparkSession, root: str, name: str, games: DataFrame, batch_id: str | None = None) -> bool:
@@ -72,7 +79,11 @@ def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, bat
         empty = public(read_table(spark, root, name)).limit(0)
         return stored_form(M.append(empty, batch), name, read_table(spark, root, "games") if name in LATE_TABLES else None)
 
-    return Ledger(spark, root).apply(name, batch_id or uuid.uuid4().hex, rows, lambda df, path: write_rows(df, name, path))
+    ledger, batch_id = Ledger(spark, root), batch_id or uuid.uuid4().hex
+    fresh = ledger.apply(name, batch_id, rows, lambda df, path: write_rows(df, name, path))
+    if name == "stats":
+        renew(spark, root, _months(ledger.files(name, batch_id)), f"stats/{batch_id}")
+    return fresh
 
 
 def update_games(spark: SparkSession, root: str, batch: DataFrame, update: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
@@ -84,6 +95,7 @@ def update_games(spark: SparkSession, root: str, batch: DataFrame, update: Calla
     months = [r[0] for r in touched.collect()]  # no longer than the list of months
     if months:
         replace_months(update(games.where(F.col(part).isin(months)), batch), "games", root)
+        renew(spark, root, months)
 
 
 def fill_projection_roster(spark: SparkSession, root: str, date) -> None:
