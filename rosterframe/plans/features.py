@@ -23,6 +23,7 @@ from ..operators.pivot import complete_rows, pivot_codes
 from ..operators.team import avg_attendance, team_state
 from ..sources.tables import Tables, prune_months
 from . import partials as P
+from . import validity as V
 from .partials import Partials
 
 PROJECTION_SOURCES = ("nf", "bm", "rw", "fp")
@@ -59,13 +60,17 @@ def changelog_asof(changelog: DataFrame, as_of: Column, season_start: Column,
 
 
 def player_asof(players: DataFrame, changelog: DataFrame, as_of: Column, season_start: Column,
-                slack_days: int = 1, only: DataFrame | None = None) -> DataFrame:
-    """Player bio joined (left) to the latest change, as of the date."""
-    if only is not None:
-        # Only the changelog aggregate needs the restriction; players meet the
-        # targets in an inner join later anyway.
-        changelog = changelog.join(only, "player_id", "left_semi")
-    ch = changelog_asof(changelog, as_of, season_start, slack_days)
+                slack_days: int = 1, only: DataFrame | None = None, validity: DataFrame | None = None) -> DataFrame:
+    """Player bio joined (left) to the latest change, as of the date; with ``validity``
+    (``plans.validity``) the change in force is read from there, and the changelog not at all."""
+    if validity is not None:
+        ch = V.changelog_asof(validity, as_of, season_start, slack_days)
+    else:
+        if only is not None:
+            # Only the changelog aggregate needs the restriction; players meet the
+            # targets in an inner join later anyway.
+            changelog = changelog.join(only, "player_id", "left_semi")
+        ch = changelog_asof(changelog, as_of, season_start, slack_days)
     return (players.select("player_id", "bref_id", "height", "weight", "draft_pick", "dob", "debut_date")
             .join(ch, "player_id", "left")
             .select("player_id", "bref_id", "changed_on",
@@ -132,9 +137,10 @@ def _season_to_date(t: Tables, season: DataFrame, targets: DataFrame, stat: str,
 
 def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = False,
                 n_recent: int = S.DEFAULT_RECENT_GAMES, changelog_slack_days: int = 1,
-                partials: Partials | None = None) -> DataFrame:
+                partials: Partials | None = None, validity: DataFrame | None = None) -> DataFrame:
     """Features per (player, game) on ``as_of`` from data strictly before it.  With
-    ``partials`` the season's whole months come from them (``plans.partials``)."""
+    ``partials`` the season's whole months come from them (``plans.partials``), with
+    ``validity`` the changes in force from their spans (``plans.validity``)."""
     stat = S.check_stat(stat)
     if n_recent < 1:
         raise ValueError("n_recent must be positive")
@@ -145,7 +151,7 @@ def ml_features(t: Tables, as_of, stat: str, season_start, training: bool = Fals
     targets = proj.select("player_id")
     teams = t.teams
 
-    pl = player_asof(t.players, t.player_changelog, d, s0, changelog_slack_days, targets)
+    pl = player_asof(t.players, t.player_changelog, d, s0, changelog_slack_days, targets, validity)
     games = prune_months(t.games, d, d).select(
         "game_id", "game_date", "game_time_24_et", "day_of_week", "home_team_id", "away_team_id",
         "home_spread", "home_pred_pts", "away_pred_pts", "home_team_injured", "away_team_injured")

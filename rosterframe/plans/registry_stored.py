@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_date
 from ..session import ensure_checkpoint_dir
 from ..sources import batches as B
 from ..sources import ingest as I
@@ -21,6 +22,7 @@ from . import mutations as M
 from . import partials as P
 from . import queries as Q
 from . import stored as ST
+from . import validity as V
 from .features import season_window
 from .registry import AS_OF, ORACLE, SEASON_START, STAT, register, safe
 from .registry_mutations import C, D, GAME_BATCH_SQL, SLUG
@@ -65,7 +67,6 @@ def _st_insert_stats(t):
     ST.insert_rows(spark, root, "stats", posted)
     from pyspark.sql import functions as F
 
-    from ..functions.dates import as_date
     from ..sources.tables import prune_months
     lo, hi = as_date(SEASON_START), as_date(AS_OF)
     season = season_window(read_table(spark, root, "games"), hi, lo).select("game_id")
@@ -164,6 +165,38 @@ def _st_backfill_dates(t):
     return BF.ml_features_backfill(back, STAT, training=True, dates=dates)
 
 
+def _spans(t):
+    """All tables stored with the spans of the changes made up to the cutoff; the later changes are
+    then inserted, in two batches, of which the second holds the older ones."""
+    day = F.to_date("changed_on")
+    before, middle, late = (t.player_changelog.where(c) for c in (day < B.CUTOFF, (day >= B.CUTOFF) & (day < "1998-09-15"), day >= "1998-09-15"))
+    spark, root = _store(t.with_(player_changelog=before), *SCANS)
+    V.write_validity(spark, root)
+    ST.insert_rows(spark, root, "player_changelog", late, batch_id="late")
+    ST.insert_rows(spark, root, "player_changelog", middle, batch_id="middle")
+    return read_tables(spark, root), V.read_validity(spark, root)
+
+
+@register("st_changelog_spans", ORACLE["op_changelog_asof"])
+def _st_changelog_spans(t):
+    """The change in force of every player, from spans that the inserts have kept up."""
+    tables, spans = _spans(t)
+    return FE.player_asof(tables.players, tables.player_changelog, as_date(AS_OF), as_date(SEASON_START), validity=spans)
+
+
+@register("st_ml_features_spans", ORACLE["p_ml_features"])
+def _st_ml_features_spans(t):
+    tables, spans = _spans(t)
+    return FE.ml_features(tables, AS_OF, STAT, SEASON_START, validity=spans)
+
+
+@register("st_backfill_spans", O.backfill_sql(STAT, training=True))
+def _st_backfill_spans(t):
+    """Every date's features, the changes in force by an equi-join with their spans."""
+    tables, spans = _spans(t)
+    return BF.ml_features_backfill(tables, STAT, training=True, validity=spans)
+
+
 @register("st_postgame", ORACLE["m_postgame"])
 def _st_postgame(t, r):
     """The months with results are rewritten in place; the whole table is right afterwards."""

@@ -19,6 +19,7 @@ from ..sources.ledger import Ledger
 from ..sources.tables import (PARTITION_COLUMNS, UNASSIGNED, partition_column, prune_months, public, read_table, replace_months,
                               stored_form, write_rows)
 from . import mutations as M
+from . import validity as V
 from .partials import renew
 
 
@@ -83,6 +84,8 @@ def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, bat
     fresh = ledger.apply(name, batch_id, rows, lambda df, path: write_rows(df, name, path))
     if name == "stats":
         renew(spark, root, _months(ledger.files(name, batch_id)), f"stats/{batch_id}")
+    if name == "player_changelog":
+        V.renew(spark, root, ledger.files(name, batch_id), f"changes/{batch_id}")
     return fresh
 
 
