@@ -25,7 +25,7 @@ from . import stored as ST
 from . import validity as V
 from .features import season_window
 from .registry import AS_OF, ORACLE, SEASON_START, STAT, register, safe
-from .registry_mutations import C, D, GAME_BATCH_SQL, SLUG
+from .registry_mutations import C, D, GAME_BATCH_SQL, PLAYER_RECORDS, SLUG
 
 
 def _root(t: Tables) -> str:
@@ -212,6 +212,23 @@ def _st_fill_projection_roster(t):
     return public(read_table(spark, root, "projections"))
 
 
+@register("st_landed_batch", f""", {PLAYER_RECORDS},
+sums AS (SELECT count(*) AS n_records, count(*) FILTER (bad_birthdate) AS n_rejected FROM player_typed)
+SELECT batch_seq, CASE WHEN NOT bad_birthdate THEN player_name END AS player_name,
+       CASE WHEN NOT bad_birthdate THEN strftime(dob, '%Y-%m-%d') END AS dob, CASE WHEN NOT bad_birthdate THEN current_salary END AS current_salary,
+       CASE WHEN bad_birthdate THEN CAST(to_json(['birthdate']) AS VARCHAR) END AS failed_keys,
+       n_records, n_rejected, n_rejected AS n_birthdate, CAST(0 AS BIGINT) AS n_debut_date
+FROM player_typed CROSS JOIN sums""")
+def _st_landed_batch(t, r):
+    """A batch of players typed, split, written and counted in one pass; the counts stand on every row."""
+    landed = I.land(B.player_records(r("customer")), I.PLAYER_FIELDS, f"{_root(t)}/players", keep=["batch_seq"])
+    good = landed.good.select("batch_seq", "player_name", "dob", "current_salary")
+    counts = {"n_records": landed.records, "n_rejected": landed.rejected, "n_birthdate": landed.failures["birthdate"],
+              "n_debut_date": landed.failures["debutDate"]}
+    rows = good.unionByName(landed.bad.select("batch_seq", "failed_keys"), allowMissingColumns=True)
+    return rows.withColumns({n: F.lit(x).cast("bigint") for n, x in counts.items()})
+
+
 @register("op_json_sink", f"SELECT {safe('games')} FROM games")
 def _op_json_sink(t):
     """The games written as JSON rows and read back by their declared schema."""

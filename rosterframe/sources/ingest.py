@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,33 +93,87 @@ def _typed(raw: Column, kind: str, source_type: T.DataType) -> Column:
     return raw.try_cast(_SPARK_TYPES[kind])
 
 
-def ingest(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Rename and type posted records by a field map.
+@dataclass(frozen=True)
+class _Checked:
+    typed: list[Column]   # the table columns
+    ok: Column            # every value that is present parses
+    failed: Column        # the keys that don't
+    record: Column        # the record as it came
+    checks: dict[str, Column]
 
-    Returns ``(good, bad)``: ``good`` has the table columns (plus ``keep``
-    columns such as a batch order); ``bad`` holds every record with a value
-    that is present but does not parse, with the keys that failed.  The good
-    path is one codegen'd projection and filter; the list of failed keys is
-    only built for the rejected records.
-    """
-    from functools import reduce
 
+def _check(records: DataFrame, fields: Sequence[Field]) -> _Checked:
     types = {f.name: f.dataType for f in records.schema.fields}
     raw = {f.key: F.col(f"`{f.key}`") for f in fields}
     typed = {f.key: _typed(raw[f.key], f.type, types[f.key]) for f in fields}
     fine = {f.key: _survives(raw[f.key], typed[f.key], f.type) for f in fields}
     whole = {CORRUPT: F.col(CORRUPT).isNull()} if CORRUPT in records.columns else {}
     checks = {**fine, **whole}
-    ok = reduce(lambda a, b: a & b, checks.values())
-    kept = [F.col(f"`{k}`") for k in keep]
-    good = records.where(ok).select(*kept, *[typed[f.key].alias(f.column) for f in fields])
     failed = F.array_compact(F.array(*[F.when(~check, F.lit(key)) for key, check in checks.items()]))
     text = F.to_json(F.struct(*[raw[f.key] for f in fields]))
-    bad = records.where(~ok).select(*kept, failed.alias("failed_keys"),
-                                    (F.coalesce(F.col(CORRUPT), text) if whole else text).alias("record"))
+    return _Checked([typed[f.key].alias(f.column) for f in fields], reduce(lambda a, b: a & b, checks.values()), failed,
+                    F.coalesce(F.col(CORRUPT), text) if whole else text, checks)
+
+
+def ingest(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rename and type posted records by a field map.
+
+    Returns ``(good, bad)``: ``good`` has the table columns (plus ``keep``
+    columns such as a batch order); ``bad`` holds every record with a value
+    that is present but does not parse, with the keys that failed.  The good
+    path is one codegen'd projection and filter; the list of failed keys is
+    only built for the rejected records.
+    """
+    c = _check(records, fields)
+    kept = [F.col(f"`{k}`") for k in keep]
+    good = records.where(c.ok).select(*kept, *c.typed)
+    bad = records.where(~c.ok).select(*kept, c.failed.alias("failed_keys"), c.record.alias("record"))
     return good, bad
 
 
+@dataclass(frozen=True)
+class Landed:
+    """A batch that was typed and written.  ``counts``: its records, those rejected, and for
+    each key the records it failed in."""
+    good: DataFrame
+    bad: DataFrame
+    records: int
+    rejected: int
+    failures: dict[str, int]
+
+
+def land(records: DataFrame, fields: Sequence[Field], path: str, keep: Sequence[str] = ()) -> Landed:
+    """``ingest`` in one pass: the batch is read, typed and written once, to two folders under
+    ``path`` told apart by a flag, and counted on the way (``observe``).
+
+    ``good`` and ``bad`` are those of ``ingest``, read back from what was written, so whatever
+    works on them parses nothing again.  The job has one stage without a shuffle, whose
+    counts take in each task once, also if a task runs again.  ``path`` is replaced, so a batch that
+    died half-way is simply landed again.
+
+    - A rejected record keeps none of its typed values, only its keys that failed and its text.
+    - An empty batch gives two empty tables with their columns, and counts of zero.
+    - The names ``failed_keys``, ``record`` and ``rejected`` belong to the landed form: a field map or ``keep``
+      that has them is refused.
+    """
+    taken = {"failed_keys", "record", "rejected"} & {*keep, *(f.column for f in fields)}
+    if taken:
+        raise ValueError(f"names of the landed form: {sorted(taken)}")
+    c = _check(records, fields)
+    rows = records.select(*(F.col(f"`{k}`") for k in keep), (~c.ok).alias("rejected"), *(F.when(c.ok, t).alias(f.column) for t, f in zip(c.typed, fields)),
+                          F.when(~c.ok, c.failed).alias("failed_keys"), F.when(~c.ok, c.record).alias("record"))
+    seen = Observation()
+    keys = list(c.checks)
+    counts = [F.count_if(F.array_contains("failed_keys", k)).alias(f"key {i}") for i, k in enumerate(keys)]
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if("rejected").alias("rejected"), *counts)
+    counted.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    found = seen.get
+    back = records.sparkSession.read.schema(rows.schema).parquet(path)
+    typed = [f.column for f in fields]
+    return Landed(back.where(~F.col("rejected")).select(*keep, *typed), back.where("rejected").select(*keep, "failed_keys", "record"),
+                  found["records"], found["rejected"], {k: found[f"key {i}"] for i, k in enumerate(keys)})
+
+
 # Column in which the JSON reader leaves a line that is no record.
 CORRUPT = "_corrupt_record"
 
@@ -145,6 +200,11 @@ def read_json_batch(spark: SparkSession, path: str, fields: Sequence[Field]) ->
     return ingest(spark.read.schema(raw_schema(fields)).option("columnNameOfCorruptRecord", CORRUPT).json(path), fields)
 
 
+def land_json_batch(spark: SparkSession, posted: str, fields: Sequence[Field], path: str) -> Landed:
+    """A posted JSON batch (one object per line), read once and landed under ``path``."""
+    return land(spark.read.schema(raw_schema(fields)).option("columnNameOfCorruptRecord", CORRUPT).json(posted), fields, path)
+
+
 def enrich_literals(records: DataFrame, **values) -> DataFrame:
     """Put request-level constants (source, date, stat type) on every record."""
     return records.select("*", *[F.lit(v).alias(k) for k, v in values.items()])
