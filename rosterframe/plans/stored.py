@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.dates import as_date
 from ..sources.ledger import Ledger
-from ..sources.tables import (PARTITION_COLUMNS, UNASSIGNED, partition_column, prune_months, public, read_table, replace_months,
-                              stored_form, write_rows)
+from ..sources.tables import PARTITION_COLUMNS, UNASSIGNED, public, read_table, stored_form, write_rows
 from . import mutations as M
 from . import validity as V
 from .partials import renew
@@ -89,21 +88,39 @@ def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, bat
     return fresh
 
 
-def update_games(spark: SparkSession, root: str, batch: DataFrame, update: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+def _rewrite(spark: SparkSession, root: str, name: str, change: str, months: list[str], rows: Callable[[], DataFrame]) -> bool:
+    """Replace whole months of a table by ``rows()``, exactly once and all together."""
+    part = _month_column(name)
+    return Ledger(spark, root).apply(name, change, rows, lambda df, path: write_rows(df, name, path), replaces=[f"{part}={m}" for m in months])
+
+
+def update_games(spark: SparkSession, root: str, batch: DataFrame, update: Callable[[DataFrame, DataFrame], DataFrame],
+                 batch_id: str | None = None) -> bool:
     """Apply a games update (``M.update_postgame``, ``M.update_spreads``) to the months of the
-    batch's games."""
-    games = read_table(spark, root, "games")
-    part = partition_column(games)
+    batch's games.  An update that dies leaves all months as they were, or is completed by the next
+    change; a ``batch_id`` that was applied before changes nothing (False)."""
+    batch_id = batch_id or uuid.uuid4().hex
+    Ledger(spark, root).recover()  # before the stored files are listed
+    games, part = read_table(spark, root, "games"), _month_column("games")
     touched = games.join(batch.select("game_id"), "game_id", "left_semi").select(part).distinct()
     months = [r[0] for r in touched.collect()]  # no longer than the list of months
-    if months:
-        replace_months(update(games.where(F.col(part).isin(months)), batch), "games", root)
-        renew(spark, root, months)
+    if not months:
+        return False
+    fresh = _rewrite(spark, root, "games", batch_id, months, lambda: update(games.where(F.col(part).isin(months)), batch))
+    renew(spark, root, months, f"games/{batch_id}")
+    return fresh
 
 
-def fill_projection_roster(spark: SparkSession, root: str, date) -> None:
-    """Fill the roster fields of a date's projections: its month is read and written, once."""
+def fill_projection_roster(spark: SparkSession, root: str, date, batch_id: str | None = None) -> bool:
+    """Fill the roster fields of a date's projections: their month is read and written, once.  Rows that
+    waited for a game of that month are filed there first; what keeps waiting is not read."""
+    Ledger(spark, root).recover()
     day = as_date(date)
-    projections = prune_months(read_table(spark, root, "projections"), day, day)
-    games = prune_months(read_table(spark, root, "games"), day, day)
-    replace_months(M.fill_projection_roster(projections, read_table(spark, root, "players"), games, date), "projections", root)
+    month = spark.range(1).select(F.date_format(day, "yyyy-MM")).first()[0]
+    games = read_table(spark, root, "games").where(F.col(_month_column("games")) == month)
+    file_late_rows(spark, root, "projections", games)
+    projections = read_table(spark, root, "projections").where(F.col(_month_column("projections")) == month)
+    if projections.isEmpty():
+        return False
+    return _rewrite(spark, root, "projections", batch_id or uuid.uuid4().hex, [month],
+                    lambda: M.fill_projection_roster(projections, read_table(spark, root, "players"), games, date))

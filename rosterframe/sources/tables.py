@@ -129,15 +129,6 @@ def append_rows(df: DataFrame, name: str, root: str, games: DataFrame | None = N
     _writer(stored_form(df, name, games), name, "append").parquet(f"{root}/{name}")
 
 
-def replace_months(df: DataFrame, name: str, root: str) -> None:
-    """Replace the months that occur in ``df``, which must hold all their rows and its
-    month column; other months stay as they are.  The rows are checkpointed first, as
-    they come from the folders that are replaced."""
-    from ..session import checkpoint
-    rows = checkpoint(df)
-    _writer(rows, name, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{name}")
-
-
 def prune_months(df: DataFrame, lo=None, hi=None) -> DataFrame:
     """Add a month-partition predicate matching a date range, if ``df`` is a
     month-partitioned stored table; a no-op for any other DataFrame.

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from rosterframe import schema as S
+from rosterframe.plans import mutations as M
 from rosterframe.plans import stored as ST
 from rosterframe.sources.ingest import STAT_FIELDS
 from rosterframe.sources.ledger import Ledger
-from rosterframe.sources.tables import UNASSIGNED, read_table, write_tables
+from rosterframe.sources.tables import UNASSIGNED, public, read_table, stored_form, write_tables
 from rosterframe.streaming.ingest_stream import start_insert
 
 GAME = "batch_seq long, game_date date, game_time_24_et string, day_of_week string, away_team_id int, home_team_id int"
@@ -135,3 +138,62 @@ def test_stream_inserts_each_batch_once(spark, root, tmp_path, monkeypatch):
     assert read_table(spark, root, "stats").count() == before + 3
     assert read_table(spark, root, "stats").where("player_id = 9").count() == 3
     assert spark.read.option("recursiveFileLookup", True).json(str(tmp_path / "bad")).count() == 1
+
+
+# ---- updates -----------------------------------------------------------------------
+
+def results(spark, root):
+    """A result for two games in different months."""
+    few = [r.game_id for r in read_table(spark, root, "games").groupBy("game_month").agg({"game_id": "min"}).toDF("m", "game_id").orderBy("m").limit(2).collect()]
+    return few, spark.createDataFrame([(1, g, 100 + g, 101, None, None, 5000) for g in few],
+                                      "batch_seq int, game_id long, away_team_pts int, home_team_pts int, away_team_injured array<int>, "
+                                      "home_team_injured array<int>, attendance int")
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+def test_an_update_that_dies_is_done_wholly_or_not(spark, root, monkeypatch, step):
+    """Steps: 1 the entry is logged, 2 and 3 the two months' files are moved, 4 the change is marked as applied."""
+    few, batch = results(spark, root)
+    before = sorted(map(str, public(read_table(spark, root, "games")).collect()))
+    wanted = sorted(map(str, M.update_postgame(public(read_table(spark, root, "games")), batch).collect()))
+    assert wanted != before
+    with monkeypatch.context() as m:
+        die_at(m, step)
+        with pytest.raises(Killed):
+            ST.update_games(spark, root, batch, M.update_postgame, batch_id="r")
+    if step == 1:  # not decided: nothing has changed
+        assert sorted(map(str, public(read_table(spark, root, "games")).collect())) == before
+    assert ST.update_games(spark, root, batch, M.update_postgame, batch_id="r") == (step == 1)
+    assert sorted(map(str, public(read_table(spark, root, "games")).collect())) == wanted
+    later = batch.withColumn("attendance", F.lit(1))
+    assert not ST.update_games(spark, root, later, M.update_postgame, batch_id="r")  # the same batch again
+    assert sorted(map(str, public(read_table(spark, root, "games")).collect())) == wanted
+    assert not ST.update_games(spark, root, later.where("game_id < 0"), M.update_postgame)  # no game of the store
+
+
+def test_roster_fill_leaves_waiting_rows_alone(spark, root, small_tables):
+    few, _ = results(spark, root)
+    day = read_table(spark, root, "games").where(f"game_id = {few[0]}").first()
+    write_tables(small_tables, root, only=("players",))
+    last = read_table(spark, root, "games").agg({"game_id": "max"}).first()[0]
+
+    def projected(game):
+        return spark.createDataFrame([(3, game, 1, *[1.0] * 8, None, None, None)], S.PROJECTIONS)
+
+    part = f"{root}/projections/game_month={UNASSIGNED}"
+    for game in (few[0], last + 99):  # one was posted before the store knew its game
+        stored_form(projected(game), "projections").write.mode("append").partitionBy("game_month").parquet(f"{root}/projections")
+    was = months(spark, root, "projections")
+    assert was[UNASSIGNED] == 2
+    assert ST.fill_projection_roster(spark, root, day.game_date, batch_id="f")
+    now = read_table(spark, root, "projections")
+    assert months(spark, root, "projections") == was | {UNASSIGNED: 1, day.game_month: was[day.game_month] + 1}
+    player = small_tables.players.where("player_id = 3").first()
+    filled = now.where(f"game_id = {few[0]} and player_id = 3 and mins = 1.0 and pts = 1.0 and tov = 1.0").first()
+    assert (filled.team_id, filled.depth_pos) == (player.current_team, player.current_depth_pos)
+    waiting = {f.name for f in Path(part).glob("*.parquet")}
+    assert not ST.fill_projection_roster(spark, root, day.game_date, batch_id="f")
+    ST.fill_projection_roster(spark, root, day.game_date, batch_id="g")
+    assert not ST.fill_projection_roster(spark, root, "2099-01-01")  # no projection of that month
+    assert waiting == {f.name for f in Path(part).glob("*.parquet")} and months(spark, root, "projections") == was | {
+        UNASSIGNED: 1, day.game_month: was[day.game_month] + 1}
