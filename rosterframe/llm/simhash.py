@@ -240,11 +240,13 @@ def _classes(docs: DataFrame, shingle: int, max_distance: int, seed: int, block_
     """(doc_id, w1, w2, fp, root, component_id) for every row."""
     marked = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fps")
-    roots = components(links(distinct.select("fp"), max_distance, block_rows))
-    member = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(member.join(named, "root").select("fp", "root", "component_id"), "fp")
+    roots = components(links(distinct.select("fp"), max_distance, block_rows)).withColumnRenamed("node", "fp")
+    # the names of linked classes are stored, so that a class with a third of all fingerprints is
+    # a skewed side that Spark may split, and not the input of an aggregate
+    named = materialize(distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "class_names")
+    member = (distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+              .join(named, "root", "left").select("fp", "root", F.coalesce("component_id", "least").alias("component_id")))
+    return marked.join(member, "fp")
 
 
 def simhash_classes(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42,
