@@ -15,11 +15,13 @@ from rosterframe.operators.history import history_rows, recent_arrays, recent_n
 from rosterframe.plans import mutations as M
 from rosterframe.plans import partials as P
 from rosterframe.plans import stored as ST
+from rosterframe.plans.registry import QUERIES  # noqa: F401  (imports registry_stored)
+from rosterframe.plans import registry_stored as RS
 from rosterframe.plans.backfill import ml_features_backfill
 from rosterframe.plans.features import ml_features, season_window
 from rosterframe.sources.binding import materialize
 from rosterframe.sources.sinks import csv_safe
-from rosterframe.sources.tables import read_table, read_tables
+from rosterframe.sources.tables import public, read_table, read_tables
 
 
 @pytest.fixture(scope="module")
@@ -116,6 +118,21 @@ def test_changes_keep_partials_up(spark, tmp_path, small_tables):
     assert P.read_partials(spark, root).team_months.where("game_month = '2031-01' and wins = 1").count() == 1
 
 
+def test_bulk_load_and_renewal_shuffle_no_row_for_its_month(spark, small_tables, monkeypatch):
+    frame, hints = type(small_tables.games), []
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *a: hints.append(name) or hint(self, name, *a))
+    now, p = RS._kept_up(small_tables)
+    assert "rebalance" not in hints
+    assert rows(public(now.stats)) == rows(small_tables.stats)
+    months = now.games.select("game_id", "game_month").join(now.stats.select("game_id", F.col("game_month").alias("m")), "game_id")
+    assert months.where("m <> game_month").isEmpty()
+    fresh = P.partials_of(now)
+    assert same(csv_safe(p.team_months), csv_safe(fresh.team_months))
+    got, want = (x.player_months.select("player_id", "first_day", "game_month", F.array_sort("games").alias("g")) for x in (p, fresh))
+    assert same(csv_safe(got), csv_safe(want))
+
+
 # ---- a table of dates --------------------------------------------------------------
 
 def test_dates_prune_every_fact_while_the_job_runs(spark, store):
