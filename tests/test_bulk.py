@@ -37,3 +37,10 @@ def test_parts_of_a_pivot_grow_with_the_input(spark, small_tables, monkeypatch):
     facts = RO._pivot_input(small_tables, raw)
     assert facts.rdd.getNumPartitions() >= 30
     assert rows(facts) == rows(small_tables.projections)
+
+
+def test_parts_of_a_pivot_are_not_joined_again(spark, small_tables):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    raw = Raw(spark, SF001)
+    assert RO._pivot_input(small_tables, raw).rdd.getNumPartitions() == parts
+    assert RO._op_complete_pivot(small_tables, raw).rdd.getNumPartitions() == parts
