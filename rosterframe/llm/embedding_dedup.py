@@ -13,9 +13,9 @@ reach c by it are computed in double precision from the unturned vectors.
 Vectors of different lengths are never compared: the length leads the sort order, each length
 has axes of its own, and a block holds one length.
 
-Equal vectors are merged before, with their number.  A task returns, for its pair of
-blocks, how many vectors each one is linked with and a spanning forest of the links;
-pairs of vectors are never listed.
+Equal vectors are merged before, with their number.  Neighbouring blocks go to a task together, in
+two groups; it returns how many vectors each one is linked with and a spanning forest of
+the links; pairs of vectors are never listed.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from rosterframe.llm.graph import Labels, components
 #: Leading axes that the grid, the boxes and the leaves' bound use.
 GRID_AXES, BOX_AXES, BOUND_AXES = 8, 16, 24
 LEAF = 256
+#: Most blocks on either side of a tile, so that a task holds twice as many.
+TILE = 8
 #: Lengths, the most frequent ones, that get principal axes; others keep their first coordinates.
 AXES_OF = 100
 #: Stands for the id of vectors that have none, behind every other.
@@ -283,34 +285,71 @@ def _node(block: int, rows: int) -> np.ndarray:
     return (block << 21) + np.arange(rows)
 
 
+def tile_blocks(pairs: DataFrame, side: int) -> DataFrame:
+    """(tile, block): the pairs of blocks, gathered into pairs of groups of ``side`` neighbouring blocks.  Tiles are
+    numbered from 0; the numbering is over one row per tile."""
+    near = pairs.select("a", "b", F.expr(f"a div {side}").alias("ga"), F.expr(f"b div {side}").alias("gb"))
+    numbers = near.select("ga", "gb").distinct().select("ga", "gb", (F.row_number().over(Window.orderBy("ga", "gb")) - 1).alias("tile"))
+    return near.join(numbers, ["ga", "gb"]).select("tile", "ga", "gb", F.explode(F.array("a", "b")).alias("at")).distinct()
+
+
+def join_tile(rows: list[dict], side: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The links between the two groups of a tile, as (nodes, linked copies of each, and a spanning forest's ends)."""
+    rows = sorted(rows, key=lambda r: r["block"])
+    sequences = [Sequence(r["units"], r["lead"], r["copies"], r["rows"]) for r in rows]
+    at = np.cumsum([0, *(r["rows"] for r in rows)])
+    node = np.concatenate([_node(r["block"], r["rows"]) for r in rows])
+    degree, labels = np.zeros(at[-1], np.int64), Labels(np.arange(at[-1]))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x, p in enumerate(rows):
+        for y in range(x, len(rows)):
+            q = rows[y]
+            if p["dim"] != q["dim"] or p["block"] // side != p["ga"] or q["block"] // side != p["gb"]:
+                continue
+            da, db, i, j = join_blocks(sequences[x], sequences[y], cosine)
+            degree[at[x]:at[x + 1]] += da
+            if x != y:
+                degree[at[y]:at[y + 1]] += db
+                j = j + at[y] - p["rows"]  # counted on from x's
+            else:
+                j = j + at[x]
+            i = i + at[x]
+            if i.size:
+                used = labels.merge(i, j)
+                left.append(i[used])
+                right.append(j[used])
+    return node, degree, node[np.concatenate(left)], node[np.concatenate(right)]
+
+
 def join_links(blocks: DataFrame, cosine: float) -> DataFrame:
-    """(u, v, n): a forest's link where v is given, else n linked vectors of u."""
+    """(u, v, n): a forest's link where v is given, else n linked vectors of u.
+
+    A task gets two groups of blocks and joins each block of one with each of the other, so a block is
+    dealt out once for every group it meets, not once for every block."""
+    spark = blocks.sparkSession
     pairs = materialize(block_pairs(blocks, math.sqrt(2 - 2 * cosine)), "block_pairs")
-    data = ["block", "rows", "copies", "units", "lead"]
-    both = (pairs.join(blocks.select(*(F.col(c).alias(f"{c}_a") for c in data)), F.col("a") == F.col("block_a"))
-            .join(blocks.select(*(F.col(c).alias(f"{c}_b") for c in data)), F.col("b") == F.col("block_b"))
-            .select(*(f"{c}_{x}" for x in "ab" for c in data)))
+    side = min(TILE, max(1, math.isqrt(pairs.count() // shuffle_partitions(spark))))
+    tiles = materialize(tile_blocks(pairs, side), "tile_blocks")
+    n_tiles = tiles.agg(F.coalesce(F.max("tile"), F.lit(0))).first()[0] + 1
+    data = ["block", "rows", "copies", "units", "lead", "dim"]
+    dealt = (tiles.join(blocks.select(*data), F.col("at") == F.col("block")).select("tile", "ga", "gb", *data)
+             .repartitionById(n_tiles, F.col("tile").cast("int")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[dict]] = {}
         for batch in batches:
             for k in range(batch.num_rows):
                 r = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
-                a = Sequence(r["units_a"], r["lead_a"], r["copies_a"], r["rows_a"])
-                same = r["block_a"] == r["block_b"]
-                b = a if same else Sequence(r["units_b"], r["lead_b"], r["copies_b"], r["rows_b"])
-                da, db, i, j = join_blocks(a, b, cosine)
-                node, degree = _node(r["block_a"], r["rows_a"]), da
-                if not same:
-                    node, degree = np.concatenate([node, _node(r["block_b"], r["rows_b"])]), np.concatenate([da, db])
-                some = np.flatnonzero(degree)
-                u, v = np.concatenate([node[i], node[some]]), np.concatenate([node[j], np.zeros(len(some), np.int64)])
-                n = np.concatenate([np.zeros(len(i), np.int64), degree[some]])
-                is_link = np.arange(len(u)) < len(i)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=~is_link), pa.array(n, mask=is_link)], ["u", "v", "n"])
-
-    # a handful of pairs to a task: each brings two blocks
-    n = max(shuffle_partitions(blocks.sparkSession), pairs.count() // 4)
-    return materialize(both.repartition(n, "block_a", "block_b").mapInArrow(run, "u long, v long, n long"), "vector_links")
+                held.setdefault(r["tile"], []).append(r)
+        for rows in held.values():
+            node, degree, i, j = join_tile(rows, side, cosine)
+            some = np.flatnonzero(degree)
+            u, v = np.concatenate([i, node[some]]), np.concatenate([j, np.zeros(len(some), np.int64)])
+            n = np.concatenate([np.zeros(len(i), np.int64), degree[some]])
+            is_link = np.arange(len(u)) < len(i)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=~is_link), pa.array(n, mask=is_link)], ["u", "v", "n"])
+
+    return materialize(dealt.mapInArrow(run, "u long, v long, n long"), "vector_links")
 
 
 # ---------------------------------------------------------------- operator

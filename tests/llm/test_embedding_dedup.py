@@ -97,6 +97,16 @@ def test_every_length_is_joined(spark):
     assert got == sorted(want, key=str) and all(any(i // 10_000 == k and n for i, n, *_ in got) for k in range(len(parts)))
 
 
+def test_blocks_are_dealt_out_by_groups(spark, monkeypatch):
+    """One cluster, so that every block meets every other: a block goes to a task for each group, not for each block."""
+    kept, write = {}, E.materialize
+    monkeypatch.setattr(E, "materialize", lambda df, name: kept.setdefault(name, write(df, name)))
+    rows = clusters(11, 1200, 16, 1, 0.3)
+    assert found(table(spark, rows), block_rows=16, sample=200) == brute(rows, 0.9)
+    blocks, pairs, dealt = (kept[n].count() for n in ("grid_blocks", "block_pairs", "tile_blocks"))
+    assert blocks > 30 and pairs * 4 > blocks * blocks and dealt * 3 < 2 * pairs
+
+
 def test_empty_tables(spark):
     df = table(spark, [(1, None), (2, [])])
     assert found(df) == [(1, 0, 1, True), (2, 0, 2, True)]
