@@ -141,3 +141,23 @@ def test_backfill_lineage_cut_changes_nothing(small_tables):
     a = csv_safe(ml_features_backfill(small_tables, "reb", n_recent=4))
     b = csv_safe(ml_features_backfill(small_tables, "reb", n_recent=4, cut_lineage=True))
     assert rows(a) == rows(b) and len(rows(a)) > 0
+
+
+def test_backfill_counts_repeated_rows_once_for_each_use(small_tables):
+    """Players stored twice come twice, with the recent games that they have once."""
+    t = small_tables.with_(players=small_tables.players.unionByName(small_tables.players))
+    once, twice = (csv_safe(ml_features_backfill(x, "pts", lo="1998-11-01", hi="1998-12-31", n_recent=3)) for x in (small_tables, t))
+    assert rows(twice) == [r for r in rows(once) for _ in range(2)] and rows(once)
+
+
+def test_backfill_shuffles_no_wide_row_for_each_lookup(spark, small_tables):
+    """With every join by shuffle: attendance meets games, box scores meet the pivot, and a player's past is one shuffle."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = ml_features_backfill(small_tables, "pts", cut_lineage=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    wide = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "as_of" in x and "player_id" in x]
+    assert len(wide) == 1, wide
